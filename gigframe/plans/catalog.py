@@ -1,11 +1,15 @@
 """Lazy builders for staging and marts over one data directory.
 
 ``Catalog(spark, sf_dir)`` shapes the driver's tables into raw tables and
-hands out staging models and marts on demand; nothing runs until an action.
+hands out staging models and marts on demand, like a model graph whose
+``ref`` edges are attribute reads. Nothing runs until an action; the objects
+held are lazy plans, not data, so sharing them between queries only saves
+rebuilding the same plan on the driver.
 """
 
 from __future__ import annotations
 
+import threading
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +18,29 @@ from ..sources import adapters
 from . import marts as M
 from . import staging as S
 
+_CATALOGS: dict[tuple[int, str], "Catalog"] = {}
+_LOCK = threading.Lock()
+
+
+def catalog_for(spark: SparkSession, sf_dir: str) -> "Catalog":
+    """One catalog per (session, data directory)."""
+    key = (id(spark), sf_dir)
+    with _LOCK:
+        cat = _CATALOGS.get(key)
+        if cat is None or cat.spark is not spark:
+            cat = _CATALOGS[key] = Catalog(spark, sf_dir)
+        return cat
+
+
+class _LazyRaw(dict):
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        super().__init__()
+        self._spark, self._sf_dir = spark, sf_dir
+
+    def __missing__(self, name: str) -> DataFrame:
+        df = self[name] = adapters.RAW_BUILDERS[name](self._spark, self._sf_dir)
+        return df
+
 
 class Catalog:
     def __init__(self, spark: SparkSession, sf_dir: str):
@@ -23,7 +50,8 @@ class Catalog:
     # raw -----------------------------------------------------------------
     @cached_property
     def raw(self) -> dict[str, DataFrame]:
-        return adapters.raw_tables(self.spark, self.sf_dir)
+        """Raw tables, each built on first use."""
+        return _LazyRaw(self.spark, self.sf_dir)
 
     # staging -------------------------------------------------------------
     @cached_property

@@ -16,14 +16,14 @@ from ..sources.landing import build_pages, write_pages
 from ..sources.pages import read_pages
 from ..sources.sinks import concerts_between, write_month_partitioned
 from . import ingest, quality, tiles
-from .catalog import Catalog
+from .catalog import Catalog, catalog_for
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _cat(spark: SparkSession, sf_dir: str) -> Catalog:
     ensure_checkpoint_dir(spark)
-    return Catalog(spark, sf_dir)
+    return catalog_for(spark, sf_dir)
 
 
 def _attr(name: str) -> Query:
@@ -110,13 +110,13 @@ QUERIES: dict[str, Query] = {
     "tile_lifecycle_cumulative": lambda s, d: tiles.lifecycle_cumulative(
         _cat(s, d).genre_lifecycle),
     # ingest selection
-    "ingest_top_bands": lambda s, d: ingest.top_bands_by_reviews(
-        adapters.raw_albums(s, d), adapters.raw_bands(s, d)),
-    "ingest_band_mapping": lambda s, d: ingest.match_artists(
-        ingest.first_bands(adapters.raw_bands(s, d)), adapters.artist_candidates(s, d)),
-    "ingest_unprocessed": lambda s, d: ingest.unprocessed(
-        ingest.first_bands(adapters.raw_bands(s, d)),
-        adapters.raw_band_mapping(s, d).selectExpr("cast(ma_band_id as string) as band_id")),
+    "ingest_top_bands": lambda s, d: (lambda c: ingest.top_bands_by_reviews(
+        c.raw["albums"], c.raw["bands"]))(_cat(s, d)),
+    "ingest_band_mapping": lambda s, d: (lambda c: ingest.match_artists(
+        ingest.first_bands(c.raw["bands"]), adapters.artist_candidates(s, d)))(_cat(s, d)),
+    "ingest_unprocessed": lambda s, d: (lambda c: ingest.unprocessed(
+        ingest.first_bands(c.raw["bands"]),
+        c.raw["band_mapping"].selectExpr("cast(ma_band_id as string) as band_id")))(_cat(s, d)),
     "ingest_flatten_setlists": _flatten(0),
     "ingest_flatten_songs": _flatten(1),
     # streaming resume, layout, quality

@@ -11,37 +11,54 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+# The driver tables the adapters read, with their declared types: reading
+# with a schema skips the footer-inference job a bare read runs per table.
+DRIVER_SCHEMAS = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+                "c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+            "p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+                "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+                "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+}
+
+
 def _read(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    reader = spark.read
+    if name in DRIVER_SCHEMAS:
+        reader = reader.schema(DRIVER_SCHEMAS[name])
+    df = reader.parquet(f"{sf_dir}/{name}.parquet")
     return df.select(*cols) if cols else df
 
 
-def _s(c) -> F.Column:
-    return (F.col(c) if isinstance(c, str) else c).cast("string")
+def _join(left: DataFrame, right: DataFrame, cond: str) -> DataFrame:
+    return left.join(right, F.expr(cond))
 
 
 def raw_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     cust = _read(spark, sf_dir, "customer", "c_custkey", "c_name", "c_nationkey", "c_acctbal",
                  "c_mktsegment")
     nation = _read(spark, sf_dir, "nation", "n_nationkey", "n_name")
-    base = cust.join(nation, cust.c_nationkey == nation.n_nationkey)
-    k, seg = F.col("c_custkey"), F.col("c_mktsegment")
-    genre = (F.when(k % 6 == 0, F.concat(seg, F.lit(" Metal")))
-             .when(k % 6 == 1, F.concat(seg, F.lit(" Death Metal (early); Doom (later)")))
-             .when(k % 6 == 2, F.concat(seg, F.lit(" Black Metal/Doom Metal")))
-             .when(k % 6 == 3, F.concat(seg, F.lit(" Folk Metal, Rock")))
-             .when(k % 6 == 4, F.concat(F.lit(" "), seg, F.lit(" ")))
-             .when(k % 24 == 5, F.lit(""))
-             .when(k % 24 == 11, F.lit("/Doom"))
-             .otherwise(F.concat(seg, F.lit(" Metal"))))
-    bands = base.select(
-        _s(k).alias("band_id"), F.col("c_name").alias("band_name"),
-        F.col("n_name").alias("country"), genre.alias("genre"),
-        F.when(F.col("c_acctbal") < 0, F.lit("Split-up")).otherwise(F.lit("Active")).alias("status"))
-    dups = cust.where(k % 10 == 0).select(
-        _s(k).alias("band_id"), F.concat(F.col("c_name"), F.lit(" (dup)")).alias("band_name"),
-        F.lit("DUP").alias("country"), F.lit("Dup Metal").alias("genre"),
-        F.lit("Unknown").alias("status"))
+    bands = _join(cust, nation, "c_nationkey = n_nationkey").selectExpr(
+        "cast(c_custkey as string) as band_id", "c_name as band_name", "n_name as country",
+        """case when c_custkey % 6 = 0 then concat(c_mktsegment, ' Metal')
+                when c_custkey % 6 = 1 then concat(c_mktsegment, ' Death Metal (early); Doom (later)')
+                when c_custkey % 6 = 2 then concat(c_mktsegment, ' Black Metal/Doom Metal')
+                when c_custkey % 6 = 3 then concat(c_mktsegment, ' Folk Metal, Rock')
+                when c_custkey % 6 = 4 then concat(' ', c_mktsegment, ' ')
+                when c_custkey % 24 = 5 then ''
+                when c_custkey % 24 = 11 then '/Doom'
+                else concat(c_mktsegment, ' Metal') end as genre""",
+        "case when c_acctbal < 0 then 'Split-up' else 'Active' end as status")
+    # Second copies of every tenth band: they must lose the keep-first dedup.
+    dups = cust.where("c_custkey % 10 = 0").selectExpr(
+        "cast(c_custkey as string) as band_id", "concat(c_name, ' (dup)') as band_name",
+        "'DUP' as country", "'Dup Metal' as genre", "'Unknown' as status")
     return bands.unionByName(dups)
 
 
@@ -50,104 +67,97 @@ def raw_albums(spark: SparkSession, sf_dir: str) -> DataFrame:
                "l_discount", "l_returnflag", "l_linestatus", "l_shipdate")
     orders = _read(spark, sf_dir, "orders", "o_orderkey", "o_custkey")
     part = _read(spark, sf_dir, "part", "p_partkey", "p_name")
-    base = (li.join(orders, li.l_orderkey == orders.o_orderkey)
-              .join(part, li.l_partkey == part.p_partkey))
-    ln = F.col("l_linenumber")
-    year = (F.when(ln == 7, F.lit("N/A"))
-            .otherwise(_s(F.year("l_shipdate") - F.col("o_custkey") % 25)))
-    pct = F.lit(100) - F.round(F.col("l_discount") * 500).cast("bigint") - ln
-    reviews = (F.when(F.col("l_returnflag") == "N", F.lit("No Reviews"))
-               .when(ln == 6, F.lit(None).cast("string"))
-               .when(ln == 5, F.lit("pending"))
-               .otherwise(F.concat(_s(F.col("l_quantity").cast("bigint")), F.lit(" ("),
-                                   _s(pct), F.lit("%)"))))
-    return base.select(
-        _s("o_custkey").alias("band_id"), F.col("p_name").alias("album_name"),
-        F.when(F.col("l_linestatus") == "F", F.lit("Full-length")).otherwise(F.lit("EP"))
-         .alias("album_type"),
-        year.alias("year"), reviews.alias("reviews"))
+    base = _join(_join(li, orders, "l_orderkey = o_orderkey"), part, "l_partkey = p_partkey")
+    return base.selectExpr(
+        "cast(o_custkey as string) as band_id", "p_name as album_name",
+        "case when l_linestatus = 'F' then 'Full-length' else 'EP' end as album_type",
+        """case when l_linenumber = 7 then 'N/A'
+                else cast(year(l_shipdate) - o_custkey % 25 as string) end as year""",
+        """case when l_returnflag = 'N' then 'No Reviews'
+                when l_linenumber = 6 then cast(null as string)
+                when l_linenumber = 5 then 'pending'
+                else concat(cast(cast(l_quantity as bigint) as string), ' (',
+                            cast(100 - cast(round(l_discount * 500) as bigint) - l_linenumber
+                                 as string), '%)') end as reviews""")
 
 
 def raw_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     sup = _read(spark, sf_dir, "supplier", "s_suppkey", "s_name", "s_nationkey", "s_acctbal")
     nation = _read(spark, sf_dir, "nation", "n_nationkey", "n_name")
-    k = F.col("s_suppkey")
-    return sup.join(nation, sup.s_nationkey == nation.n_nationkey).select(
-        F.when(k % 20 == 0, F.lit("")).when(k % 20 == 1, F.lit(None).cast("string"))
-         .otherwise(_s(k)).alias("label_id"),
-        _s(k).alias("band_id"), F.col("s_name").alias("label_name"),
-        F.lit("Metal").alias("specialization"),
-        F.when(F.col("s_acctbal") < 0, F.lit("closed")).otherwise(F.lit("active")).alias("status"),
-        F.col("n_name").alias("country"))
+    return _join(sup, nation, "s_nationkey = n_nationkey").selectExpr(
+        """case when s_suppkey % 20 = 0 then '' when s_suppkey % 20 = 1 then cast(null as string)
+                else cast(s_suppkey as string) end as label_id""",
+        "cast(s_suppkey as string) as band_id", "s_name as label_name",
+        "'Metal' as specialization",
+        "case when s_acctbal < 0 then 'closed' else 'active' end as status",
+        "n_name as country")
 
 
 def raw_band_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
     cust = _read(spark, sf_dir, "customer", "c_custkey", "c_name")
-    k = F.col("c_custkey")
-    return cust.where(k % 5 != 1).select(
-        k.cast("bigint").alias("ma_band_id"), F.col("c_name").alias("ma_band_name"),
-        F.concat(F.lit("mbid-"), _s(k)).alias("sfm_mbid"),
-        F.col("c_name").alias("sfm_artist_name"),
-        F.when(k % 7 == 0, F.lit("fuzzy")).otherwise(F.lit("exact")).alias("match_type"))
-
-
-def _setlist_columns(o: str = "o_orderkey") -> list:
-    k = F.col(o)
-    artist_key = (F.when(k % 4 == 0, F.col("o_custkey") % 40)
-                  .when(k % 4 == 1, F.col("o_custkey") % 150 + 100)
-                  .otherwise(F.col("o_custkey")))
-    cc_idx = (k % 25) % 6
-    country_code = (F.when(k % 40 == 7, F.lit(""))
-                    .when(cc_idx == 0, F.lit("US")).when(cc_idx == 1, F.lit("DE"))
-                    .when(cc_idx == 2, F.lit("FI")).when(cc_idx == 3, F.lit("SE"))
-                    .when(cc_idx == 4, F.lit("BR")).otherwise(F.lit("XX")))
-    return [
-        _s(k).alias("setlist_id"),
-        F.concat(F.lit("mbid-"), _s(artist_key)).alias("artist_mbid"),
-        F.concat(F.lit("Artist "), _s(artist_key)).alias("artist_name"),
-        F.col("o_orderdate").cast("date").alias("event_date"),
-        F.when(k % 50 == 0, F.lit("")).otherwise(F.concat(F.lit("v"), _s(k % 97))).alias("venue_id"),
-        F.concat(F.lit("Venue "), _s(k % 7)).alias("venue_name"),
-        F.concat(F.lit("City "), _s(k % 11)).alias("city_name"),
-        F.when(k % 3 == 0, F.lit("")).otherwise(F.concat(F.lit("S"), _s(k % 5))).alias("state"),
-        country_code.alias("country_code"),
-        F.col("n_name").alias("country_name"),
-        (k % 181 - 90).cast("double").alias("latitude"),
-        F.when(k % 13 == 0, F.lit(None).cast("double"))
-         .otherwise((k % 361 - 180).cast("double")).alias("longitude"),
-        F.when(k % 2 == 0, F.lit("Tour")).otherwise(F.lit("")).alias("tour_name"),
-    ]
+    return cust.where("c_custkey % 5 <> 1").selectExpr(
+        "c_custkey as ma_band_id", "c_name as ma_band_name",
+        "concat('mbid-', cast(c_custkey as string)) as sfm_mbid", "c_name as sfm_artist_name",
+        "case when c_custkey % 7 = 0 then 'fuzzy' else 'exact' end as match_type")
+
+
+SETLIST_EXPRS = [
+    "cast(k as string) as setlist_id",
+    "concat('mbid-', cast(artist_key as string)) as artist_mbid",
+    "concat('Artist ', cast(artist_key as string)) as artist_name",
+    "cast(o_orderdate as date) as event_date",
+    "case when k % 50 = 0 then '' else concat('v', cast(k % 97 as string)) end as venue_id",
+    "concat('Venue ', cast(k % 7 as string)) as venue_name",
+    "concat('City ', cast(k % 11 as string)) as city_name",
+    "case when k % 3 = 0 then '' else concat('S', cast(k % 5 as string)) end as state",
+    """case when k % 40 = 7 then ''
+            else case (k % 25) % 6 when 0 then 'US' when 1 then 'DE' when 2 then 'FI'
+                                   when 3 then 'SE' when 4 then 'BR' else 'XX' end
+       end as country_code""",
+    "n_name as country_name",
+    "cast(k % 181 - 90 as double) as latitude",
+    "case when k % 13 = 0 then cast(null as double) else cast(k % 361 - 180 as double) end"
+    " as longitude",
+    "case when k % 2 = 0 then 'Tour' else '' end as tour_name",
+]
 
 
 def raw_setlists(spark: SparkSession, sf_dir: str, with_duplicates: bool = True) -> DataFrame:
     orders = _read(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate")
     nation = _read(spark, sf_dir, "nation", "n_nationkey", "n_name")
-    base = orders.join(nation, (orders.o_orderkey % 25) == nation.n_nationkey)
-    flat = base.select(*_setlist_columns())
+    base = _join(orders, nation, "o_orderkey % 25 = n_nationkey").selectExpr(
+        "o_orderkey as k", "o_orderdate", "n_name",
+        """case when o_orderkey % 4 = 0 then o_custkey % 40
+                when o_orderkey % 4 = 1 then o_custkey % 150 + 100
+                else o_custkey end as artist_key""")
+    flat = base.selectExpr(*SETLIST_EXPRS)
     if not with_duplicates:
         return flat
-    # Re-sent copies of every 20th setlist, one day later at venue 'vDUP':
-    # they must lose the keep-first dedup.
-    dups = (flat.where(F.col("setlist_id").cast("bigint") % 20 == 0)
-                .withColumn("event_date", F.date_add("event_date", 1))
-                .withColumn("venue_id", F.lit("vDUP")))
-    return flat.unionByName(dups)
+    return flat.unionByName(resent_setlists(flat))
+
+
+def resent_setlists(flat: DataFrame) -> DataFrame:
+    """Re-sent copies of every 20th setlist, a day later at venue 'vDUP'.
+
+    They must lose the keep-first dedup (and the streaming dedup).
+    """
+    return (flat.where("cast(setlist_id as bigint) % 20 = 0")
+                .withColumns({"event_date": F.expr("date_add(event_date, 1)"),
+                              "venue_id": F.lit("vDUP")}))
 
 
 def raw_songs(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = _read(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_linenumber", "l_tax",
                "l_returnflag", "l_linestatus")
     part = _read(spark, sf_dir, "part", "p_partkey", "p_name", "p_brand")
-    ln = F.col("l_linenumber")
-    return li.join(part, li.l_partkey == part.p_partkey).select(
-        _s("l_orderkey").alias("setlist_id"),
-        F.when(F.col("l_partkey") % 50 == 0, F.lit("")).otherwise(F.col("p_name")).alias("song_name"),
-        F.when(F.col("l_linestatus") == "F", F.col("l_returnflag")).otherwise(F.lit(""))
-         .alias("set_name"),
-        (ln % 3).cast("bigint").alias("encore"),
-        (ln == 4).alias("is_cover"),
-        F.when(ln == 4, F.col("p_brand")).otherwise(F.lit("")).alias("cover_artist_name"),
-        F.when(ln == 2, F.lit(None).cast("boolean")).otherwise(F.col("l_tax") > 0.06).alias("is_tape"))
+    return _join(li, part, "l_partkey = p_partkey").selectExpr(
+        "cast(l_orderkey as string) as setlist_id",
+        "case when l_partkey % 50 = 0 then '' else p_name end as song_name",
+        "case when l_linestatus = 'F' then l_returnflag else '' end as set_name",
+        "cast(l_linenumber % 3 as bigint) as encore",
+        "l_linenumber = 4 as is_cover",
+        "case when l_linenumber = 4 then p_brand else '' end as cover_artist_name",
+        "case when l_linenumber = 2 then cast(null as boolean) else l_tax > 0.06D end as is_tape")
 
 
 def artist_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -158,23 +168,24 @@ def artist_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     orders = _read(spark, sf_dir, "orders", "o_orderkey", "o_custkey")
     cust = _read(spark, sf_dir, "customer", "c_custkey", "c_name")
-    base = orders.join(cust, orders.o_custkey == cust.c_custkey)
-    k = F.col("o_orderkey")
-    name = (F.when(k % 3 == 0, F.upper("c_name"))
-            .when(k % 3 == 1, F.concat(F.col("c_name"), F.lit(" Tribute")))
-            .otherwise(F.concat(F.lower("c_name"), F.lit(" UK"))))
-    return base.select(
-        _s("c_custkey").alias("band_id"), F.col("c_name").alias("band_name"),
-        k.cast("int").alias("rank"), name.alias("name"),
-        F.when(k % 11 == 0, F.lit("")).otherwise(F.concat(F.lit("mbid-c"), _s(k))).alias("mbid"))
+    return _join(orders, cust, "o_custkey = c_custkey").selectExpr(
+        "cast(c_custkey as string) as band_id", "c_name as band_name",
+        "cast(o_orderkey as int) as rank",
+        """case o_orderkey % 3 when 0 then upper(c_name) when 1 then concat(c_name, ' Tribute')
+                else concat(lower(c_name), ' UK') end as name""",
+        """case when o_orderkey % 11 = 0 then ''
+                else concat('mbid-c', cast(o_orderkey as string)) end as mbid""")
+
+
+RAW_BUILDERS = {
+    "bands": raw_bands,
+    "albums": raw_albums,
+    "labels": raw_labels,
+    "setlists": raw_setlists,
+    "songs": raw_songs,
+    "band_mapping": raw_band_mapping,
+}
 
 
 def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {
-        "bands": raw_bands(spark, sf_dir),
-        "albums": raw_albums(spark, sf_dir),
-        "labels": raw_labels(spark, sf_dir),
-        "setlists": raw_setlists(spark, sf_dir),
-        "songs": raw_songs(spark, sf_dir),
-        "band_mapping": raw_band_mapping(spark, sf_dir),
-    }
+    return {name: build(spark, sf_dir) for name, build in RAW_BUILDERS.items()}

@@ -13,7 +13,6 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import scratch_path
@@ -55,10 +54,7 @@ def replay_setlists_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     landing, sink = os.path.join(base, "landing"), os.path.join(base, "sink")
     checkpoint = os.path.join(base, "checkpoint")
     flat = adapters.raw_setlists(spark, sf_dir, with_duplicates=False)
-    resent = (flat.where(F.col("setlist_id").cast("bigint") % 20 == 0)
-                  .withColumn("event_date", F.date_add("event_date", 1))
-                  .withColumn("venue_id", F.lit("vDUP")))
-    for drop in (flat, resent):
+    for drop in (flat, adapters.resent_setlists(flat)):
         drop.write.mode("append").parquet(landing)
         run_incremental(spark, landing, sink, checkpoint, RAW_SETLISTS, ["setlist_id"])
     return spark.read.parquet(sink)
