@@ -8,9 +8,13 @@ per bucket, and offset by the sizes of the earlier buckets (a small table).
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .schemas import RAW_TABLES
+
 ITEMS_PER_PAGE = 20
 NUMBERING_BUCKETS = 64
 
@@ -24,7 +28,7 @@ def dense_positions(df: DataFrame, group: str, key: str,
     """
     b = df.withColumn("_b", F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)))
     rn = b.withColumn("_rn", F.row_number().over(
-        Window.partitionBy(group, "_b").orderBy(F.col(key), F.monotonically_increasing_id())))
+        Window.partitionBy(group, "_b").orderBy(F.col(key))))
     sizes = b.groupBy(group, "_b").agg(F.count(F.lit(1)).alias("_cnt"))
     before = Window.partitionBy(group).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(
@@ -82,3 +86,24 @@ def write_pages(pages: DataFrame, path: str) -> str:
     """One JSON page per line (splittable text)."""
     pages.select(F.to_json(F.struct(*pages.columns)).alias("value")).write.mode("overwrite").text(path)
     return path
+
+
+def write_landing_csv(raw: dict[str, DataFrame], landing_dir: str,
+                      extra_columns: bool = True) -> str:
+    """Write raw tables as the landed CSV files the loader reads.
+
+    Header-named tables get their original headers (with blanks) and, if
+    ``extra_columns``, a column the loader must ignore.
+    """
+    for name, t in RAW_TABLES.items():
+        df = raw[name]
+        if t.all_string:
+            df = df.select(*[F.col(new).alias(old.replace("_", " "))
+                             for old, new in t.renames.items()])
+            if extra_columns:
+                df = df.withColumn("Themes", F.lit("unused"))
+        # The CSV writer trims values unless told not to.
+        (df.write.mode("overwrite").option("header", True)
+           .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+           .csv(os.path.join(landing_dir, t.filename)))
+    return landing_dir
