@@ -40,19 +40,32 @@ def top_bands_by_reviews(raw_albums: DataFrame, raw_bands: DataFrame, n: int = 5
 def match_artists(bands: DataFrame, candidates: DataFrame) -> DataFrame:
     """Band -> artist mapping from search hits.
 
-    Per band: the first hit whose name equals the band name ignoring case,
-    else the best-ranked hit ('fuzzy'). Bands without hits get no row; a
-    chosen hit without an mbid is dropped (it would match every setlist
+    Per band: the best-ranked hit whose name equals the band name ignoring
+    case, else the best-ranked hit ('fuzzy'). Bands without hits get no row;
+    a chosen hit without an mbid is dropped (it would match every setlist
     without one).
+
+    Hits are first reduced map-side to one row per band and one per (band,
+    lower-cased name) with ``min(struct(rank, ...))``; only those meet the
+    bands, joined on band id (and name), one row per key on every side. A
+    band with a third of all hits therefore costs one row per map task.
     """
-    b = bands.select("band_id", "band_name")
-    c = candidates.select("band_id", "rank", F.col("name").alias("artist_name"), "mbid")
-    hits = b.join(c, "band_id").withColumn(
-        "exact", F.lower(F.col("artist_name")) == F.lower(F.col("band_name")))
-    best = keep_first(hits, ["band_id"], [F.col("exact").desc(), F.col("rank").asc()])
-    return (best.where(present("mbid"))
+    hit = F.struct(F.col("rank"), F.col("name").alias("artist_name"), F.col("mbid"))
+    c = candidates.select("band_id", "rank", "name", "mbid")
+    best_any = c.groupBy("band_id").agg(F.min(hit).alias("any_hit"))
+    best_by_name = (c.groupBy("band_id", F.lower("name").alias("lname"))
+                    .agg(F.min(hit).alias("exact_hit")))
+    b = bands.select("band_id", "band_name", F.lower("band_name").alias("lname"))
+    exact = b.join(best_by_name, ["band_id", "lname"]).select("band_id", "exact_hit")
+    chosen = (b.join(best_any, "band_id")
+               .join(exact, "band_id", "left")
+               .select("band_id", "band_name",
+                       F.col("exact_hit").isNotNull().alias("exact"),
+                       F.coalesce("exact_hit", "any_hit").alias("hit")))
+    return (chosen.where(present("hit.mbid"))
             .select(F.col("band_id").alias("ma_band_id"), F.col("band_name").alias("ma_band_name"),
-                    F.col("mbid").alias("sfm_mbid"), F.col("artist_name").alias("sfm_artist_name"),
+                    F.col("hit.mbid").alias("sfm_mbid"),
+                    F.col("hit.artist_name").alias("sfm_artist_name"),
                     F.when(F.col("exact"), F.lit("exact")).otherwise(F.lit("fuzzy"))
                      .alias("match_type")))
 

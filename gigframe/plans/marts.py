@@ -30,10 +30,14 @@ def fct_concerts(stg_setlists: DataFrame, stg_band_mapping: DataFrame, stg_bands
                  stg_songs: DataFrame, stg_albums: DataFrame) -> DataFrame:
     """One row per (setlist, mapped band) with song count and album reviews.
 
-    Songs and albums are reduced per key before joining. The left join to the
-    song counts comes first: both sides are already hash-partitioned by
-    setlist_id (by the setlist dedup and by the song aggregate), so it needs
-    no exchange of its own.
+    Songs and albums are reduced per key before joining. The band-level
+    tables (mapping, band, album figures: one row per band) are joined to
+    each other first, so the large setlist side meets them in one join on
+    the artist id; that side is broadcast when AQE measures it small, else
+    the setlists are shuffled once and AQE splits a hot artist's partition.
+    The left join to the song counts needs no exchange of its own: both
+    sides are already hash-partitioned by setlist_id (by the setlist dedup
+    and by the song aggregate).
     """
     songs_agg = stg_songs.groupBy("setlist_id").agg(_n().alias("song_count"))
     album_stats = (stg_albums.where(F.col("review_count") > 0)
@@ -42,10 +46,11 @@ def fct_concerts(stg_setlists: DataFrame, stg_band_mapping: DataFrame, stg_bands
                         F.sum("review_count").alias("review_count")))
     mapping = stg_band_mapping.select("sfm_mbid", F.col("ma_band_id").alias("m_band_id"))
     bands = stg_bands.select("band_id", "primary_subgenre")
+    band_level = (mapping.join(bands, F.col("m_band_id") == F.col("band_id"))
+                  .join(album_stats, F.col("band_id") == F.col("ab_band_id"), "left")
+                  .drop("m_band_id", "ab_band_id"))
     s = stg_setlists.join(songs_agg, "setlist_id", "left")
-    joined = (s.join(mapping, s.artist_mbid == mapping.sfm_mbid)
-               .join(bands, F.col("m_band_id") == bands.band_id)
-               .join(album_stats, F.col("band_id") == F.col("ab_band_id"), "left"))
+    joined = s.join(band_level, s.artist_mbid == band_level.sfm_mbid)
     return joined.select(
         F.col("setlist_id").alias("concert_id"),
         F.col("band_id").alias("ma_band_id"),

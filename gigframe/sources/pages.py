@@ -13,7 +13,7 @@ splittable: one page per line.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import parse_event_date
@@ -29,28 +29,38 @@ def select_pages(pages: DataFrame, max_pages: int | None = 5) -> DataFrame:
 
     The loop asks for pages 1, 2, ... (at most ``max_pages``) and stops at a
     missing or empty page, and after the page where page * itemsPerPage
-    reaches total. Over landed pages: page p is kept when every page 1..p is
-    present and non-empty and no earlier page met the stop condition. The
-    window runs over one slim row per (artist, page), pages beyond the cap
-    removed first; the page bodies are then kept with a semi join.
+    reaches total. So page p is kept when p is below the artist's first
+    empty page, first missing page and (first stopping page + 1).
+
+    Only aggregates and one equi-join on (artist, page) are used: a slim row
+    per page, a self-join to find pages whose predecessor is missing, and a
+    per-artist min (partial aggregation map-side). No task sorts an artist's
+    pages, so an artist with a third of all pages is no hot spot.
     """
-    meta = (pages.select("mbid", "page", "itemsPerPage", "total",
-                         F.coalesce(F.size("setlist"), F.lit(0)).alias("n"))
-            .where(F.col("page") >= 1))
+    meta = (pages.where(F.col("page") >= 1)
+            .select("mbid", "page",
+                    (F.coalesce(F.size("setlist"), F.lit(0)) == 0).alias("empty"),
+                    (F.col("page") * F.coalesce(F.col("itemsPerPage"), F.lit(20))
+                     >= F.coalesce(F.col("total"), F.lit(0))).alias("stop")))
     if max_pages is not None:
         meta = meta.where(F.col("page") <= max_pages)
     meta = (meta.groupBy("mbid", "page")
-            .agg(F.min("n").alias("n"),
-                 F.max((F.col("page") * F.coalesce(F.col("itemsPerPage"), F.lit(20))
-                        >= F.coalesce(F.col("total"), F.lit(0))).cast("int")).alias("stop")))
-    w = Window.partitionBy("mbid").orderBy("page")
-    before = w.rowsBetween(Window.unboundedPreceding, -1)
-    kept = (meta.withColumn("ok_run", F.row_number().over(w) == F.col("page"))
-                .withColumn("nonempty", (F.col("n") > 0).cast("int"))
-                .withColumn("empties", F.sum(1 - F.col("nonempty")).over(
-                    w.rowsBetween(Window.unboundedPreceding, 0)))
-                .withColumn("stopped", F.coalesce(F.max("stop").over(before), F.lit(0)))
-                .where(F.col("ok_run") & (F.col("empties") == 0) & (F.col("stopped") == 0))
+            .agg(F.max(F.col("empty").cast("int")).alias("empty"),
+                 F.max(F.col("stop").cast("int")).alias("stop")))
+    prev = meta.select("mbid", (F.col("page") + 1).alias("page"), F.lit(1).alias("has_prev"))
+    big = F.lit(2 ** 31 - 1)
+    limits = (meta.join(prev, ["mbid", "page"], "left")
+              .groupBy("mbid")
+              .agg(F.min(F.when(F.col("empty") == 1, F.col("page"))).alias("first_empty"),
+                   F.min(F.when(F.col("stop") == 1, F.col("page") + 1)).alias("after_stop"),
+                   F.min(F.when(F.col("page") == 1, F.lit(0))).alias("has_first"),
+                   F.min(F.when((F.col("page") > 1) & F.col("has_prev").isNull(),
+                                F.col("page") - 1)).alias("first_gap"))
+              .select("mbid", F.least(
+                  F.coalesce("first_empty", big), F.coalesce("after_stop", big),
+                  F.when(F.col("has_first").isNull(), F.lit(1))
+                   .otherwise(F.coalesce("first_gap", big))).alias("end_page")))
+    kept = (meta.join(limits, "mbid").where(F.col("page") < F.col("end_page"))
                 .select("mbid", "page"))
     return pages.join(kept, ["mbid", "page"], "left_semi")
 
