@@ -28,12 +28,36 @@ DRIVER_SCHEMAS = {
 }
 
 
+# Fact-sized driver tables (and a unique-ish key to spread them on) when
+# they arrive in too few splits.
+_FACT_KEYS = {"lineitem": "l_orderkey", "orders": "o_orderkey"}
+
+
 def _read(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
     reader = spark.read
     if name in DRIVER_SCHEMAS:
         reader = reader.schema(DRIVER_SCHEMAS[name])
     df = reader.parquet(f"{sf_dir}/{name}.parquet")
-    return df.select(*cols) if cols else df
+    df = df.select(*cols) if cols else df
+    return spread_if_few_splits(df, _FACT_KEYS[name]) if name in _FACT_KEYS else df
+
+
+def spread_if_few_splits(df: DataFrame, key: str) -> DataFrame:
+    """Round-robin the rows when the scan has far fewer splits than task slots.
+
+    A file written as one row group is read by one task, and everything up to
+    the first shuffle (joins to dimensions, parsing, the map side of a dedup)
+    would run in that task. A large table on a cluster has many row groups
+    and this is a no-op; it only adds a shuffle when the input is too coarse
+    to use the slots. Hash-partitioning on a near-unique key spreads evenly
+    and, unlike round-robin, needs no sort to be repeatable after a retry.
+    """
+    if df.sparkSession.conf.get("gigframe.spreadCoarseScans", "true") != "true":
+        return df
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() * 2 <= slots:
+        return df.repartition(slots, key)
+    return df
 
 
 def _join(left: DataFrame, right: DataFrame, cond: str) -> DataFrame:
