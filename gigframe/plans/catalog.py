@@ -136,3 +136,34 @@ class Catalog:
     @cached_property
     def top_songs(self) -> DataFrame:
         return M.agg_top_songs(self.stg_songs, self.stg_setlists)
+
+    # views -----------------------------------------------------------------
+    STAGING = ("stg_bands", "stg_albums", "stg_setlists", "stg_songs", "stg_band_mapping",
+               "stg_labels")
+    MARTS = {"fct_concerts": "fct_concerts", "dim_bands": "dim_bands",
+             "dim_venues": "dim_venues", "agg_concerts_by_country": "concerts_by_country",
+             "agg_concerts_over_time": "concerts_over_time",
+             "agg_country_genre_affinity": "country_genre_affinity",
+             "agg_festival_seasonality": "festival_seasonality",
+             "agg_genre_lifecycle": "genre_lifecycle",
+             "agg_genre_review_distribution": "genre_review_distribution",
+             "agg_genre_touring_intensity": "genre_touring_intensity",
+             "agg_productivity_vs_reviews": "productivity_vs_reviews",
+             "agg_rating_vs_touring": "rating_vs_touring",
+             "agg_subgenre_share_over_time": "subgenre_share_over_time",
+             "agg_top_songs": "top_songs"}
+
+    def register_views(self, prefix: str = "") -> list[str]:
+        """Register staging models and marts as temp views for ``spark.sql``.
+
+        Views stay lazy: a query over them is planned together with the
+        models it reads (the staging layer of the original was views too).
+        """
+        names = []
+        for name in self.STAGING:
+            getattr(self, name).createOrReplaceTempView(prefix + name)
+            names.append(prefix + name)
+        for view, attr in self.MARTS.items():
+            getattr(self, attr).createOrReplaceTempView(prefix + view)
+            names.append(prefix + view)
+        return names

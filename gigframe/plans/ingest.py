@@ -79,3 +79,23 @@ def ingest_pages(pages: DataFrame, max_pages: int | None = 5) -> tuple[DataFrame
     """Landed pages -> (setlist records, song records) after the paging rule."""
     kept = select_pages(pages, max_pages)
     return flatten_setlists(kept), flatten_songs(kept)
+
+
+def append_landed(setlists: DataFrame, songs: DataFrame, landing_dir: str,
+                  mapping: DataFrame | None = None) -> None:
+    """Append flattened records to the landed CSV tables the loader reads.
+
+    Mapping rows first and setlists/songs after, the order the original
+    ingester wrote them; a re-run that repeats rows is harmless because
+    staging deduplicates setlists and songs (and ``match_artists`` yields one
+    mapping row per band).
+    """
+    import os
+
+    from ..sources.schemas import RAW_TABLES
+    from ..sources.sinks import write_append
+
+    if mapping is not None:
+        write_append(mapping, os.path.join(landing_dir, RAW_TABLES["band_mapping"].filename), "csv")
+    write_append(setlists, os.path.join(landing_dir, RAW_TABLES["setlists"].filename), "csv")
+    write_append(songs, os.path.join(landing_dir, RAW_TABLES["songs"].filename), "csv")
