@@ -53,6 +53,23 @@ def _month_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return concerts_between(spark, path, "1997-03-15", "1998-06-10")
 
 
+def _stream_pages(table: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        import os
+
+        from ..streaming.pages import read_ingested, run_page_ingest, split_drops
+        c = _cat(spark, sf_dir)
+        base = scratch_path(spark, "stream-pages")
+        landing, out = os.path.join(base, "landing"), os.path.join(base, "out")
+        checkpoint = os.path.join(base, "checkpoint")
+        pages = build_pages(c.raw["setlists"], c.raw["songs"])
+        for i, drop in enumerate(split_drops(pages, 2)):
+            write_pages(drop, os.path.join(landing, f"drop={i}"))
+            run_page_ingest(spark, os.path.join(landing, "*"), out, checkpoint, max_pages=None)
+        return read_ingested(spark, out, table)
+    return run
+
+
 def _stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..streaming.resume import replay_setlists_twice
     _cat(spark, sf_dir)
@@ -121,6 +138,8 @@ QUERIES: dict[str, Query] = {
     "ingest_flatten_songs": _flatten(1),
     # streaming resume, layout, quality
     "stream_resume_setlists": _stream_resume,
+    "stream_ingest_pages_setlists": _stream_pages("setlists"),
+    "stream_ingest_pages_songs": _stream_pages("songs"),
     "month_pruned_concerts": _month_pruned,
     "quality_report": lambda s, d: quality.report(_cat(s, d)),
 }

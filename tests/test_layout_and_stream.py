@@ -22,3 +22,19 @@ def test_stream_second_run_emits_no_resent_rows(spark):
     out = replay_setlists_twice(spark, SF_SMALL)
     assert out.where("venue_id = 'vDUP'").count() == 0
     assert out.count() == out.select("setlist_id").distinct().count()
+
+
+def test_page_stream_rerun_without_new_files_adds_nothing(spark):
+    import os
+
+    from gigframe.sources.landing import build_pages, write_pages
+    from gigframe.streaming.pages import read_ingested, run_page_ingest
+
+    cat = Catalog(spark, SF_SMALL)
+    base = scratch_path(spark, "stream-pages-test")
+    landing, out, ckpt = (os.path.join(base, x) for x in ("landing", "out", "ckpt"))
+    write_pages(build_pages(cat.raw["setlists"], cat.raw["songs"]), os.path.join(landing, "d0"))
+    run_page_ingest(spark, os.path.join(landing, "*"), out, ckpt, max_pages=None)
+    n = read_ingested(spark, out, "setlists").count()
+    run_page_ingest(spark, os.path.join(landing, "*"), out, ckpt, max_pages=None)
+    assert read_ingested(spark, out, "setlists").count() == n == cat.raw["setlists"].count()
