@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .joins import join_to_groups
 
@@ -16,7 +17,9 @@ from .joins import join_to_groups
 def describe_by(df: DataFrame, key: str, value: str, decimals: int = 1) -> DataFrame:
     """count, mean, median, sample std, min, max of ``value`` per ``key``.
 
-    Rounded half-to-even (as pandas does); std is NULL for a single row.
+    Floating results are rounded half-to-even (as pandas does); min and max
+    keep the value's type, so integer scores stay integers. std is NULL for a
+    single row.
     """
     v = F.col(value)
     agg = df.groupBy(key).agg(
@@ -24,12 +27,15 @@ def describe_by(df: DataFrame, key: str, value: str, decimals: int = 1) -> DataF
         F.avg(v).alias("mean"),
         F.percentile(v, 0.5).alias("median"),
         F.stddev_samp(v).alias("std_dev"),
-        F.min(v).cast("double").alias("min"),
-        F.max(v).cast("double").alias("max"),
+        F.min(v).alias("min"),
+        F.max(v).alias("max"),
     )
+    integral = isinstance(df.schema[value].dataType, (T.ByteType, T.ShortType, T.IntegerType,
+                                                      T.LongType))
+    extremes = [F.col(c) if integral else F.bround(c, decimals).alias(c) for c in ("min", "max")]
     return agg.select(
         key, "albums",
-        *[F.bround(c, decimals).alias(c) for c in ("mean", "median", "std_dev", "min", "max")])
+        *[F.bround(c, decimals).alias(c) for c in ("mean", "median", "std_dev")], *extremes)
 
 
 def box_stats_by(df: DataFrame, key: str, value: str, whisker: float = 1.5) -> DataFrame:
