@@ -25,14 +25,32 @@ DEFAULT_CONF = {
 }
 
 
+# Cluster sizing: start every shuffle with many partitions and let AQE
+# coalesce them to ~256 MB each; a 10 TB shuffle still gets ~256 MB tasks,
+# a small one collapses to a few. Skewed partitions are split by AQE.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "32768",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "32768",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * 1024 * 1024),
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+}
+
+
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "gigframe", extra: dict | None = None) -> SparkSession:
+    """A session with our defaults; local masters get one partition per core."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
+    if not (master or "").startswith("local"):
+        conf.update(CLUSTER_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+        conf.pop("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
