@@ -68,9 +68,16 @@ def raw_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     cust = _read(spark, sf_dir, "customer", "c_custkey", "c_name", "c_nationkey", "c_acctbal",
                  "c_mktsegment")
     nation = _read(spark, sf_dir, "nation", "n_nationkey", "n_name")
-    bands = _join(cust, nation, "c_nationkey = n_nationkey").selectExpr(
-        "cast(c_custkey as string) as band_id", "c_name as band_name", "n_name as country",
-        """case when c_custkey % 6 = 0 then concat(c_mktsegment, ' Metal')
+    # Every tenth band gets a second copy (copy = 1) that must lose the
+    # keep-first dedup; both copies come from one pass over the customers.
+    rows = _join(cust, nation, "c_nationkey = n_nationkey").selectExpr(
+        "*", "explode(if(c_custkey % 10 = 0, array(0, 1), array(0))) as copy")
+    return rows.selectExpr(
+        "cast(c_custkey as string) as band_id",
+        "if(copy = 1, concat(c_name, ' (dup)'), c_name) as band_name",
+        "if(copy = 1, 'DUP', n_name) as country",
+        """case when copy = 1 then 'Dup Metal'
+                when c_custkey % 6 = 0 then concat(c_mktsegment, ' Metal')
                 when c_custkey % 6 = 1 then concat(c_mktsegment, ' Death Metal (early); Doom (later)')
                 when c_custkey % 6 = 2 then concat(c_mktsegment, ' Black Metal/Doom Metal')
                 when c_custkey % 6 = 3 then concat(c_mktsegment, ' Folk Metal, Rock')
@@ -78,12 +85,8 @@ def raw_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
                 when c_custkey % 24 = 5 then ''
                 when c_custkey % 24 = 11 then '/Doom'
                 else concat(c_mktsegment, ' Metal') end as genre""",
-        "case when c_acctbal < 0 then 'Split-up' else 'Active' end as status")
-    # Second copies of every tenth band: they must lose the keep-first dedup.
-    dups = cust.where("c_custkey % 10 = 0").selectExpr(
-        "cast(c_custkey as string) as band_id", "concat(c_name, ' (dup)') as band_name",
-        "'DUP' as country", "'Dup Metal' as genre", "'Unknown' as status")
-    return bands.unionByName(dups)
+        """case when copy = 1 then 'Unknown'
+                when c_acctbal < 0 then 'Split-up' else 'Active' end as status""")
 
 
 def raw_albums(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -154,10 +157,15 @@ def raw_setlists(spark: SparkSession, sf_dir: str, with_duplicates: bool = True)
         """case when o_orderkey % 4 = 0 then o_custkey % 40
                 when o_orderkey % 4 = 1 then o_custkey % 150 + 100
                 else o_custkey end as artist_key""")
-    flat = base.selectExpr(*SETLIST_EXPRS)
     if not with_duplicates:
-        return flat
-    return flat.unionByName(resent_setlists(flat))
+        return base.selectExpr(*SETLIST_EXPRS)
+    # Every 20th setlist is landed twice: the re-sent copy (copy = 1) is a day
+    # later at venue 'vDUP'. Both copies come from one pass over the orders.
+    rows = base.selectExpr("*", "explode(if(k % 20 = 0, array(0, 1), array(0))) as copy")
+    flat = rows.selectExpr(*SETLIST_EXPRS, "copy")
+    return (flat.withColumns({
+        "event_date": F.expr("if(copy = 1, date_add(event_date, 1), event_date)"),
+        "venue_id": F.expr("if(copy = 1, 'vDUP', venue_id)")}).drop("copy"))
 
 
 def resent_setlists(flat: DataFrame) -> DataFrame:
