@@ -37,7 +37,7 @@ def test_top_bands_ignores_unparseable_counts(spark):
         ("3", "Three", "X", "g", "s"),
     ], RAW_BANDS)
     got = rows(top_bands_by_reviews(albums, bands, n=2), "band_id", "band_name", "total_reviews")
-    # band 4 is in the top 2 by reviews but has no band row: dropped, as in the reference
+    # band 4 is in the top 2 by reviews but has no band row: dropped, as the original ingester does
     assert got == [("2", "Two", 12)]
 
 
