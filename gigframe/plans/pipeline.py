@@ -41,3 +41,26 @@ def run_pipeline(spark: SparkSession, landing_dir: str, warehouse_root: str,
     if check:
         quality.check({**stg, **out})
     return out
+
+
+def main(argv: list[str] | None = None) -> None:
+    """``python -m gigframe.plans.pipeline <landing_dir> <warehouse_root>``."""
+    import argparse
+
+    from ..session import build_session
+
+    p = argparse.ArgumentParser(description="Build raw, staging and mart tables, then check keys.")
+    p.add_argument("landing_dir")
+    p.add_argument("warehouse_root")
+    p.add_argument("--master", default=None, help="Spark master (default: from spark-submit)")
+    p.add_argument("--keep-empty-strings", action="store_true",
+                   help="load empty CSV cells as '' instead of NULL")
+    p.add_argument("--no-check", action="store_true", help="skip the key checks")
+    args = p.parse_args(argv)
+    spark = build_session(args.master)
+    run_pipeline(spark, args.landing_dir, args.warehouse_root, check=not args.no_check,
+                 empty_as="" if args.keep_empty_strings else None)
+
+
+if __name__ == "__main__":
+    main()

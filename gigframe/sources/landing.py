@@ -4,6 +4,11 @@ Used to produce page files from tables we hold, e.g. to replay an ingest.
 Pages are numbered densely per artist without sorting an artist's setlists
 in one task: rows are spread over hash buckets within the artist, numbered
 per bucket, and offset by the sizes of the earlier buckets (a small table).
+
+The page format nests a setlist's sets and songs in one record, so building
+a page collects rows: at most ``items_per_page`` setlists per page, each
+with its own songs. That is the format's bound (an API page), not a group
+of the data at large; nothing else in the library collects rows.
 """
 
 from __future__ import annotations
