@@ -46,16 +46,20 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
-    if not (master or "").startswith("local"):
-        conf.update(CLUSTER_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-        conf.pop("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    if not _is_local(spark):
+        # Decided on the running master (spark-submit may have set it); these
+        # are runtime SQL settings, so they apply to every later query.
+        for k, v in CLUSTER_CONF.items():
+            if k in (extra or {}) or (shuffle_partitions and "artition" in k):
+                continue
+            spark.conf.set(k, v)
     ensure_checkpoint_dir(spark)
     return spark
 
