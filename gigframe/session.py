@@ -53,7 +53,11 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    if not _is_local(spark):
+    if _is_local(spark):
+        if not shuffle_partitions and "spark.sql.shuffle.partitions" not in (extra or {}):
+            spark.conf.set("spark.sql.shuffle.partitions",
+                           str(spark.sparkContext.defaultParallelism))
+    else:
         # Decided on the running master (spark-submit may have set it); these
         # are runtime SQL settings, so they apply to every later query.
         for k, v in CLUSTER_CONF.items():
