@@ -21,6 +21,12 @@ def _n() -> F.Column:
     return F.count(F.lit(1))
 
 
+def _distinct(col: str, exact: bool) -> F.Column:
+    """count(distinct col); ``exact=False`` trades exactness for a fixed-size
+    HyperLogLog++ sketch (relative error ~1%) per group."""
+    return F.count_distinct(col) if exact else F.approx_count_distinct(col, 0.01)
+
+
 def _approx_median(col: str) -> F.Column:
     """An actual element near the middle, from a mergeable quantile sketch."""
     return F.percentile_approx(col, 0.5, MEDIAN_ACCURACY)
@@ -131,11 +137,11 @@ def agg_country_genre_affinity(stg_bands: DataFrame, min_country_bands: int = 50
                       F.round(lq, 2).alias("location_quotient")))
 
 
-def agg_festival_seasonality(fct: DataFrame) -> DataFrame:
+def agg_festival_seasonality(fct: DataFrame, exact_distinct: bool = True) -> DataFrame:
     return (fct.groupBy("event_month")
             .agg(_n().alias("concert_count"),
-                 F.count_distinct("ma_band_id").alias("unique_bands"),
-                 F.count_distinct("country_code").alias("unique_countries"))
+                 _distinct("ma_band_id", exact_distinct).alias("unique_bands"),
+                 _distinct("country_code", exact_distinct).alias("unique_countries"))
             .select("event_month", month_abbrev("event_month").alias("month_name"),
                     "concert_count", "unique_bands", "unique_countries"))
 
@@ -166,10 +172,10 @@ def agg_genre_review_distribution(stg_albums: DataFrame, stg_bands: DataFrame,
     return join_to_groups(rows, qualifying, "primary_subgenre", "left_semi")
 
 
-def agg_genre_touring_intensity(fct: DataFrame) -> DataFrame:
+def agg_genre_touring_intensity(fct: DataFrame, exact_distinct: bool = True) -> DataFrame:
     return (fct.where(present("primary_subgenre"))
             .groupBy("primary_subgenre")
-            .agg(F.count_distinct("ma_band_id").alias("band_count"),
+            .agg(_distinct("ma_band_id", exact_distinct).alias("band_count"),
                  _n().alias("total_concerts"))
             .select("primary_subgenre", "band_count", "total_concerts",
                     F.round(ratio("total_concerts", "band_count"), 1)
@@ -207,7 +213,8 @@ def agg_subgenre_share_over_time(fct: DataFrame) -> DataFrame:
                     pct("concert_count", "_total", 1).alias("concert_share_pct")))
 
 
-def agg_top_songs(stg_songs: DataFrame, stg_setlists: DataFrame) -> DataFrame:
+def agg_top_songs(stg_songs: DataFrame, stg_setlists: DataFrame,
+                  exact_distinct: bool = True) -> DataFrame:
     """Performances and distinct venues per (song, performing artist).
 
     Reads staging directly, so unmapped artists count too.
@@ -217,7 +224,7 @@ def agg_top_songs(stg_songs: DataFrame, stg_setlists: DataFrame) -> DataFrame:
     return (songs.join(setlists, "setlist_id")
             .groupBy("song_name", "artist_name")
             .agg(_n().alias("performance_count"),
-                 F.count_distinct("venue_id").alias("unique_venue_count")))
+                 _distinct("venue_id", exact_distinct).alias("unique_venue_count")))
 
 
 def marts(stg: dict[str, DataFrame], fct: DataFrame | None = None) -> dict[str, DataFrame]:

@@ -25,24 +25,40 @@ MART_CLUSTER = {
 
 
 def run_pipeline(spark: SparkSession, landing_dir: str, warehouse_root: str,
-                 check: bool = True, empty_as: str | None = None) -> dict[str, DataFrame]:
-    """Build every table; raise if a key check fails. Returns the written marts."""
+                 check: bool = True, empty_as: str | None = None,
+                 parallel: int = 4) -> dict[str, DataFrame]:
+    """Build every table; raise if a key check fails. Returns the written marts.
+
+    Tables of one layer do not read each other, so up to ``parallel`` of them
+    are written at once from driver threads; Spark runs their jobs side by
+    side on the cluster's slots.
+    """
     wh = Warehouse(spark, warehouse_root)
-    raw = {n: wh.write(df, n, "raw") for n, df in load_raw(spark, landing_dir, empty_as).items()}
-    stg = {n: wh.write(df, n, "staging") for n, df in staging(raw).items()}
+    raw = _write_all(wh, load_raw(spark, landing_dir, empty_as), "raw", parallel)
+    stg = _write_all(wh, staging(raw), "staging", parallel)
     fct = wh.write_month_partitioned(
         M.fct_concerts(stg["stg_setlists"], stg["stg_band_mapping"], stg["stg_bands"],
                        stg["stg_songs"], stg["stg_albums"]),
         "fct_concerts", "marts", cluster_by=FACT_CLUSTER).drop("event_month_start")
-    out = {"fct_concerts": fct}
-    for name, df in M.marts(stg, fct=fct).items():
-        if name != "fct_concerts":
-            out[name] = wh.write(df, name, "marts", cluster_by=MART_CLUSTER.get(name, ()))
+    rest = {n: df for n, df in M.marts(stg, fct=fct).items() if n != "fct_concerts"}
+    out = {"fct_concerts": fct, **_write_all(wh, rest, "marts", parallel, MART_CLUSTER)}
     if check:
         quality.check({**stg, **out})
     return out
 
 
+def _write_all(wh: Warehouse, tables: dict[str, DataFrame], layer: str, parallel: int,
+               cluster: dict | None = None) -> dict[str, DataFrame]:
+    from concurrent.futures import ThreadPoolExecutor
+
+    def write(item):
+        name, df = item
+        return name, wh.write(df, name, layer, cluster_by=(cluster or {}).get(name, ()))
+
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        return dict(pool.map(write, tables.items()))
+
+
 def main(argv: list[str] | None = None) -> None:
     """``python -m gigframe.plans.pipeline <landing_dir> <warehouse_root>``."""
     import argparse

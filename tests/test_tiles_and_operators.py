@@ -69,3 +69,15 @@ def test_box_and_describe_match_pandas(spark):
 def test_describe_single_row_std_is_null(spark):
     df = spark.createDataFrame([("x", 5)], "g string, v bigint")
     assert describe_by(df, "g", "v").collect()[0].std_dev is None
+
+
+def test_approx_distinct_option_is_close(spark):
+    from gigframe.plans.catalog import Catalog
+    from gigframe.plans.marts import agg_genre_touring_intensity
+    from conftest import SF_SMALL
+    fct = Catalog(spark, SF_SMALL).fct_concerts
+    exact = {r.primary_subgenre: r.band_count for r in agg_genre_touring_intensity(fct).collect()}
+    approx = {r.primary_subgenre: r.band_count
+              for r in agg_genre_touring_intensity(fct, exact_distinct=False).collect()}
+    assert exact.keys() == approx.keys()
+    assert all(abs(exact[k] - approx[k]) <= max(1, 0.05 * exact[k]) for k in exact)
