@@ -62,6 +62,11 @@ class Catalog:
     def stg_albums(self) -> DataFrame:
         return S.stg_albums(self.raw["albums"])
 
+    @cached_property
+    def stg_albums_reviewed(self) -> DataFrame:
+        """stg_albums where review_count > 0, filtered before the dedup."""
+        return S.stg_albums(self.raw["albums"], reviewed_only=True)
+
     @cached_property
     def stg_setlists(self) -> DataFrame:
         return S.stg_setlists(self.raw["setlists"])
@@ -82,7 +87,7 @@ class Catalog:
     @cached_property
     def fct_concerts(self) -> DataFrame:
         return M.fct_concerts(self.stg_setlists, self.stg_band_mapping, self.stg_bands,
-                              self.stg_songs, self.stg_albums)
+                              self.stg_songs, self.stg_albums_reviewed)
 
     @cached_property
     def dim_bands(self) -> DataFrame:
@@ -115,7 +120,7 @@ class Catalog:
 
     @cached_property
     def genre_review_distribution(self) -> DataFrame:
-        return M.agg_genre_review_distribution(self.stg_albums, self.stg_bands)
+        return M.agg_genre_review_distribution(self.stg_albums_reviewed, self.stg_bands)
 
     @cached_property
     def genre_touring_intensity(self) -> DataFrame:
@@ -123,7 +128,7 @@ class Catalog:
 
     @cached_property
     def productivity_vs_reviews(self) -> DataFrame:
-        return M.agg_productivity_vs_reviews(self.stg_albums)
+        return M.agg_productivity_vs_reviews(self.stg_albums_reviewed)
 
     @cached_property
     def rating_vs_touring(self) -> DataFrame:

@@ -51,3 +51,12 @@ def test_setlist_dedup_keeps_earliest(spark):
     out = stg_setlists(raw)
     assert rows(out, "setlist_id", "event_date", "event_year", "event_month") == [
         ("x", d, 2019, 8)]
+
+
+def test_reviewed_only_equals_filter_after_dedup(spark):
+    from conftest import SF_ORACLE
+    from gigframe.sources.adapters import raw_albums
+    raw = raw_albums(spark, SF_ORACLE)
+    a = stg_albums(raw).where("review_count > 0")
+    b = stg_albums(raw, reviewed_only=True)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
