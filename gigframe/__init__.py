@@ -9,7 +9,7 @@ Layers, bottom to top:
                           dedup, shares of a parent total, bounded broadcast,
                           per-group statistics, key checks).
 * ``gigframe.plans``      staging models, marts, dashboard tiles, ingest
-                          selection, data quality and the full pipeline.
+                          selection, data quality and the full build run.
 * ``gigframe.streaming``  resumable file ingest with Structured Streaming.
 
 Every function returns a lazy DataFrame; nothing is collected to the driver.

@@ -1 +1 @@
-"""Composite plans: staging, marts, tiles, ingest, quality, pipeline."""
+"""Composite plans: staging, marts, tiles, ingest, quality, the full build run."""

@@ -24,7 +24,7 @@ MART_CLUSTER = {
 }
 
 
-def run_pipeline(spark: SparkSession, landing_dir: str, warehouse_root: str,
+def build_all(spark: SparkSession, landing_dir: str, warehouse_root: str,
                  check: bool = True, empty_as: str | None = None,
                  parallel: int = 4) -> dict[str, DataFrame]:
     """Build every table; raise if a key check fails. Returns the written marts.
@@ -60,7 +60,7 @@ def _write_all(wh: Warehouse, tables: dict[str, DataFrame], layer: str, parallel
 
 
 def main(argv: list[str] | None = None) -> None:
-    """``python -m gigframe.plans.pipeline <landing_dir> <warehouse_root>``."""
+    """``python -m gigframe.plans.full_run <landing_dir> <warehouse_root>``."""
     import argparse
 
     from ..session import build_session
@@ -74,7 +74,7 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--no-check", action="store_true", help="skip the key checks")
     args = p.parse_args(argv)
     spark = build_session(args.master)
-    run_pipeline(spark, args.landing_dir, args.warehouse_root, check=not args.no_check,
+    build_all(spark, args.landing_dir, args.warehouse_root, check=not args.no_check,
                  empty_as="" if args.keep_empty_strings else None)
 
 

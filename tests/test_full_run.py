@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gigframe.plans.marts import marts
-from gigframe.plans.pipeline import run_pipeline
+from gigframe.plans.full_run import build_all
 from gigframe.plans.staging import staging
 from gigframe.session import scratch_path
 from gigframe.sources.adapters import raw_tables
@@ -44,10 +44,10 @@ def test_empty_as_option_keeps_empty_strings(spark):
     assert bands.where("genre is null").count() == 0
 
 
-def test_pipeline_matches_lazy_plans(spark):
+def test_full_run_matches_lazy_plans(spark):
     raw = raw_tables(spark, SF_SMALL)
     landing = write_landing_csv(raw, scratch_path(spark, "landing"))
-    out = run_pipeline(spark, landing, scratch_path(spark, "warehouse"))
+    out = build_all(spark, landing, scratch_path(spark, "warehouse"))
     want_all = marts(staging({n: _empty_to_null(df) for n, df in raw.items()}))
     assert set(out) == set(want_all)
     for name, want in want_all.items():
