@@ -81,3 +81,22 @@ def test_approx_distinct_option_is_close(spark):
               for r in agg_genre_touring_intensity(fct, exact_distinct=False).collect()}
     assert exact.keys() == approx.keys()
     assert all(abs(exact[k] - approx[k]) <= max(1, 0.05 * exact[k]) for k in exact)
+
+
+def test_single_choice_tiles_equal_the_per_group_form(spark):
+    from gigframe.plans.catalog import Catalog
+    from conftest import SF_ORACLE
+    aff = Catalog(spark, SF_ORACLE).country_genre_affinity
+    country = aff.orderBy(F.col("band_count").desc(), "country").first().country
+    genre = aff.orderBy(F.col("band_count").desc(), "primary_subgenre").first().primary_subgenre
+    pairs = [
+        (tiles.country_specialisation(aff, country),
+         tiles.country_specialisation(aff).where(F.col("country") == country)),
+        (tiles.genre_countries_lq(aff, genre),
+         tiles.genre_countries_lq(aff).where(F.col("primary_subgenre") == genre)),
+        (tiles.genre_countries_count(aff, genre, n=5),
+         tiles.genre_countries_count(aff, n=5).where(F.col("primary_subgenre") == genre)),
+    ]
+    for one, every in pairs:
+        assert rows(one) == rows(every)
+        assert one.count() > 0
