@@ -1,9 +1,10 @@
 """Write raw setlists and songs as landed API pages (the lander's side).
 
 Used to produce page files from tables we hold, e.g. to replay an ingest.
-Pages are numbered densely per artist without sorting an artist's setlists
-in one task: rows are spread over hash buckets within the artist, numbered
-per bucket, and offset by the sizes of the earlier buckets (a small table).
+Pages are numbered densely per artist without sorting a large artist's
+setlists in one task: its rows are spread over hash buckets (as many as its
+size needs), numbered per bucket, and offset by the sizes of the earlier
+buckets (a small table).
 
 The page format nests a setlist's sets and songs in one record, so building
 a page collects rows: at most ``items_per_page`` setlists per page, each
@@ -18,20 +19,30 @@ import os
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.joins import bounded_broadcast
 from .schemas import RAW_TABLES
 
 ITEMS_PER_PAGE = 20
-NUMBERING_BUCKETS = 64
+ROWS_PER_BUCKET = 1_000_000
 
 
 def dense_positions(df: DataFrame, group: str, key: str,
-                    buckets: int = NUMBERING_BUCKETS) -> DataFrame:
+                    rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """Add ``pos`` = 1..n within each ``group`` and ``group_total`` = n.
 
-    Skew-safe: a group holding a third of the rows is numbered by ``buckets``
-    tasks; only the per-(group, bucket) counts meet in a window.
+    Skew-safe at any size: a group is split into ceil(n / rows_per_bucket)
+    hash buckets, each numbered by its own task, and a bucket's positions are
+    offset by the sizes of the group's earlier buckets. Only the per-group
+    counts (partial aggregation) and the per-(group, bucket) sizes meet in
+    windows; the hot groups' bucket counts reach the rows through a
+    count-checked broadcast of at most total / rows_per_bucket entries.
     """
-    b = df.withColumn("_b", F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)))
+    counts = df.groupBy(group).agg(F.count(F.lit(1)).alias("_cnt"))
+    hot = (counts.where(F.col("_cnt") > rows_per_bucket)
+                 .select(group, F.ceil(F.col("_cnt") / F.lit(rows_per_bucket)).alias("_nb")))
+    b = (df.join(bounded_broadcast(hot), group, "left")
+           .withColumn("_b", F.pmod(F.xxhash64(F.col(key)), F.coalesce(F.col("_nb"), F.lit(1))))
+           .drop("_nb"))
     rn = b.withColumn("_rn", F.row_number().over(
         Window.partitionBy(group, "_b").orderBy(F.col(key))))
     sizes = b.groupBy(group, "_b").agg(F.count(F.lit(1)).alias("_cnt"))

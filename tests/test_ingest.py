@@ -101,3 +101,19 @@ def test_page_rule(spark, tmp_path):
     got = rows(select_pages(df, max_pages=5), "mbid", "page")
     assert got == [("a", 1), ("a", 2), ("b", 1), ("c", 1)] + [("d", p) for p in range(1, 6)]
     assert ("d", 7) in rows(select_pages(df, max_pages=None), "mbid", "page")
+
+
+def test_dense_positions_split_hot_groups(spark):
+    from pyspark.sql import functions as F
+
+    from gigframe.sources.landing import dense_positions
+    df = spark.range(5000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise((F.col("id") % 7).cast("string"))
+         .alias("g"), F.col("id").cast("string").alias("k"))
+    out = dense_positions(df, "g", "k", rows_per_bucket=100)
+    stats = {r.g: (r.n, r.lo, r.hi, r.d, r.t) for r in out.groupBy("g").agg(
+        F.count(F.lit(1)).alias("n"), F.min("pos").alias("lo"), F.max("pos").alias("hi"),
+        F.countDistinct("pos").alias("d"), F.max("group_total").alias("t")).collect()}
+    for n, lo, hi, d, t in stats.values():
+        assert (lo, hi, d, t) == (1, n, n, n)
+    assert stats["hot"][0] == 1667
