@@ -16,7 +16,17 @@ from . import marts as M
 from . import quality
 from .staging import staging
 
-# Physical layout of the written marts (cluster keys).
+# Physical layout. Staging tables are bucketed on the key
+# their consumers join or group on, the same bucket count for all, so
+# setlists/songs (setlist_id) and bands/albums/mapping (band id) meet
+# bucket by bucket without a shuffle.
+STAGING_BUCKETS = {
+    "stg_setlists": ("setlist_id",),
+    "stg_songs": ("setlist_id",),
+    "stg_bands": ("band_id",),
+    "stg_albums": ("band_id",),
+    "stg_band_mapping": ("ma_band_id",),
+}
 FACT_CLUSTER = ("primary_subgenre", "country_code")
 MART_CLUSTER = {
     "dim_bands": ("country", "primary_subgenre"),
@@ -25,17 +35,18 @@ MART_CLUSTER = {
 
 
 def build_all(spark: SparkSession, landing_dir: str, warehouse_root: str,
-                 check: bool = True, empty_as: str | None = None,
-                 parallel: int = 4) -> dict[str, DataFrame]:
+              check: bool = True, empty_as: str | None = None,
+              parallel: int = 4, buckets: int | None = None) -> dict[str, DataFrame]:
     """Build every table; raise if a key check fails. Returns the written marts.
 
-    Tables of one layer do not read each other, so up to ``parallel`` of them
-    are written at once from driver threads; Spark runs their jobs side by
-    side on the cluster's slots.
+    Layers become databases ``raw``, ``staging`` and ``marts`` of external
+    tables under ``warehouse_root``. Tables of one layer do not read each
+    other, so up to ``parallel`` of them are written at once from driver
+    threads; Spark runs their jobs side by side on the cluster's slots.
     """
-    wh = Warehouse(spark, warehouse_root)
+    wh = Warehouse(spark, warehouse_root, use_catalog=True, buckets=buckets)
     raw = _write_all(wh, load_raw(spark, landing_dir, empty_as), "raw", parallel)
-    stg = _write_all(wh, staging(raw), "staging", parallel)
+    stg = _write_all(wh, staging(raw), "staging", parallel, bucket=STAGING_BUCKETS)
     fct = wh.write_month_partitioned(
         M.fct_concerts(stg["stg_setlists"], stg["stg_band_mapping"], stg["stg_bands"],
                        stg["stg_songs"], stg["stg_albums"]),
@@ -48,12 +59,13 @@ def build_all(spark: SparkSession, landing_dir: str, warehouse_root: str,
 
 
 def _write_all(wh: Warehouse, tables: dict[str, DataFrame], layer: str, parallel: int,
-               cluster: dict | None = None) -> dict[str, DataFrame]:
+               cluster: dict | None = None, bucket: dict | None = None) -> dict[str, DataFrame]:
     from concurrent.futures import ThreadPoolExecutor
 
     def write(item):
         name, df = item
-        return name, wh.write(df, name, layer, cluster_by=(cluster or {}).get(name, ()))
+        return name, wh.write(df, name, layer, cluster_by=(cluster or {}).get(name, ()),
+                              bucket_by=(bucket or {}).get(name, ()))
 
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
         return dict(pool.map(write, tables.items()))

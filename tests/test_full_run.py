@@ -55,3 +55,22 @@ def test_full_run_matches_lazy_plans(spark):
         assert _same(got, want), name
     first_file = out["fct_concerts"].inputFiles()[0]
     assert os.path.basename(os.path.dirname(first_file)).startswith("event_month_start=")
+
+
+def test_bucketed_staging_joins_without_shuffle(spark):
+    from gigframe.plans.marts import agg_top_songs
+
+    raw = raw_tables(spark, SF_SMALL)
+    landing = write_landing_csv(raw, scratch_path(spark, "landing"))
+    build_all(spark, landing, scratch_path(spark, "warehouse"), check=False)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        songs, setlists = spark.table("staging.stg_songs"), spark.table("staging.stg_setlists")
+        plan = agg_top_songs(songs, setlists)._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan
+        assert "Exchange hashpartitioning(setlist_id" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
