@@ -172,3 +172,31 @@ class Catalog:
             getattr(self, attr).createOrReplaceTempView(prefix + view)
             names.append(prefix + view)
         return names
+
+
+class WrittenCatalog:
+    """The same attribute names as ``Catalog``, reading the written tables.
+
+    Dashboard tiles then read small pre-aggregated marts instead of
+    recomputing them: ``tiles.touring_top(written_catalog(spark)
+    .genre_touring_intensity)``.
+    """
+
+    def __init__(self, spark: SparkSession, marts_db: str = "marts", staging_db: str = "staging"):
+        self.spark = spark
+        self._marts_db, self._staging_db = marts_db, staging_db
+
+    def __getattr__(self, attr: str) -> DataFrame:
+        if attr.startswith("_"):
+            raise AttributeError(attr)
+        if attr in Catalog.STAGING:
+            return self.spark.table(f"{self._staging_db}.{attr}")
+        for table, name in Catalog.MARTS.items():
+            if name == attr:
+                return self.spark.table(f"{self._marts_db}.{table}")
+        raise AttributeError(attr)
+
+
+def written_catalog(spark: SparkSession, marts_db: str = "marts",
+                    staging_db: str = "staging") -> WrittenCatalog:
+    return WrittenCatalog(spark, marts_db, staging_db)

@@ -30,19 +30,24 @@ def clustered(df: DataFrame, *cols: str, partitions: int | None = None) -> DataF
     return df.repartitionByRange(int(n), *cols).sortWithinPartitions(*cols)
 
 
-def write_month_partitioned(fct: DataFrame, path: str, date_col: str = "event_date",
-                            cluster_by: tuple[str, ...] = ("primary_subgenre", "country_code"),
-                            ) -> str:
-    """Write the fact partitioned by month of ``date_col``, clustered within.
+def month_layout(fct: DataFrame, date_col: str = "event_date",
+                 cluster_by: tuple[str, ...] = ("primary_subgenre", "country_code")) -> DataFrame:
+    """Add the month column; range-partition and sort by (month, cluster keys).
 
-    Rows are range-partitioned by (month, cluster keys) so each task writes
-    few month folders with sorted row groups.
+    Each task then writes few month folders with sorted row groups.
     """
     df = fct.withColumn(MONTH_COLUMN, F.trunc(F.col(date_col), "month"))
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    laid_out = (df.repartitionByRange(n, MONTH_COLUMN, *cluster_by)
-                  .sortWithinPartitions(MONTH_COLUMN, *cluster_by))
-    laid_out.write.mode("overwrite").partitionBy(MONTH_COLUMN).parquet(path)
+    return (df.repartitionByRange(n, MONTH_COLUMN, *cluster_by)
+              .sortWithinPartitions(MONTH_COLUMN, *cluster_by))
+
+
+def write_month_partitioned(fct: DataFrame, path: str, date_col: str = "event_date",
+                            cluster_by: tuple[str, ...] = ("primary_subgenre", "country_code"),
+                            ) -> str:
+    """Write the fact partitioned by month of ``date_col``, clustered within."""
+    month_layout(fct, date_col, cluster_by).write.mode("overwrite").partitionBy(MONTH_COLUMN) \
+        .parquet(path)
     return path
 
 

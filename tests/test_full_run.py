@@ -55,6 +55,14 @@ def test_full_run_matches_lazy_plans(spark):
         assert _same(got, want), name
     first_file = out["fct_concerts"].inputFiles()[0]
     assert os.path.basename(os.path.dirname(first_file)).startswith("event_month_start=")
+    # tiles read the written marts under the lazy catalog's names
+    from gigframe.plans import tiles
+    from gigframe.plans.catalog import Catalog, written_catalog
+    written, lazy = written_catalog(spark), Catalog(spark, SF_SMALL)
+    assert _same(tiles.touring_top(written.genre_touring_intensity),
+                 tiles.touring_top(want_all["agg_genre_touring_intensity"]))
+    assert written.fct_concerts.count() == want_all["fct_concerts"].count()
+    assert written.stg_bands.count() == lazy.stg_bands.count()
 
 
 def test_bucketed_staging_joins_without_shuffle(spark):
