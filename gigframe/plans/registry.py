@@ -70,6 +70,21 @@ def _stream_pages(table: str) -> Query:
     return run
 
 
+def _load_csv(name: str) -> Query:
+    """Land one raw table as CSV (header as the source writes it), load it back."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        import os
+
+        from ..sources.csv import read_raw_table
+        from ..sources.landing import write_landing_csv
+        from ..sources.schemas import RAW_TABLES
+        c = _cat(spark, sf_dir)
+        landing = scratch_path(spark, "landing")
+        write_landing_csv({name: c.raw[name]}, landing, only=[name])
+        return read_raw_table(spark, RAW_TABLES[name], landing)
+    return run
+
+
 def _stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..streaming.resume import replay_setlists_twice
     _cat(spark, sf_dir)
@@ -134,6 +149,8 @@ QUERIES: dict[str, Query] = {
     "ingest_unprocessed": lambda s, d: (lambda c: ingest.unprocessed(
         ingest.first_bands(c.raw["bands"]),
         c.raw["band_mapping"].selectExpr("cast(ma_band_id as string) as band_id")))(_cat(s, d)),
+    "load_csv_albums": _load_csv("albums"),
+    "load_csv_setlists": _load_csv("setlists"),
     "ingest_flatten_setlists": _flatten(0),
     "ingest_flatten_songs": _flatten(1),
     # streaming resume, layout, quality

@@ -105,13 +105,15 @@ def write_pages(pages: DataFrame, path: str) -> str:
 
 
 def write_landing_csv(raw: dict[str, DataFrame], landing_dir: str,
-                      extra_columns: bool = True) -> str:
+                      extra_columns: bool = True, only: list[str] | None = None) -> str:
     """Write raw tables as the landed CSV files the loader reads.
 
     Header-named tables get their original headers (with blanks) and, if
     ``extra_columns``, a column the loader must ignore.
     """
     for name, t in RAW_TABLES.items():
+        if only is not None and name not in only:
+            continue
         df = raw[name]
         if t.all_string:
             df = df.select(*[F.col(new).alias(old.replace("_", " "))
