@@ -28,9 +28,9 @@ DRIVER_SCHEMAS = {
 }
 
 
-# Fact-sized driver tables (and a unique-ish key to spread them on) when
-# they arrive in too few splits.
-_FACT_KEYS = {"lineitem": "l_orderkey", "orders": "o_orderkey"}
+# The fact-sized driver table (and a unique-ish key to spread it on) when
+# it arrives in too few splits; smaller tables are broadcast or cheap to scan.
+_FACT_KEYS = {"lineitem": "l_orderkey"}
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
