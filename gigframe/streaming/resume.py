@@ -13,6 +13,7 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import scratch_path
@@ -23,13 +24,27 @@ ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateS
 
 
 def run_incremental(spark: SparkSession, landing: str, sink: str, checkpoint: str,
-                    schema: T.StructType, keys: list[str], fmt: str = "parquet") -> None:
+                    schema: T.StructType, keys: list[str], fmt: str = "parquet",
+                    event_time: str | None = None, resend_delay: str | None = None) -> None:
     """Process every landed file not seen before, append new keys to ``sink``.
 
     Runs until the files present at start are done (availableNow), then stops.
+    By default every key ever written is remembered (exact, state grows with
+    the keys, held in RocksDB). With ``event_time`` and ``resend_delay`` (e.g.
+    "30 days") a key is remembered only until the event-time watermark passes
+    it: bounded state, for sources whose re-sends arrive within that delay;
+    records older than the watermark are dropped as late.
     """
     stream = spark.readStream.schema(schema).format(fmt).load(landing)
-    q = (stream.dropDuplicates(keys)
+    if event_time and resend_delay:
+        ts = "_event_ts"
+        deduped = (stream.withColumn(ts, F.col(event_time).cast("timestamp"))
+                   .withWatermark(ts, resend_delay)
+                   .dropDuplicatesWithinWatermark(keys)
+                   .drop(ts))
+    else:
+        deduped = stream.dropDuplicates(keys)
+    q = (deduped
          .writeStream.format("parquet")
          .option("path", sink)
          .option("checkpointLocation", checkpoint)
