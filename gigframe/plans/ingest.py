@@ -27,14 +27,17 @@ def first_bands(raw_bands: DataFrame) -> DataFrame:
 def top_bands_by_reviews(raw_albums: DataFrame, raw_bands: DataFrame, n: int = 50) -> DataFrame:
     """The n bands with the most reviews (raw album rows, bad text ignored).
 
-    Counts are summed per band with map-side partial sums; the n ids (a
-    fixed-size list) are broadcast into the join with the band rows.
+    Counts are summed per band with map-side partial sums. The n ids (a
+    fixed-size list) are broadcast twice: to keep only those bands' rows
+    before the keep-first dedup (it is per band_id, so that is the same
+    result as deduplicating all bands first), and to attach the totals.
     """
     counts = (raw_albums.select("band_id", counter_review_count("reviews").alias("c"))
               .where(F.col("c").isNotNull())
               .groupBy("band_id").agg(F.sum("c").alias("total_reviews")))
     top = counts.orderBy(F.col("total_reviews").desc(), F.col("band_id").asc()).limit(n)
-    return first_bands(raw_bands).join(fixed_broadcast(top), "band_id")
+    rows = raw_bands.join(fixed_broadcast(top.select("band_id")), "band_id", "left_semi")
+    return first_bands(rows).join(fixed_broadcast(top), "band_id")
 
 
 def match_artists(bands: DataFrame, candidates: DataFrame) -> DataFrame:
