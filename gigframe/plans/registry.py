@@ -146,9 +146,11 @@ QUERIES: dict[str, Query] = {
         c.raw["albums"], c.raw["bands"]))(_cat(s, d)),
     "ingest_band_mapping": lambda s, d: (lambda c: ingest.match_artists(
         ingest.first_bands(c.raw["bands"]), adapters.artist_candidates(s, d)))(_cat(s, d)),
-    "ingest_unprocessed": lambda s, d: (lambda c: ingest.unprocessed(
-        ingest.first_bands(c.raw["bands"]),
-        c.raw["band_mapping"].selectExpr("cast(ma_band_id as string) as band_id")))(_cat(s, d)),
+    # The anti join is per band_id like the dedup, so it runs first and the
+    # dedup only sorts the bands still to do.
+    "ingest_unprocessed": lambda s, d: (lambda c: ingest.first_bands(ingest.unprocessed(
+        c.raw["bands"],
+        c.raw["band_mapping"].selectExpr("cast(ma_band_id as string) as band_id"))))(_cat(s, d)),
     "load_csv_albums": _load_csv("albums"),
     "load_csv_setlists": _load_csv("setlists"),
     "ingest_flatten_setlists": _flatten(0),
