@@ -69,7 +69,10 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 
 
 def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    try:
+        return spark.sparkContext.master.startswith("local")
+    except Exception:  # noqa: BLE001  (Spark Connect)
+        return False
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -79,7 +82,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     one (tests, the bench) gets a fresh folder of its own; on a cluster a
     machine-local folder would be lost with its executor, so we refuse.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001  (Spark Connect: the server owns the folder)
+        return spark.conf.get("spark.checkpoint.dir", None)
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -97,4 +103,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder for written tables."""
     base = ensure_checkpoint_dir(spark)
+    if not base:
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder")
     return os.path.join(base, "tables", f"{name}-{uuid.uuid4().hex[:12]}")

@@ -54,8 +54,12 @@ def spread_if_few_splits(df: DataFrame, key: str) -> DataFrame:
     """
     if df.sparkSession.conf.get("gigframe.spreadCoarseScans", "true") != "true":
         return df
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() * 2 <= slots:
+    try:
+        slots = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001  (no RDD view, e.g. a Spark Connect session)
+        return df
+    if splits * 2 <= slots:
         return df.repartition(slots, key)
     return df
 
