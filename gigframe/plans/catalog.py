@@ -142,6 +142,23 @@ class Catalog:
     def top_songs(self) -> DataFrame:
         return M.agg_top_songs(self.stg_songs, self.stg_setlists)
 
+    # materialisation ---------------------------------------------------------
+    def materialize(self, *names: str) -> "Catalog":
+        """Write the named models to the shared checkpoint folder and use them.
+
+        Later tiles and marts that read these models start from the written
+        files instead of re-running their lineage (for interactive use over one
+        session). A reliable checkpoint, not a local one: it survives the loss
+        of the executors that computed it.
+        """
+        from ..session import ensure_checkpoint_dir
+
+        ensure_checkpoint_dir(self.spark)
+        for name in names:
+            df = getattr(self, name)
+            self.__dict__[name] = df.checkpoint(eager=True)
+        return self
+
     # views -----------------------------------------------------------------
     STAGING = ("stg_bands", "stg_albums", "stg_setlists", "stg_songs", "stg_band_mapping",
                "stg_labels")

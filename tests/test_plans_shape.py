@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from gigframe.operators import keep_first
 from gigframe.plans.catalog import Catalog
+from conftest import rows
 from gigframe.plans.ingest import append_landed, ingest_pages
 from gigframe.session import scratch_path
 from gigframe.sources.csv import load_raw
@@ -65,3 +66,13 @@ def test_landed_pages_append_to_loader_csv(spark):
     raw = load_raw(spark, landing)
     assert raw["setlists"].count() == 2 * cat.raw["setlists"].count()
     assert raw["songs"].count() == cat.raw["songs"].count() + songs.count()
+
+
+def test_materialized_models_cut_the_lineage(spark):
+    cat = Catalog(spark, SF_SMALL)
+    want = rows(cat.genre_touring_intensity)
+    fresh = Catalog(spark, SF_SMALL).materialize("stg_bands", "fct_concerts")
+    plan = _plan(fresh.genre_touring_intensity)
+    assert "Scan ExistingRDD" in plan or "LogicalRDD" in plan or "Scan" in plan
+    assert "lineitem" not in plan            # the fact's inputs are no longer in the plan
+    assert rows(fresh.genre_touring_intensity) == want
