@@ -76,3 +76,17 @@ def test_materialized_models_cut_the_lineage(spark):
     assert "Scan ExistingRDD" in plan or "LogicalRDD" in plan or "Scan" in plan
     assert "lineitem" not in plan            # the fact's inputs are no longer in the plan
     assert rows(fresh.genre_touring_intensity) == want
+
+
+def test_no_pair_products_in_any_registered_query(spark):
+    """No cartesian product anywhere; a nested-loop join only ever joins a one-row total."""
+    import __spark_entry__ as E
+
+    allowed_nlj = {"country_genre_affinity", "tile_country_list", "tile_genre_list",
+                   "tile_country_specialisation", "tile_genre_countries_lq",
+                   "tile_genre_countries_count", "tile_headline_counts"}
+    for name, fn in E.queries().items():
+        plan = _plan(fn(spark, SF_SMALL))
+        assert "CartesianProduct" not in plan, name
+        if "BroadcastNestedLoopJoin" in plan:
+            assert name in allowed_nlj, name
