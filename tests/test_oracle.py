@@ -13,8 +13,8 @@ from conftest import SF_SMALL
 import __spark_entry__ as E
 from tools.check_oracle import TABLES, _digest
 
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
+QUERIES = dict(E.registry.QUERIES)
+ORACLE = {k: v for k, v in E.oracle_sql().items() if k in QUERIES}
 
 
 @pytest.fixture(scope="module")
