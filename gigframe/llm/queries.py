@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe
+from . import byte_bpe, jaccard_join, wavelet_ids
+from ..session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,7 +25,23 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                                    public_tokenizers.PATTERN).drop("text")
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose 3-word shingle sets are 0.9 similar."""
+    return jaccard_join.jaccard_components(spark, _table(spark, sf_dir, "documents"),
+                                           n=3, num=90, den=100)
+
+
+def op7_wavelet_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write every document's ids as wavelet shards, read them back, checksum per document."""
+    path = scratch_path(spark, "wavelet_ids")
+    wavelet_ids.write_shards(_table(spark, sf_dir, "documents"), path,
+                             public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
+    return wavelet_ids.document_checksums(spark, path)
+
+
 QUERIES: dict[str, Query] = {
+    "op5_jaccard_join": op5_jaccard_join,
+    "op7_wavelet_ids": op7_wavelet_ids,
     "op9_byte_bpe": op9_byte_bpe,
 }
 
