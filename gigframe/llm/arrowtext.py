@@ -7,6 +7,7 @@ the UTF-8 bytes with numpy.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,3 +45,16 @@ def utf8(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     if data is None or offs[-1] == offs[0]:
         return np.zeros(0, np.uint8), np.zeros(len(texts) + 1, np.int64)
     return np.frombuffer(data, np.uint8)[offs[0]:offs[-1]], offs - offs[0]
+
+
+def find_on_workers(spark) -> None:
+    """Put this package's folder on the import path of Python workers.
+
+    Covers sessions whose executors see the same files as the driver but run elsewhere
+    (a notebook, a test); on other clusters ship the package with --py-files.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, root])

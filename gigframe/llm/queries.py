@@ -7,13 +7,15 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, jaccard_join, wavelet_ids
+from . import byte_bpe, jaccard_join, toxicity, wavelet_ids
 from ..session import scratch_path
+from .arrowtext import find_on_workers
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
+    find_on_workers(spark)
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     return df.select(*cols) if cols else df
 
@@ -25,6 +27,12 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                                    public_tokenizers.PATTERN).drop("text")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document; fold 2 of 4 is held out of the fit."""
+    docs = _table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, _table(spark, sf_dir, "labels")))
+
+
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose 3-word shingle sets are 0.9 similar."""
     return jaccard_join.jaccard_components(spark, _table(spark, sf_dir, "documents"),
@@ -40,6 +48,7 @@ def op7_wavelet_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_toxicity": op1_toxicity,
     "op5_jaccard_join": op5_jaccard_join,
     "op7_wavelet_ids": op7_wavelet_ids,
     "op9_byte_bpe": op9_byte_bpe,
