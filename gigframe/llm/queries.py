@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, jaccard_join, toxicity, wavelet_ids
+from . import byte_bpe, jaccard_join, mil_quality, toxicity, wavelet_ids
 from ..session import scratch_path
 from .arrowtext import find_on_workers
 
@@ -47,11 +47,18 @@ def op7_wavelet_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet_ids.document_checksums(spark, path)
 
 
+def op10_mil_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document; fold 0 of 5 is held out of the fit."""
+    docs = _table(spark, sf_dir, "documents")
+    return mil_quality.score(docs, mil_quality.fit(docs, _table(spark, sf_dir, "labels")))
+
+
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op5_jaccard_join": op5_jaccard_join,
     "op7_wavelet_ids": op7_wavelet_ids,
     "op9_byte_bpe": op9_byte_bpe,
+    "op10_mil_quality": op10_mil_quality,
 }
 
 #: DuckDB SQL of the queries that SQL can express.
