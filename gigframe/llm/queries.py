@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, jaccard_join, mil_quality, toxicity, wavelet_ids
+from . import byte_bpe, edit_decontam, jaccard_join, mil_quality, toxicity, wavelet_ids
 from ..session import scratch_path
 from .arrowtext import find_on_workers
 
@@ -20,6 +20,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame
     return df.select(*cols) if cols else df
 
 
+def op8_edit_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item within 5 percent of edits."""
+    return edit_decontam.matches(_table(spark, sf_dir, "documents"),
+                                 _table(spark, sf_dir, "benchmark"))
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts and digests of ids and decoded bytes of every document."""
     docs = _table(spark, sf_dir, "documents", "doc_id", "text")
@@ -57,6 +63,7 @@ QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op5_jaccard_join": op5_jaccard_join,
     "op7_wavelet_ids": op7_wavelet_ids,
+    "op8_edit_decontam": op8_edit_decontam,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_mil_quality": op10_mil_quality,
 }
