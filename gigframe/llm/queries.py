@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, edit_decontam, jaccard_join, mil_quality, toxicity, wavelet_ids
+from . import byte_bpe, edit_decontam, jaccard_join, mil_quality, toxicity, wavelet_ids, weak_quality
 from ..session import scratch_path
 from .arrowtext import find_on_workers
 
@@ -45,6 +45,11 @@ def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
                                            n=3, num=90, den=100)
 
 
+def op6_weak_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule counts, posterior quality and verdict of every document."""
+    return weak_quality.judge(_table(spark, sf_dir, "documents"))
+
+
 def op7_wavelet_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write every document's ids as wavelet shards, read them back, checksum per document."""
     path = scratch_path(spark, "wavelet_ids")
@@ -62,6 +67,7 @@ def op10_mil_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op5_jaccard_join": op5_jaccard_join,
+    "op6_weak_quality": op6_weak_quality,
     "op7_wavelet_ids": op7_wavelet_ids,
     "op8_edit_decontam": op8_edit_decontam,
     "op9_byte_bpe": op9_byte_bpe,
