@@ -30,14 +30,13 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .arrowtext import text_slices, utf8
 from .components import components, written
-from .signature_tree import bitmap, possible_pairs, spanning_pairs
+from .signature_tree import FANOUT, bitmap, possible_pairs, small_block_pairs, spanning_pairs
 from .wordhash import Words, mix64, shingle_sets
 
 #: The order's table: 2^22 counters, cut into slices to be summed by Spark.
@@ -137,25 +136,64 @@ def signatures(docs: DataFrame, n: int, num: int, den: int, counts: np.ndarray)
 def _walk(rows: DataFrame, num: int, den: int, sided: bool) -> DataFrame:
     """Pairs (a, b) left by the signature trees of each block of ``rows``.
 
-    ``rows`` has token, i, j (the block), cls, n_shingles, bits, side. Unsided blocks
-    give a spanning forest of the pairs that may link; sided ones give every pair
-    between labels. A block has at most about two chunks of rows.
+    ``rows`` has token, i, j, two (the block), cls, n_shingles, bits, side and label.
+    Unsided blocks give a spanning forest of the pairs that may link; sided ones give
+    every pair between labels. Where ``two`` holds, only pairs between sides count. A
+    block has at most about two chunks of rows. Blocks too small for an inner node are
+    compared leaf by leaf, many at once.
     """
-    def one(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.drop_duplicates("cls")
-        cls = pdf["cls"].to_numpy()
-        sizes = pdf["n_shingles"].to_numpy()
-        left = pdf["side"].to_numpy(bool)
-        i, j = possible_pairs(sizes, pdf["bits"].tolist(), num, den, left)
-        if sided:
-            label = pdf["label"].to_numpy()
-            keep = label[i] != label[j]
-            i, j = i[keep], j[keep]
-        else:
-            i, j = spanning_pairs(len(cls), i, j)
-        return pd.DataFrame({"a": np.minimum(cls[i], cls[j]), "b": np.maximum(cls[i], cls[j])})
-
-    return rows.groupBy("token", "i", "j", "two").applyInPandas(one, "a long, b long")
+    key = ["token", "i", "j", "two"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            table = table if held is None else pa.concat_tables([held, table])
+            starts = block_starts(table)
+            yield walked(table.slice(0, starts[-1]), starts)
+            held = table.slice(starts[-1])
+        if held is not None:
+            yield walked(held, np.array([0, len(held)]))
+
+    def block_starts(table: pa.Table) -> np.ndarray:
+        new = np.zeros(len(table), bool)
+        new[:1] = True
+        for k in key:
+            x = table.column(k).to_numpy()
+            new[1:] |= x[1:] != x[:-1]
+        return np.flatnonzero(new)
+
+    def walked(table: pa.Table, starts: np.ndarray) -> pa.RecordBatch:
+        cls = table.column("cls").to_numpy()
+        sizes = table.column("n_shingles").to_numpy()
+        bits = table.column("bits").to_pylist()
+        side = table.column("side").to_numpy()
+        two = table.column("two").to_numpy()
+        label = table.column("label").to_numpy()
+
+        def wanted(i: np.ndarray, j: np.ndarray) -> np.ndarray:
+            ok = ~two[i] | (side[i] != side[j])
+            return ok & (label[i] != label[j]) if sided else ok
+
+        lens = np.diff(starts)
+        small = lens <= FANOUT
+        out = [small_block_pairs(starts[:-1][small], lens[small], sizes, bits, wanted, num, den)]
+        for a, n in zip(starts[:-1][~small].tolist(), lens[~small].tolist(), strict=True):
+            i, j = possible_pairs(sizes[a:a + n], bits[a:a + n], num, den,
+                                  side[a:a + n] if two[a] else None)
+            if sided:
+                keep = label[a + i] != label[a + j]
+                i, j = i[keep], j[keep]
+            else:
+                i, j = spanning_pairs(n, i, j)
+            out.append((a + i, a + j))
+        i, j = (np.concatenate(x).astype(np.int64) for x in zip(*out, strict=True))
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(cls[i], cls[j])),
+                                           pa.array(np.maximum(cls[i], cls[j]))], names=["a", "b"])
+
+    cols = [*key, "cls", "n_shingles", "bits", "side", "label"]
+    return (rows.select(*cols).repartition(*key).sortWithinPartitions(*key)
+            .mapInArrow(run, "a long, b long"))
 
 
 def _verify(pairs: DataFrame, texts: DataFrame, n: int, num: int, den: int) -> DataFrame:
@@ -203,7 +241,8 @@ def _first_blocks(members: DataFrame) -> DataFrame:
     hub = hub.otherwise(F.array(F.struct(F.lit(0).alias("i"), c.alias("j"),
                                          F.lit(True).alias("two"), F.lit(False).alias("side"))))
     at = F.when(chunks > 1, F.concat(own, hub)).otherwise(own)
-    return members.withColumn("at", F.explode(at)).select("*", "at.*").drop("at")
+    return members.withColumn("at", F.explode(at)).select(
+        "token", "cls", F.lit(0).cast("long").alias("label"), "n_shingles", "bits", "at.*")
 
 
 def _second_blocks(members: DataFrame) -> DataFrame:

@@ -163,3 +163,36 @@ def spanning_pairs(n: int, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np
     if not out_i:
         return i[:0], j[:0]
     return np.concatenate(out_i), np.concatenate(out_j)
+
+
+def small_block_pairs(starts: np.ndarray, lens: np.ndarray, sizes: np.ndarray,
+                      bitmaps: list[bytes], wanted, num: int,
+                      den: int) -> tuple[np.ndarray, np.ndarray]:
+    """Row pairs left by the leaf bounds in blocks of rows (start, length), all at once.
+
+    ``wanted(i, j)`` says which pairs of rows count.
+    """
+    found_i, found_j = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for n in np.unique(lens[lens > 1]).tolist():
+        x, y = np.triu_indices(n, 1)
+        at = starts[lens == n][:, None]
+        found_i.append((at + x).ravel())
+        found_j.append((at + y).ravel())
+    i, j = np.concatenate(found_i), np.concatenate(found_j)
+    ok = (den * sizes[i] >= num * sizes[j]) & (den * sizes[j] >= num * sizes[i]) & wanted(i, j)
+    i, j = i[ok], j[ok]
+    width = np.fromiter((len(x) // 8 for x in bitmaps), np.int64, len(bitmaps))
+    w = np.minimum(width[i], width[j])
+    keep = np.zeros(len(i), bool)
+    for one in np.unique(w).tolist():
+        at = np.flatnonzero(w == one)
+        rows, back = np.unique(np.concatenate([i[at], j[at]]), return_inverse=True)
+        words = np.zeros((len(rows), one), np.uint64)
+        for own in np.unique(width[rows]).tolist():
+            some = np.flatnonzero(width[rows] == own)
+            raw = np.frombuffer(b"".join(bitmaps[r] for r in rows[some]), np.uint64)
+            words[some] = _fold(raw.reshape(len(some), own), one)
+        size = sizes[rows].astype(np.int64)
+        leaves = (words, size, size, size)
+        keep[at] = _possible(leaves, leaves, back[:len(at)], back[len(at):], True, num, den)
+    return i[keep], j[keep]
