@@ -44,6 +44,8 @@ COUNTER_BITS = 22
 COUNTER_SLICES = 64
 #: Members of a chunk of a large block.
 CHUNK = 1024
+#: Bits per token in the bitmaps of blocks with inner nodes, where false pairs would multiply.
+WIDE = 8
 
 
 def _sets(texts: pa.Array, n: int) -> list[np.ndarray]:
@@ -99,9 +101,9 @@ def set_class(tokens: np.ndarray) -> int:
 
 
 def signatures(docs: DataFrame, n: int, num: int, den: int, counts: np.ndarray) -> DataFrame:
-    """Per document: size, class, first tokens in the order, bitmap.
+    """Per document: size, class, first tokens in the order, a narrow and a wide bitmap.
 
-    The last two are null for a class that the same task has met before.
+    The last three are null for a class that the same task has met before.
     """
     shared = docs.sparkSession.sparkContext.broadcast(counts)
 
@@ -110,27 +112,28 @@ def signatures(docs: DataFrame, n: int, num: int, den: int, counts: np.ndarray)
         for batch in batches:
             for rows, texts in text_slices(batch, "text"):
                 sets = _sets(texts, n)
-                classes, first, bits = [], [], []
+                classes, first, bits, wide = [], [], [], []
                 for s in sets:
                     c = set_class(s) if len(s) else None
                     classes.append(c)
                     if c is None or c in met:
-                        first.append(None)
-                        bits.append(None)
+                        for out in (first, bits, wide):
+                            out.append(None)
                         continue
                     met.add(c)
                     keep = len(s) - -(-num * len(s) // den) + 1
                     rank = np.argsort(order[_counter(s)], kind="stable")[:keep]
                     first.append(s[rank].view(np.int64))
                     bits.append(bitmap(s))
+                    wide.append(bitmap(s, WIDE))
                 yield pa.RecordBatch.from_arrays(
                     [rows.column(0).cast(pa.int64()), pa.array(map(len, sets), pa.int64()),
                      pa.array(classes, pa.int64()), pa.array(first, pa.list_(pa.int64())),
-                     pa.array(bits, pa.binary())],
-                    names=["doc_id", "n_shingles", "cls", "tokens", "bits"])
+                     pa.array(bits, pa.binary()), pa.array(wide, pa.binary())],
+                    names=["doc_id", "n_shingles", "cls", "tokens", "bits", "wide"])
 
     return docs.select("doc_id", "text").mapInArrow(
-        run, "doc_id long, n_shingles long, cls long, tokens array<long>, bits binary")
+        run, "doc_id long, n_shingles long, cls long, tokens array<long>, bits binary, wide binary")
 
 
 def _walk(rows: DataFrame, num: int, den: int, sided: bool) -> DataFrame:
@@ -296,9 +299,11 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, n: int = 5, num: in
                   F.bit_xor(F.xxhash64("cls", F.lit(1))).alias("y"))
              .groupBy("members", "x", "y").agg(F.min("token").alias("token")))
     shape = (sig.where("bits is not null").groupBy("cls")
-             .agg(F.min("n_shingles").alias("n_shingles"), F.min("bits").alias("bits")))
+             .agg(F.min("n_shingles").alias("n_shingles"), F.min("bits").alias("bits"),
+                  F.min("wide").alias("wide")))
     blocks = written(blocks.join(canon.select("token", "members"), "token"), "blocks")
-    members = blocks.join(shape, "cls")
+    members = blocks.join(shape, "cls").withColumn(
+        "bits", F.when(F.col("members") <= FANOUT, F.col("bits")).otherwise(F.col("wide"))).drop("wide")
     pairs = written(_walk(_first_blocks(members), num, den, False).distinct(), "pairs")
     # Classes that may link with something; in a cut block not all chunks have met yet.
     alive = written(pairs.select(F.col("a").alias("cls")).union(pairs.select("b"))

@@ -16,9 +16,10 @@ FANOUT = 8
 STEP_BYTES = 4 << 20
 
 
-def bitmap(tokens: np.ndarray) -> bytes:
-    """Bitmap of a set of token hashes: 2 to 4 bits per token, 256 bits to 8 KiB."""
-    log = min(16, max(8, int(np.ceil(np.log2(max(1, 2 * len(tokens)))))))
+def bitmap(tokens: np.ndarray, per_token: int = 2) -> bytes:
+    """Bitmap of a set of token hashes: ``per_token`` to twice as many bits for each,
+    from 256 bits to 32 KiB."""
+    log = min(18, max(8, int(np.ceil(np.log2(max(1, per_token * len(tokens)))))))
     bits = np.zeros(1 << log, np.uint8)
     bits[(tokens & np.uint64((1 << log) - 1)).astype(np.int64)] = 1
     return np.packbits(bits, bitorder="little").tobytes()
