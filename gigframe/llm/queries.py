@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import byte_bpe, edit_decontam, jaccard_join, mil_quality, toxicity, wavelet_ids, weak_quality
+from . import (byte_bpe, chat_rotation, edit_decontam, html_consensus, jaccard_join, mil_quality,
+               toxicity, url_templates, wavelet_ids, weak_quality)
 from ..session import scratch_path
 from .arrowtext import find_on_workers
 
@@ -39,6 +41,28 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.fit(docs, _table(spark, sf_dir, "labels")))
 
 
+def op2_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation from every participant's side; the mask as 'start-end' pairs."""
+    turns = _table(spark, sf_dir, "conversations")
+    spans = F.transform("mask", lambda m: F.concat_ws("-", m["start"], m["end"]))
+    return chat_rotation.rotate(turns).withColumn("mask", F.array_join(spans, " "))
+
+
+#: The rules that urls are judged by.
+URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"),
+             ("block", "net/es/"), ("block", "net/fr/")]
+
+
+def op3_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, rule and verdict of every page's url."""
+    return url_templates.verdicts(_table(spark, sf_dir, "pages"), URL_RULES)
+
+
+def op4_html_consensus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_consensus.extract(_table(spark, sf_dir, "pages"))
+
+
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose 3-word shingle sets are 0.9 similar."""
     return jaccard_join.jaccard_components(spark, _table(spark, sf_dir, "documents"),
@@ -66,6 +90,9 @@ def op10_mil_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
+    "op2_chat_rotation": op2_chat_rotation,
+    "op3_url_templates": op3_url_templates,
+    "op4_html_consensus": op4_html_consensus,
     "op5_jaccard_join": op5_jaccard_join,
     "op6_weak_quality": op6_weak_quality,
     "op7_wavelet_ids": op7_wavelet_ids,
@@ -75,4 +102,4 @@ QUERIES: dict[str, Query] = {
 }
 
 #: DuckDB SQL of the queries that SQL can express.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op2_chat_rotation": chat_rotation.ORACLE}
