@@ -11,14 +11,13 @@ import os
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from gigframe.llm import byte_bpe, edit_decontam, jaccard_join, mil_quality, toxicity
 from gigframe.llm.arrowtext import find_on_workers
 from gigframe.session import scratch_path
 
 #: Toxicity from which a document goes; quality that a document needs to stay.
-TOXIC, GOOD = 0.5, 0.3
+TOXIC, GOOD = 0.3, 0.3
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,21 +25,16 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
-    return docs.join(rejected.where("doc_id is not null").select("doc_id").distinct(),
-                     "doc_id", "left_anti").select(docs.columns)
-
-
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity operator scores below TOXIC."""
     model = toxicity.fit(docs, _table(spark, sf_dir, "labels"))
-    return _without(docs, toxicity.score(docs, model).where(F.col("score") >= TOXIC))
+    return toxicity.drop_toxic(docs, model, TOXIC)
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier scores at GOOD or above."""
     model = mil_quality.fit(docs, _table(spark, sf_dir, "labels"))
-    return _without(docs, mil_quality.score(docs, model).where(F.col("score") < GOOD))
+    return mil_quality.keep_good(docs, model, GOOD)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

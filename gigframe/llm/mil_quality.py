@@ -196,6 +196,13 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = 5, held_out: int = 0,
                  np.array(label, float))
 
 
+def _scores(net: Model | None, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Score and number of passages of each text; 0.5 without a model."""
+    x, first = passages(texts)
+    y = net.forward(x, first)["y"] if net is not None else np.full(len(texts), 0.5)
+    return y, np.diff(first)
+
+
 def score(docs: DataFrame, model: Model | None, folds: int = 5, held_out: int = 0,
           threshold: float = 0.3) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): held_out, score, predicted, n_passages.
@@ -209,10 +216,9 @@ def score(docs: DataFrame, model: Model | None, folds: int = 5, held_out: int =
         net = shared.value
         for batch in batches:
             for rows, texts in text_slices(batch, "text"):
-                x, first = passages(texts)
-                y = net.forward(x, first)["y"] if net is not None else np.full(len(texts), 0.5)
+                y, n = _scores(net, texts)
                 yield pa.RecordBatch.from_arrays(
-                    [rows.column(0), pa.array(y), pa.array(np.diff(first), pa.int64())],
+                    [rows.column(0), pa.array(y), pa.array(n, pa.int64())],
                     names=["doc_id", "score", "n_passages"])
 
     kept = docs.select("doc_id", "text")
@@ -222,3 +228,15 @@ def score(docs: DataFrame, model: Model | None, folds: int = 5, held_out: int =
     return (scored.withColumn("held_out", F.coalesce(fold("doc_id", folds) == held_out, F.lit(False)))
             .withColumn("predicted", (F.col("score") >= threshold).cast("int"))
             .select("doc_id", "held_out", "score", "predicted", "n_passages"))
+
+
+def keep_good(docs: DataFrame, model: Model | None, threshold: float) -> DataFrame:
+    """The rows of ``docs`` (with ``text``) that score ``threshold`` or more, as they are."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rows, texts in text_slices(batch, "text"):
+                yield rows.filter(pa.array(_scores(shared.value, texts)[0] >= threshold))
+
+    return docs.mapInArrow(run, docs.schema)

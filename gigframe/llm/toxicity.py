@@ -349,3 +349,18 @@ def score(docs: DataFrame, model: Model, folds: int = 4, held_out: int = 2,
             .withColumn("score", 1 / (1 + F.exp(-z)))
             .withColumn("predicted", (F.col("score") >= threshold).cast("int"))
             .select("doc_id", "held_out", "score", "predicted", *n))
+
+
+def drop_toxic(docs: DataFrame, model: Model, threshold: float) -> DataFrame:
+    """The rows of ``docs`` (with ``text``) that score below ``threshold``, as they are."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = shared.value
+        trie = FuzzyTrie(m.words, m.beginnings)
+        for batch in batches:
+            for rows, texts in text_slices(batch, "text"):
+                z = features(_count_rows(trie, texts)) @ m.weights
+                yield rows.filter(pa.array(1 / (1 + np.exp(-z)) < threshold))
+
+    return docs.mapInArrow(run, docs.schema)
