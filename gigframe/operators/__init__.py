@@ -1,13 +1,13 @@
 """Reusable relational building blocks."""
 
 from .dedup import asc_first, keep_first
-from .joins import bounded_broadcast, fixed_broadcast, join_to_groups
-from .quality import key_check_rows, quality_report
+from .joins import fixed_broadcast
+from .quality import quality_report
 from .shares import parent_total, pct, ratio, with_grand_total
 from .stats import box_stats_by, describe_by
 
 __all__ = [
-    "asc_first", "bounded_broadcast", "box_stats_by", "describe_by", "fixed_broadcast",
-    "join_to_groups", "keep_first", "key_check_rows", "parent_total", "pct",
+    "asc_first", "box_stats_by", "describe_by", "fixed_broadcast",
+    "keep_first", "parent_total", "pct",
     "quality_report", "ratio", "with_grand_total",
 ]

@@ -1,14 +1,10 @@
 """Join helpers with an explicit size discipline.
 
-* Tables of fixed size (a lookup list, a one-row total, a top-N list) are
-  broadcast directly: their size does not grow with the data.
-* A table whose size depends on the data (one row per genre, per country)
-  is materialised once into the shared checkpoint folder, counted, and
-  broadcast only if the count is within a bound; beyond it the join is a
-  shuffle join, where AQE splits skewed partitions.
-* Everything else is left to the planner: AQE turns a sort-merge join into a
-  broadcast join only when the measured shuffle size is below
-  ``spark.sql.adaptive.autoBroadcastJoinThreshold``.
+Tables of fixed size (a lookup list, a one-row total, a top-N list) are broadcast
+directly: their size does not grow with the data. Everything else is left to the
+planner: AQE turns a sort-merge join into a broadcast join only when the measured
+shuffle size is below ``spark.sql.adaptive.autoBroadcastJoinThreshold``, and splits
+skewed partitions beyond it.
 """
 
 from __future__ import annotations
@@ -16,36 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
-
-# Largest group table we broadcast: 1M rows of a few short columns is a few
-# tens of MB per executor.
-DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
-
 
 def fixed_broadcast(df: DataFrame) -> DataFrame:
     """Broadcast a table whose row count is bounded by construction."""
     return F.broadcast(df)
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """Materialise ``df`` (a small aggregate) and broadcast it if it is small.
-
-    The checkpoint cuts the lineage and survives executor loss; the count
-    reads at most ``max_rows + 1`` rows of it.
-    """
-    ensure_checkpoint_dir(df.sparkSession)
-    materialised = df.checkpoint(eager=True)
-    n = materialised.limit(max_rows + 1).count()
-    return F.broadcast(materialised) if n <= max_rows else materialised
-
-
-def join_to_groups(rows: DataFrame, groups: DataFrame, on, how: str = "inner",
-                   max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """Join row-level data to a per-group table keyed by a few-valued column.
-
-    A hot key (one genre with a third of all rows) would put a third of the
-    rows into one sort-merge task; broadcasting the per-group side keeps the
-    rows where they are.
-    """
-    return rows.join(bounded_broadcast(groups, max_rows), on, how)

@@ -11,8 +11,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .joins import join_to_groups
-
 
 def describe_by(df: DataFrame, key: str, value: str, decimals: int = 1) -> DataFrame:
     """count, mean, median, sample std, min, max of ``value`` per ``key``.
@@ -41,25 +39,25 @@ def describe_by(df: DataFrame, key: str, value: str, decimals: int = 1) -> DataF
 def box_stats_by(df: DataFrame, key: str, value: str, whisker: float = 1.5) -> DataFrame:
     """Box-plot figures per group: quartiles (linear), fences, whiskers, outliers.
 
-    Whiskers reach the most extreme values inside the fences; outliers are the
-    rows outside them, counted by joining rows back to their group's fences.
+    Rows are first counted per (group, value); scores have few values, so the rest
+    works on that small table and the rows are read once. Whiskers reach the most
+    extreme values inside the fences; outliers are the rows outside them.
     """
-    v = F.col(value)
-    q = (df.groupBy(key)
-           .agg(F.count(v).alias("n"),
-                F.percentile(v, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("_q"))
-           .select(key, "n",
-                   F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"),
-                   F.col("_q")[2].alias("q3")))
+    v, n = F.col(value), F.col("_n")
+    counts = (df.where(v.isNotNull()).groupBy(key, value)
+              .agg(F.count(F.lit(1)).alias("_n")))
+    q = (counts.groupBy(key)
+         .agg(F.sum(n).alias("n"),
+              F.percentile(v, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), n).alias("_q"))
+         .select(key, "n",
+                 F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"),
+                 F.col("_q")[2].alias("q3")))
     q = (q.withColumn("iqr", F.col("q3") - F.col("q1"))
           .withColumn("lower_fence", F.col("q1") - F.lit(whisker) * F.col("iqr"))
           .withColumn("upper_fence", F.col("q3") + F.lit(whisker) * F.col("iqr")))
-    fences = q.select(key, "lower_fence", "upper_fence")
-    tagged = join_to_groups(df.select(key, value), fences, key)
     inside = (v >= F.col("lower_fence")) & (v <= F.col("upper_fence"))
-    spans = tagged.groupBy(key).agg(
+    spans = (counts.join(q.select(key, "lower_fence", "upper_fence"), key).groupBy(key).agg(
         F.min(F.when(inside, v)).cast("double").alias("whisker_low"),
         F.max(F.when(inside, v)).cast("double").alias("whisker_high"),
-        F.count(F.when(~inside, v)).alias("n_outliers"),
-    )
+        F.coalesce(F.sum(F.when(~inside, n)), F.lit(0)).alias("n_outliers")))
     return q.join(spans, key)

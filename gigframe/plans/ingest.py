@@ -7,13 +7,19 @@ choices over them as Spark jobs.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import os
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import counter_review_count, present
 from ..operators.dedup import asc_first, keep_first
 from ..operators.joins import fixed_broadcast
+from ..sources.csv import read_raw_table
 from ..sources.pages import flatten_setlists, flatten_songs, select_pages
+from ..sources.schemas import RAW_TABLES
+from ..sources.sinks import write_append
 
 BAND_COLUMNS = ["band_id", "band_name", "country", "genre", "status"]
 
@@ -44,27 +50,26 @@ def match_artists(bands: DataFrame, candidates: DataFrame) -> DataFrame:
     """Band -> artist mapping from search hits.
 
     Per band: the best-ranked hit whose name equals the band name ignoring
-    case, else the best-ranked hit ('fuzzy'). Bands without hits get no row;
-    a chosen hit without an mbid is dropped (it would match every setlist
-    without one).
-
-    Hits are first reduced map-side to one row per band and one per (band,
-    lower-cased name) with ``min(struct(rank, ...))``; only those meet the
-    bands, joined on band id (and name), one row per key on every side. A
-    band with a third of all hits therefore costs one row per map task.
+    case, else the best-ranked hit ('fuzzy'); a hit without a rank comes last.
+    Bands without hits get no row; a chosen hit without an mbid is dropped (it
+    would match every setlist without one).
+
+    The hits are read and shuffled once: they are reduced map-side to one row per
+    (band, lower-cased name), and a band's best hits, of its own name and of any,
+    are taken from those rows. A band with a third of all hits costs one row per
+    name and map task.
     """
-    hit = F.struct(F.col("rank"), F.col("name").alias("artist_name"), F.col("mbid"))
-    c = candidates.select("band_id", "rank", "name", "mbid")
-    best_any = c.groupBy("band_id").agg(F.min(hit).alias("any_hit"))
-    best_by_name = (c.groupBy("band_id", F.lower("name").alias("lname"))
-                    .agg(F.min(hit).alias("exact_hit")))
-    b = bands.select("band_id", "band_name", F.lower("band_name").alias("lname"))
-    exact = b.join(best_by_name, ["band_id", "lname"]).select("band_id", "exact_hit")
-    chosen = (b.join(best_any, "band_id")
-               .join(exact, "band_id", "left")
-               .select("band_id", "band_name",
-                       F.col("exact_hit").isNotNull().alias("exact"),
-                       F.coalesce("exact_hit", "any_hit").alias("hit")))
+    hit = F.struct(F.col("rank").isNull().alias("unranked"), F.col("rank"),
+                   F.col("name").alias("artist_name"), F.col("mbid"))
+    by_name = (candidates.groupBy("band_id", F.lower("name").alias("lname"))
+               .agg(F.min(hit).alias("hit")))
+    b = bands.select("band_id", "band_name")
+    own = F.col("lname") == F.lower("band_name")
+    chosen = (by_name.join(b, "band_id").groupBy("band_id", "band_name")
+              .agg(F.min(F.when(own, F.col("hit"))).alias("exact_hit"),
+                   F.min("hit").alias("any_hit"))
+              .select("band_id", "band_name", F.col("exact_hit").isNotNull().alias("exact"),
+                      F.coalesce("exact_hit", "any_hit").alias("hit")))
     return (chosen.where(present("hit.mbid"))
             .select(F.col("band_id").alias("ma_band_id"), F.col("band_name").alias("ma_band_name"),
                     F.col("hit.mbid").alias("sfm_mbid"),
@@ -78,7 +83,30 @@ def unprocessed(bands: DataFrame, processed_ids: DataFrame) -> DataFrame:
     return bands.join(processed_ids.select(F.col("band_id")).distinct(), "band_id", "left_anti")
 
 
-def ingest_pages(pages: DataFrame, max_pages: int | None = 5) -> tuple[DataFrame, DataFrame]:
+def mark_processed(done: DataFrame, path: str) -> None:
+    """Add band ids to the processed table at ``path``; ids already there stay once.
+
+    ``done`` has band_id and found (boolean): a band that the lookup did not find is
+    recorded too, so it is not looked up for ever. Write it last, after the records.
+    """
+    spark = done.sparkSession
+    new = (done.select(F.col("band_id").cast("string").alias("band_id"), "found")
+           .groupBy("band_id").agg(F.max("found").alias("found")))
+    new.join(read_processed(spark, path), "band_id", "left_anti").write.mode("append").parquet(path)
+
+
+def read_processed(spark: SparkSession, path: str) -> DataFrame:
+    """(band_id, found) recorded so far; empty before the first run."""
+    schema = "band_id string, found boolean"
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def ingest_pages(pages: DataFrame, max_pages: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Landed pages -> (setlist records, song records) after the paging rule."""
     kept = select_pages(pages, max_pages)
     return flatten_setlists(kept), flatten_songs(kept)
@@ -89,16 +117,26 @@ def append_landed(setlists: DataFrame, songs: DataFrame, landing_dir: str,
     """Append flattened records to the landed CSV tables the loader reads.
 
     Mapping rows first and setlists/songs after, the order the original
-    ingester wrote them; a re-run that repeats rows is harmless because
-    staging deduplicates setlists and songs (and ``match_artists`` yields one
-    mapping row per band).
+    ingester wrote them. A run may be repeated: staging deduplicates setlists and
+    songs, and only mapping rows of bands that have none yet are appended.
     """
-    import os
+    spark = setlists.sparkSession
 
-    from ..sources.schemas import RAW_TABLES
-    from ..sources.sinks import write_append
+    def path(name: str) -> str:
+        return os.path.join(landing_dir, RAW_TABLES[name].filename)
 
     if mapping is not None:
-        write_append(mapping, os.path.join(landing_dir, RAW_TABLES["band_mapping"].filename), "csv")
-    write_append(setlists, os.path.join(landing_dir, RAW_TABLES["setlists"].filename), "csv")
-    write_append(songs, os.path.join(landing_dir, RAW_TABLES["songs"].filename), "csv")
+        try:
+            there = read_raw_table(spark, RAW_TABLES["band_mapping"], landing_dir)
+            mapping = mapping.join(
+                there.select(F.col("ma_band_id").cast(mapping.schema["ma_band_id"].dataType)
+                             .alias("ma_band_id")).distinct(), "ma_band_id", "left_anti"
+            ).select(mapping.columns)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+        # One row per band, also within the new rows.
+        mapping = keep_first(mapping, ["ma_band_id"], asc_first("match_type", "sfm_mbid"))
+        write_append(mapping, path("band_mapping"), "csv")
+    write_append(setlists, path("setlists"), "csv")
+    write_append(songs, path("songs"), "csv")

@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import month_abbrev, present, productivity_bucket, touring_bucket
-from ..operators.joins import join_to_groups
 from ..operators.shares import parent_total, pct, ratio, with_grand_total
 
 MEDIAN_ACCURACY = 10000
@@ -160,8 +159,8 @@ def agg_genre_review_distribution(stg_albums: DataFrame, stg_bands: DataFrame,
                                   min_albums: int = 50) -> DataFrame:
     """Review scores of reviewed albums, for subgenres with >= ``min_albums``.
 
-    The per-genre counts are a small aggregate; rows keep their partitioning
-    and meet the qualifying genres through a size-checked broadcast.
+    One lazy plan: the per-genre counts come from the same joined rows (the exchanges
+    are reused), and AQE broadcasts them if their measured size is small.
     """
     albums = (stg_albums.where((F.col("review_count") > 0) & F.col("avg_review_pct").isNotNull())
               .select("band_id", "avg_review_pct"))
@@ -169,7 +168,7 @@ def agg_genre_review_distribution(stg_albums: DataFrame, stg_bands: DataFrame,
     rows = albums.join(bands, "band_id").select("primary_subgenre", "avg_review_pct")
     qualifying = (rows.groupBy("primary_subgenre").agg(_n().alias("n"))
                       .where(F.col("n") >= min_albums).select("primary_subgenre"))
-    return join_to_groups(rows, qualifying, "primary_subgenre", "left_semi")
+    return rows.join(qualifying, "primary_subgenre", "left_semi")
 
 
 def agg_genre_touring_intensity(fct: DataFrame, exact_distinct: bool = True) -> DataFrame:
@@ -217,9 +216,12 @@ def agg_top_songs(stg_songs: DataFrame, stg_setlists: DataFrame,
                   exact_distinct: bool = True) -> DataFrame:
     """Performances and distinct venues per (song, performing artist).
 
-    Reads staging directly, so unmapped artists count too.
+    Reads staging directly, so unmapped artists count too. Songs meet their setlist on
+    setlist_id; songs without one match no setlist and are left out before the shuffle,
+    where they would be one hot key.
     """
-    songs = stg_songs.where(present("song_name")).select("setlist_id", "song_name")
+    songs = (stg_songs.where(present("song_name"))
+             .select("setlist_id", "song_name"))
     setlists = stg_setlists.select("setlist_id", "artist_name", "venue_id")
     return (songs.join(setlists, "setlist_id")
             .groupBy("song_name", "artist_name")

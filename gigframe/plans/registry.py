@@ -41,9 +41,7 @@ def _landed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _flatten(which: int) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         _cat(spark, sf_dir)
-        # Landed pages are all kept: the 5-page cap of the HTTP client is an
-        # API budget, not part of the data; select_pages(max_pages=5) has it.
-        return ingest.ingest_pages(_landed_pages(spark, sf_dir), max_pages=None)[which]
+        return ingest.ingest_pages(_landed_pages(spark, sf_dir))[which]
     return run
 
 
@@ -65,7 +63,7 @@ def _stream_pages(table: str) -> Query:
         pages = build_pages(c.raw["setlists"], c.raw["songs"])
         for i, drop in enumerate(split_drops(pages, 2)):
             write_pages(drop, os.path.join(landing, f"drop={i}"))
-            run_page_ingest(spark, os.path.join(landing, "*"), out, checkpoint, max_pages=None)
+            run_page_ingest(spark, os.path.join(landing, "*"), out, checkpoint)
         return read_ingested(spark, out, table)
     return run
 

@@ -108,11 +108,11 @@ def review_genres(distribution: DataFrame, n: int = 20) -> DataFrame:
 
 def _select_genres(df: DataFrame, genres: Sequence[str] | DataFrame | None,
                    default: DataFrame) -> DataFrame:
-    if genres is None:
-        genres = default
-    if isinstance(genres, DataFrame):
-        return df.join(fixed_broadcast(genres.select("primary_subgenre")), "primary_subgenre",
+    if genres is None:  # the top-n list: its length is fixed
+        return df.join(fixed_broadcast(default.select("primary_subgenre")), "primary_subgenre",
                        "left_semi")
+    if isinstance(genres, DataFrame):
+        return df.join(genres.select("primary_subgenre"), "primary_subgenre", "left_semi")
     return df.where(F.col("primary_subgenre").isin(list(genres)))
 
 

@@ -25,7 +25,12 @@ from pyspark.sql import types as T
 from ..functions import parse_event_date
 from .schemas import RAW_TABLES, RawTable
 
-_CSV_OPTIONS = {"header": "true", "escape": '"', "multiLine": "false", "mode": "FAILFAST"}
+# One dialect both ways: a quote in a value is doubled, blanks at its ends are kept.
+_DIALECT = {"header": "true", "quote": '"', "escape": '"',
+            "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+WRITE_OPTIONS = dict(_DIALECT)
+# Each file's header is checked against the schema: moved or other columns stop the read.
+_CSV_OPTIONS = {**_DIALECT, "multiLine": "false", "mode": "FAILFAST", "enforceSchema": "false"}
 
 
 def sanitise_header(name: str) -> str:
@@ -42,8 +47,13 @@ def _fill_empty(df: DataFrame, empty_as: str | None) -> DataFrame:
 
 def read_header_named(spark: SparkSession, path: str, renames: dict[str, str],
                       empty_as: str | None = None) -> DataFrame:
-    """All-string CSV named by its header, then ``renames`` (old -> new) applied."""
-    df = spark.read.options(**_CSV_OPTIONS).csv(path)
+    """All-string CSV named by its header, then ``renames`` (old -> new) applied.
+
+    All files under ``path`` must share one header.
+    """
+    names = spark.read.options(**_CSV_OPTIONS).csv(path).columns
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in names])
+    df = spark.read.options(**_CSV_OPTIONS).schema(schema).csv(path)
     df = df.toDF(*[sanitise_header(c) for c in df.columns])
     out = df.select(*[F.col(old).cast("string").alias(new) for old, new in renames.items()])
     return _fill_empty(out, empty_as)

@@ -19,7 +19,8 @@ import os
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..operators.joins import bounded_broadcast
+from ..functions import present
+from .csv import WRITE_OPTIONS
 from .schemas import RAW_TABLES
 
 ITEMS_PER_PAGE = 20
@@ -34,37 +35,41 @@ def dense_positions(df: DataFrame, group: str, key: str,
     hash buckets, each numbered by its own task, and a bucket's positions are
     offset by the sizes of the group's earlier buckets. Only the per-group
     counts (partial aggregation) and the per-(group, bucket) sizes meet in
-    windows; the hot groups' bucket counts reach the rows through a
-    count-checked broadcast of at most total / rows_per_bucket entries.
+    windows. A null group is a group like another.
     """
     counts = df.groupBy(group).agg(F.count(F.lit(1)).alias("_cnt"))
     hot = (counts.where(F.col("_cnt") > rows_per_bucket)
-                 .select(group, F.ceil(F.col("_cnt") / F.lit(rows_per_bucket)).alias("_nb")))
-    b = (df.join(bounded_broadcast(hot), group, "left")
+                 .select(F.col(group).alias("_hot"),
+                         F.ceil(F.col("_cnt") / F.lit(rows_per_bucket)).alias("_nb")))
+    b = (df.join(hot, df[group].eqNullSafe(hot["_hot"]), "left")
            .withColumn("_b", F.pmod(F.xxhash64(F.col(key)), F.coalesce(F.col("_nb"), F.lit(1))))
-           .drop("_nb"))
+           .drop("_nb", "_hot"))
     rn = b.withColumn("_rn", F.row_number().over(
         Window.partitionBy(group, "_b").orderBy(F.col(key))))
     sizes = b.groupBy(group, "_b").agg(F.count(F.lit(1)).alias("_cnt"))
     before = Window.partitionBy(group).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(
-        group, "_b",
+        F.col(group).alias("_group"), F.col("_b").alias("_bucket"),
         F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"),
         F.sum("_cnt").over(Window.partitionBy(group)).alias("group_total"))
-    return (rn.join(offsets, [group, "_b"])
+    same = rn[group].eqNullSafe(offsets["_group"]) & (rn["_b"] == offsets["_bucket"])
+    return (rn.join(offsets, same)
               .withColumn("pos", F.col("_off") + F.col("_rn"))
-              .drop("_b", "_rn", "_off"))
+              .drop("_b", "_rn", "_off", "_group", "_bucket"))
 
 
 def build_pages(raw_setlists: DataFrame, raw_songs: DataFrame,
                 items_per_page: int = ITEMS_PER_PAGE) -> DataFrame:
-    """API pages (one row per artist page) from flat setlists and songs."""
+    """API pages (one row per artist page) from flat setlists and songs.
+
+    Songs without a setlist id belong to no setlist, so to no page.
+    """
     song = F.struct(
         F.col("song_name").alias("name"),
         F.col("is_tape").alias("tape"),
         F.when(F.col("is_cover"), F.create_map(F.lit("name"), F.col("cover_artist_name")))
          .otherwise(F.create_map().cast("map<string,string>")).alias("cover"))
-    sets = (raw_songs.groupBy("setlist_id", "set_name", "encore")
+    sets = (raw_songs.where(present("setlist_id")).groupBy("setlist_id", "set_name", "encore")
             .agg(F.collect_list(song).alias("song"))
             .groupBy("setlist_id")
             .agg(F.collect_list(F.struct(F.col("set_name").alias("name"),
@@ -120,8 +125,6 @@ def write_landing_csv(raw: dict[str, DataFrame], landing_dir: str,
                              for old, new in t.renames.items()])
             if extra_columns:
                 df = df.withColumn("Themes", F.lit("unused"))
-        # The CSV writer trims values unless told not to.
-        (df.write.mode("overwrite").option("header", True)
-           .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-           .csv(os.path.join(landing_dir, t.filename)))
+        df.write.mode("overwrite").options(**WRITE_OPTIONS).csv(
+            os.path.join(landing_dir, t.filename))
     return landing_dir

@@ -21,48 +21,49 @@ from .schemas import API_PAGE
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(API_PAGE).json(path)
+    """Landed pages; a line that is not a page stops the read instead of vanishing."""
+    return spark.read.schema(API_PAGE).option("mode", "FAILFAST").json(path)
 
 
-def select_pages(pages: DataFrame, max_pages: int | None = 5) -> DataFrame:
-    """Keep the pages the paging loop would have fetched, per artist.
-
-    The loop asks for pages 1, 2, ... (at most ``max_pages``) and stops at a
-    missing or empty page, and after the page where page * itemsPerPage
-    reaches total. So page p is kept when p is below the artist's first
-    empty page, first missing page and (first stopping page + 1).
+def page_limits(pages: DataFrame, max_pages: int | None = None) -> DataFrame:
+    """(mbid, end_page) of the artists with pages that the paging loop would not fetch.
 
-    Only aggregates and one equi-join on (artist, page) are used: a slim row
-    per page, a self-join to find pages whose predecessor is missing, and a
-    per-artist min (partial aggregation map-side). No task sorts an artist's
-    pages, so an artist with a third of all pages is no hot spot.
+    The loop stops at the first empty page, after the page where
+    page * itemsPerPage reaches total, and after ``max_pages`` if that is asked for.
+    Only artists with a landed page at or past their end are returned.
     """
-    meta = (pages.where(F.col("page") >= 1)
-            .select("mbid", "page",
-                    (F.coalesce(F.size("setlist"), F.lit(0)) == 0).alias("empty"),
-                    (F.col("page") * F.coalesce(F.col("itemsPerPage"), F.lit(20))
-                     >= F.coalesce(F.col("total"), F.lit(0))).alias("stop")))
-    if max_pages is not None:
-        meta = meta.where(F.col("page") <= max_pages)
-    meta = (meta.groupBy("mbid", "page")
-            .agg(F.max(F.col("empty").cast("int")).alias("empty"),
-                 F.max(F.col("stop").cast("int")).alias("stop")))
-    prev = meta.select("mbid", (F.col("page") + 1).alias("page"), F.lit(1).alias("has_prev"))
     big = F.lit(2 ** 31 - 1)
-    limits = (meta.join(prev, ["mbid", "page"], "left")
-              .groupBy("mbid")
-              .agg(F.min(F.when(F.col("empty") == 1, F.col("page"))).alias("first_empty"),
-                   F.min(F.when(F.col("stop") == 1, F.col("page") + 1)).alias("after_stop"),
-                   F.min(F.when(F.col("page") == 1, F.lit(0))).alias("has_first"),
-                   F.min(F.when((F.col("page") > 1) & F.col("has_prev").isNull(),
-                                F.col("page") - 1)).alias("first_gap"))
-              .select("mbid", F.least(
-                  F.coalesce("first_empty", big), F.coalesce("after_stop", big),
-                  F.when(F.col("has_first").isNull(), F.lit(1))
-                   .otherwise(F.coalesce("first_gap", big))).alias("end_page")))
-    kept = (meta.join(limits, "mbid").where(F.col("page") < F.col("end_page"))
-                .select("mbid", "page"))
-    return pages.join(kept, ["mbid", "page"], "left_semi")
+    page = F.col("page")
+    empty = F.coalesce(F.size("setlist"), F.lit(0)) == 0
+    stop = (page * F.coalesce(F.col("itemsPerPage"), F.lit(20))
+            >= F.coalesce(F.col("total"), F.lit(0)))
+    limits = pages.where(page >= 1).groupBy("mbid").agg(
+        F.least(F.coalesce(F.min(F.when(empty, page)), big),
+                F.coalesce(F.min(F.when(stop, page + 1)), big),
+                F.lit(max_pages + 1) if max_pages is not None else big).alias("end_page"),
+        F.max(page).alias("last_page"))
+    return limits.where(F.col("last_page") >= F.col("end_page")).select("mbid", "end_page")
+
+
+def select_pages(pages: DataFrame, max_pages: int | None = None) -> DataFrame:
+    """Keep the pages the paging loop would have fetched, per artist.
+
+    Landed pages are data: a missing page drops nothing (``page_gaps`` reports it),
+    and no cap holds unless asked for. A null artist is an artist like another; a page
+    without a number is kept. The limits are one slim row per artist that has any (most
+    have none), so the wide pages stay where they are unless that table is large.
+    """
+    limits = page_limits(pages, max_pages).select(F.col("mbid").alias("_mbid"), "end_page")
+    return pages.join(limits, pages["mbid"].eqNullSafe(limits["_mbid"])
+                      & (pages["page"] >= limits["end_page"]), "left_anti")
+
+
+def page_gaps(pages: DataFrame) -> DataFrame:
+    """Artists whose landed pages have gaps: (mbid, pages, last_page, missing)."""
+    per = (pages.where(F.col("page") >= 1).select("mbid", "page").distinct()
+           .groupBy("mbid").agg(F.count("*").alias("pages"), F.max("page").alias("last_page")))
+    return (per.withColumn("missing", F.col("last_page") - F.col("pages"))
+            .where(F.col("missing") > 0))
 
 
 def _setlists(pages: DataFrame) -> DataFrame:

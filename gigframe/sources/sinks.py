@@ -7,19 +7,16 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-MONTH_COLUMN = "event_month_start"
-
+from .csv import WRITE_OPTIONS
 
-def write_overwrite(df: DataFrame, path: str, fmt: str = "parquet") -> str:
-    """Truncate-and-load. Never point ``path`` at a table the plan reads."""
-    df.write.mode("overwrite").format(fmt).save(path)
-    return path
+MONTH_COLUMN = "event_month_start"
 
 
-def write_append(df: DataFrame, path: str, fmt: str = "parquet", header: bool = True) -> str:
+def write_append(df: DataFrame, path: str, fmt: str = "parquet") -> str:
+    """Append; CSV in the dialect that ``sources.csv`` reads."""
     w = df.write.mode("append").format(fmt)
     if fmt == "csv":
-        w = w.option("header", header)
+        w = w.options(**WRITE_OPTIONS)
     w.save(path)
     return path
 

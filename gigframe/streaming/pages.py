@@ -1,9 +1,9 @@
 """Incremental ingest of landed API pages with Structured Streaming.
 
 New page files (one JSON page per line) are picked up by a file-source
-stream; each micro-batch applies the paging rule and flattens the pages into
-setlist and song records. The lander writes all pages of an artist in one
-drop, so the rule sees an artist's pages together within a batch.
+stream; each micro-batch flattens all its pages into setlist and song records.
+Nothing depends on which pages share a batch: a paging rule, if one is wanted,
+is applied to the landed pages as a whole (``sources.pages.select_pages``).
 
 Writes are idempotent per batch: each batch overwrites its own
 ``batch_id=<n>`` folder, so a batch replayed after a failure replaces, not
@@ -18,7 +18,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..plans.ingest import ingest_pages
+from ..sources.pages import flatten_setlists, flatten_songs
 from ..sources.schemas import API_PAGE
 
 
@@ -27,15 +27,18 @@ def _batch_path(out_dir: str, table: str, batch_id: int) -> str:
 
 
 def run_page_ingest(spark: SparkSession, pages_dir: str, out_dir: str, checkpoint: str,
-                    max_pages: int | None = 5, files_per_batch: int | None = None) -> None:
-    """Flatten every page file not seen before into ``out_dir``; stop when done."""
-    reader = spark.readStream.schema(API_PAGE)
+                    files_per_batch: int | None = None) -> None:
+    """Flatten every page file not seen before into ``out_dir``; stop when done.
+
+    A line that is not a page stops the run; its batch is not committed.
+    """
+    reader = spark.readStream.schema(API_PAGE).option("mode", "FAILFAST")
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     pages = reader.json(pages_dir)
 
     def flatten_batch(batch: DataFrame, batch_id: int) -> None:
-        setlists, songs = ingest_pages(batch, max_pages=max_pages)
+        setlists, songs = flatten_setlists(batch), flatten_songs(batch)
         setlists.write.mode("overwrite").parquet(_batch_path(out_dir, "setlists", batch_id))
         songs.write.mode("overwrite").parquet(_batch_path(out_dir, "songs", batch_id))
 

@@ -20,28 +20,23 @@ from ..session import scratch_path
 from ..sources import adapters
 from ..sources.schemas import RAW_SETLISTS
 
-ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
-
 def run_incremental(spark: SparkSession, landing: str, sink: str, checkpoint: str,
                     schema: T.StructType, keys: list[str], fmt: str = "parquet",
-                    event_time: str | None = None, resend_delay: str | None = None) -> None:
+                    resend_delay: str | None = None) -> None:
     """Process every landed file not seen before, append new keys to ``sink``.
 
     Runs until the files present at start are done (availableNow), then stops.
     By default every key ever written is remembered (exact, state grows with
-    the keys, held in RocksDB). With ``event_time`` and ``resend_delay`` (e.g.
-    "30 days") a key is remembered only until the event-time watermark passes
-    it: bounded state, for sources whose re-sends arrive within that delay;
-    records older than the watermark are dropped as late.
+    the keys, held in RocksDB where the session builder says so). With ``resend_delay`` (e.g. "30 days") a key is
+    remembered for that long after it arrived: bounded state, for sources whose
+    re-sends come within the delay. Arrival is the time of the batch that reads a
+    record, so no record is ever late, whatever dates it holds.
     """
     stream = spark.readStream.schema(schema).format(fmt).load(landing)
-    if event_time and resend_delay:
-        ts = "_event_ts"
-        deduped = (stream.withColumn(ts, F.col(event_time).cast("timestamp"))
-                   .withWatermark(ts, resend_delay)
-                   .dropDuplicatesWithinWatermark(keys)
-                   .drop(ts))
+    if resend_delay:
+        at = "_arrived"
+        deduped = (stream.withColumn(at, F.current_timestamp()).withWatermark(at, resend_delay)
+                   .dropDuplicatesWithinWatermark(keys).drop(at))
     else:
         deduped = stream.dropDuplicates(keys)
     q = (deduped
@@ -63,8 +58,6 @@ def replay_setlists_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     them (a day later, another venue). The second run must read only drop 2
     and emit nothing from it: the result equals drop 1.
     """
-    if spark.conf.get("spark.sql.streaming.stateStore.providerClass", None) is None:
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
     base = scratch_path(spark, "stream-setlists")
     landing, sink = os.path.join(base, "landing"), os.path.join(base, "sink")
     checkpoint = os.path.join(base, "checkpoint")

@@ -2,9 +2,13 @@
 
 import json
 
+import pytest
+
 from conftest import rows
-from gigframe.plans.ingest import match_artists, top_bands_by_reviews, unprocessed
-from gigframe.sources.pages import flatten_setlists, flatten_songs, read_pages, select_pages
+from gigframe.plans.ingest import (mark_processed, match_artists, read_processed,
+                                   top_bands_by_reviews, unprocessed)
+from gigframe.sources.pages import (flatten_setlists, flatten_songs, page_gaps, read_pages,
+                                    select_pages)
 from gigframe.sources.schemas import ARTIST_CANDIDATES, RAW_ALBUMS, RAW_BANDS
 
 
@@ -92,15 +96,62 @@ def test_page_rule(spark, tmp_path):
         _page("a", 1, 4, s), _page("a", 2, 4, s), _page("a", 3, 4, s),
         # artist b: page 2 is empty, so 3 is not fetched
         _page("b", 1, 9, s), _page("b", 2, 9, []), _page("b", 3, 9, s),
-        # artist c: page 2 missing, so 3 is not fetched
+        # artist c: page 2 missing: landed pages are kept, the gap is only reported
         _page("c", 1, 9, s), _page("c", 3, 9, s),
         # artist d: 7 pages of 1, cap at 5
         *[_page("d", p, 7, s, ipp=1) for p in range(1, 8)],
     ]
     df = read_pages(spark, _write(tmp_path, pages))
     got = rows(select_pages(df, max_pages=5), "mbid", "page")
-    assert got == [("a", 1), ("a", 2), ("b", 1), ("c", 1)] + [("d", p) for p in range(1, 6)]
-    assert ("d", 7) in rows(select_pages(df, max_pages=None), "mbid", "page")
+    assert got == [("a", 1), ("a", 2), ("b", 1), ("c", 1), ("c", 3)] + [
+        ("d", p) for p in range(1, 6)]
+    assert ("d", 7) in rows(select_pages(df), "mbid", "page")
+    assert rows(page_gaps(df)) == [("c", 2, 3, 1)]
+
+
+def test_pages_without_artist_or_number_are_kept(spark, tmp_path):
+    s = [_sl("x")]
+    pages = [_page(None, 1, 9, s), _page(None, 2, 9, []), _page(None, 3, 9, s),
+             _page("a", None, 9, s), _page("a", 1, 1, s)]
+    got = [(r.mbid, r.page) for r in select_pages(read_pages(spark, _write(tmp_path, pages))).collect()]
+    assert sorted(got, key=repr) == sorted([(None, 1), ("a", None), ("a", 1)], key=repr)
+
+
+def test_truncated_page_stops_the_read(spark, tmp_path):
+    path = _write(tmp_path, [_page("a", p, 60, [_sl(str(p))]) for p in (1, 2, 3)])
+    lines = open(path).read().splitlines()
+    with open(path, "w") as f:
+        f.write("\n".join([lines[0], lines[1][:40], *lines[2:]]) + "\n")
+    with pytest.raises(Exception):
+        flatten_setlists(read_pages(spark, path)).collect()
+
+
+def test_processed_ids_and_repeated_mapping(spark, tmp_path):
+    path = str(tmp_path / "processed")
+    assert read_processed(spark, path).count() == 0
+    one = spark.createDataFrame([("1", True), ("2", False)], "band_id string, found boolean")
+    two = spark.createDataFrame([("2", False), ("3", True)], "band_id string, found boolean")
+    for done in (one, two, two):
+        mark_processed(done, path)
+    assert rows(read_processed(spark, path)) == [("1", True), ("2", False), ("3", True)]
+    bands = spark.createDataFrame([(str(k),) for k in range(5)], "band_id string")
+    assert rows(unprocessed(bands, read_processed(spark, path))) == [("0",), ("4",)]
+
+
+def test_unranked_hit_comes_last(spark):
+    bands = spark.createDataFrame([("1", "Ab"), ("2", "Cd")], "band_id string, band_name string")
+    hits = spark.createDataFrame(
+        [("1", None, "x", "m0"), ("1", 0, "y", "m1"), ("2", None, "CD", "m2"), ("2", 0, "z", "m3")],
+        "band_id string, rank int, name string, mbid string")
+    got = {r.ma_band_id: (r.sfm_mbid, r.match_type) for r in match_artists(bands, hits).collect()}
+    assert got == {"1": ("m1", "fuzzy"), "2": ("m2", "exact")}
+
+
+def test_null_group_gets_positions(spark):
+    from gigframe.sources.landing import dense_positions
+    df = spark.createDataFrame([(None, "a"), (None, "b"), ("g", "c")], "g string, k string")
+    got = sorted(((r.g, r.k, r.pos) for r in dense_positions(df, "g", "k").collect()), key=repr)
+    assert got == sorted([(None, "a", 1), (None, "b", 2), ("g", "c", 1)], key=repr)
 
 
 def test_dense_positions_split_hot_groups(spark):

@@ -34,9 +34,9 @@ def test_page_stream_rerun_without_new_files_adds_nothing(spark):
     base = scratch_path(spark, "stream-pages-test")
     landing, out, ckpt = (os.path.join(base, x) for x in ("landing", "out", "ckpt"))
     write_pages(build_pages(cat.raw["setlists"], cat.raw["songs"]), os.path.join(landing, "d0"))
-    run_page_ingest(spark, os.path.join(landing, "*"), out, ckpt, max_pages=None)
+    run_page_ingest(spark, os.path.join(landing, "*"), out, ckpt)
     n = read_ingested(spark, out, "setlists").count()
-    run_page_ingest(spark, os.path.join(landing, "*"), out, ckpt, max_pages=None)
+    run_page_ingest(spark, os.path.join(landing, "*"), out, ckpt)
     assert read_ingested(spark, out, "setlists").count() == n == cat.raw["setlists"].count()
 
 
@@ -52,13 +52,44 @@ def test_bounded_state_dedup_within_watermark(spark):
     base = scratch_path(spark, "stream-wm")
     landing, sink, ckpt = (os.path.join(base, x) for x in ("landing", "sink", "ckpt"))
     flat = raw_setlists(spark, SF_SMALL, with_duplicates=False)
-    # drop 1: originals; drop 2: re-sends a day later, within the 30-day delay
+    # drop 1: originals; drop 2: re-sends; drop 3: a concert of long ago, not seen before
     flat.write.mode("append").parquet(landing)
     run_incremental(spark, landing, sink, ckpt, RAW_SETLISTS, ["setlist_id"],
-                    event_time="event_date", resend_delay="30 days")
+                    resend_delay="30 days")
     resent_setlists(flat).write.mode("append").parquet(landing)
     run_incremental(spark, landing, sink, ckpt, RAW_SETLISTS, ["setlist_id"],
-                    event_time="event_date", resend_delay="30 days")
+                    resend_delay="30 days")
+    old = flat.limit(1).withColumns({"setlist_id": F.lit("old"),
+                                     "event_date": F.lit("1905-06-01").cast("date")})
+    old.write.mode("append").parquet(landing)
+    run_incremental(spark, landing, sink, ckpt, RAW_SETLISTS, ["setlist_id"],
+                    resend_delay="30 days")
     out = spark.read.parquet(sink)
     assert out.where(F.col("venue_id") == "vDUP").count() == 0
-    assert out.count() == out.select("setlist_id").distinct().count() == flat.count()
+    assert out.where(F.col("setlist_id") == "old").count() == 1
+    assert out.count() == out.select("setlist_id").distinct().count() == flat.count() + 1
+
+
+def test_page_stream_does_not_depend_on_batches(spark, tmp_path):
+    import json
+
+    from gigframe.streaming.pages import read_ingested, run_page_ingest
+
+    def land(folder, page):
+        folder.mkdir(exist_ok=True)
+        body = {"mbid": "a", "page": page, "itemsPerPage": 20, "total": 60,
+                "setlist": [{"id": f"s{page}", "eventDate": "01-02-2020"}]}
+        (folder / f"{page}.json").write_text(json.dumps(body) + "\n")
+
+    for name, per_batch in (("one", None), ("many", 1)):
+        folder = tmp_path / name
+        for page in (1, 2, 3):
+            land(folder, page)
+        out, ckpt = str(tmp_path / f"{name}-out"), str(tmp_path / f"{name}-ckpt")
+        run_page_ingest(spark, str(folder), out, ckpt, files_per_batch=per_batch)
+        assert read_ingested(spark, out, "setlists").count() == 3
+    folder = tmp_path / "drops"
+    for page in (2, 1, 3):
+        land(folder, page)
+        run_page_ingest(spark, str(folder), str(tmp_path / "d-out"), str(tmp_path / "d-ckpt"))
+    assert read_ingested(spark, str(tmp_path / "d-out"), "setlists").count() == 3

@@ -60,7 +60,7 @@ def test_landed_pages_append_to_loader_csv(spark):
     cat = Catalog(spark, SF_SMALL)
     pages = read_pages(spark, write_pages(build_pages(cat.raw["setlists"], cat.raw["songs"]),
                                           scratch_path(spark, "pages")))
-    setlists, songs = ingest_pages(pages, max_pages=None)
+    setlists, songs = ingest_pages(pages)
     landing = write_landing_csv(cat.raw, scratch_path(spark, "landing"))
     append_landed(setlists, songs, landing)
     raw = load_raw(spark, landing)

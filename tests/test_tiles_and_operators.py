@@ -6,8 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
-from gigframe.operators import (bounded_broadcast, box_stats_by, describe_by, keep_first,
-                                key_check_rows)
+from gigframe.operators import box_stats_by, describe_by, keep_first, quality_report
 from gigframe.plans import tiles
 
 
@@ -36,16 +35,9 @@ def test_keep_first(spark):
     assert got == [(1, "a"), (2, None)]
 
 
-def test_bounded_broadcast_both_ways(spark):
-    small = spark.range(5).withColumnRenamed("id", "k")
-    big = spark.range(100).withColumn("k", F.col("id") % 10)
-    assert big.join(bounded_broadcast(small, max_rows=10), "k").count() == 50
-    assert big.join(bounded_broadcast(small, max_rows=2), "k").count() == 50
-
-
 def test_key_checks(spark):
     df = spark.createDataFrame([("a",), ("a",), ("a",), ("b",), (None,), (None,)], "k string")
-    got = {r.check_name: r.failures for r in key_check_rows(df, "t", ["k"]).collect()}
+    got = {r.check_name: r.failures for r in quality_report({"t": (df, ["k"])}).collect()}
     assert got == {"not_null": 2, "unique": 1}
 
 
