@@ -277,7 +277,7 @@ def _second_blocks(members: DataFrame) -> DataFrame:
         F.transform(upto("n_rest"), lambda k: block(F.least(c, k), F.greatest(c, k), False,
                                                     F.lit(False))))
     return (rows.withColumn("at", F.explode(F.when(F.col("is_big"), big).otherwise(rest)))
-            .select("token", "cls", "label", "n_shingles", "bits", "at.*"))
+            .select("token", "cls", "label", "members", "at.*"))
 
 
 def jaccard_components(spark: SparkSession, docs: DataFrame, n: int = 5, num: int = 4,
@@ -302,12 +302,16 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, n: int = 5, num: in
              .agg(F.min("n_shingles").alias("n_shingles"), F.min("bits").alias("bits"),
                   F.min("wide").alias("wide")))
     blocks = written(blocks.join(canon.select("token", "members"), "token"), "blocks")
-    members = blocks.join(shape, "cls").withColumn(
-        "bits", F.when(F.col("members") <= FANOUT, F.col("bits")).otherwise(F.col("wide"))).drop("wide")
-    pairs = written(_walk(_first_blocks(members), num, den, False).distinct(), "pairs")
+
+    def with_shape(members: DataFrame) -> DataFrame:
+        return members.join(shape, "cls").withColumn(
+            "bits", F.when(F.col("members") <= FANOUT, F.col("bits")).otherwise(F.col("wide"))
+        ).drop("wide")
+
+    pairs = written(_walk(_first_blocks(with_shape(blocks)), num, den, False).distinct(), "pairs")
     # Classes that may link with something; in a cut block not all chunks have met yet.
     alive = written(pairs.select(F.col("a").alias("cls")).union(pairs.select("b"))
-                    .union(members.where(F.col("members") > CHUNK).select("cls")).distinct(),
+                    .union(blocks.where(F.col("members") > CHUNK).select("cls")).distinct(),
                     "alive")
     owners = (sig.where("cls is not null and doc_id is not null").join(alive, "cls")
               .groupBy("cls").agg(F.min("doc_id").alias("doc_id")))
@@ -315,10 +319,10 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, n: int = 5, num: in
     links = written(_verify(pairs, texts, n, num, den), "links")
     labels = components(spark, links)
 
-    rest = members.join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn(
+    rest = blocks.join(alive, "cls", "left_semi").join(
+        labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn(
         "label", F.coalesce("label", "cls"))
-    rest = rest.join(alive, "cls", "left_semi")
-    more = written(_walk(_second_blocks(rest), num, den, True).distinct()
+    more = written(_walk(with_shape(_second_blocks(rest)), num, den, True).distinct()
                    .join(pairs, ["a", "b"], "left_anti"), "pairs")
     links = links.unionByName(_verify(more, texts, n, num, den))
     # Rows that share a doc_id are one document.
