@@ -66,15 +66,14 @@ def near_copies(rng, n_base, copies, edits):
     return out
 
 
-@pytest.mark.parametrize("chunk", [4, 1024])
-def test_families_at_the_threshold_and_cut_blocks(spark, monkeypatch, chunk):
+@pytest.mark.parametrize("chunk,n,num,den", [(4, 3, 4, 5), (1024, 3, 90, 100)])
+def test_families_at_the_threshold_and_cut_blocks(spark, monkeypatch, chunk, n, num, den):
     monkeypatch.setattr(jj, "CHUNK", chunk)
     rng = random.Random(chunk)
     texts = near_copies(rng, 6, 14, 4) + ["", None, "one", "One", "two words", "x y z"] * 2
     rows = list(enumerate(texts))
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
-    for n, num, den in ((3, 4, 5), (5, 4, 5), (3, 90, 100)):
-        assert got(jj.jaccard_components(spark, df, n, num, den)) == brute(rows, n, num, den)
+    assert got(jj.jaccard_components(spark, df, n, num, den)) == brute(rows, n, num, den)
 
 
 def test_null_ids_repeated_rows_extra_columns_and_empty_table(spark):
