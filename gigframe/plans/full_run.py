@@ -11,15 +11,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.csv import load_raw
-from ..sources.warehouse import Warehouse
+from ..sources.warehouse import Warehouse, stored_bytes
 from . import marts as M
 from . import quality
 from .staging import staging
 
 # Physical layout. Staging tables are bucketed on the key
-# their consumers join or group on, the same bucket count for all, so
-# setlists/songs (setlist_id) and bands/albums/mapping (band id) meet
-# bucket by bucket without a shuffle.
+# their consumers join or group on, into a power of two of buckets that the
+# table's raw size needs, so setlists/songs (setlist_id) and
+# bands/albums/mapping (band id) meet bucket by bucket without a shuffle.
 STAGING_BUCKETS = {
     "stg_setlists": ("setlist_id",),
     "stg_songs": ("setlist_id",),
@@ -35,16 +35,18 @@ MART_CLUSTER = {
 
 
 def build_all(spark: SparkSession, landing_dir: str, warehouse_root: str,
-              check: bool = True, empty_as: str | None = None,
-              parallel: int = 4, buckets: int | None = None) -> dict[str, DataFrame]:
+              check: bool = True, empty_as: str | None = "",
+              parallel: int = 4, buckets: int | None = None,
+              use_catalog: bool = True) -> dict[str, DataFrame]:
     """Build every table; raise if a key check fails. Returns the written marts.
 
     Layers become databases ``raw``, ``staging`` and ``marts`` of external
-    tables under ``warehouse_root``. Tables of one layer do not read each
+    tables under ``warehouse_root`` (or plain folders there, unbucketed, without
+    ``use_catalog``). Tables of one layer do not read each
     other, so up to ``parallel`` of them are written at once from driver
     threads; Spark runs their jobs side by side on the cluster's slots.
     """
-    wh = Warehouse(spark, warehouse_root, use_catalog=True, buckets=buckets)
+    wh = Warehouse(spark, warehouse_root, use_catalog=use_catalog, buckets=buckets)
     raw = _write_all(wh, load_raw(spark, landing_dir, empty_as), "raw", parallel)
     stg = _write_all(wh, staging(raw), "staging", parallel, bucket=STAGING_BUCKETS)
     fct = wh.write_month_partitioned(
@@ -64,8 +66,10 @@ def _write_all(wh: Warehouse, tables: dict[str, DataFrame], layer: str, parallel
 
     def write(item):
         name, df = item
+        by = (bucket or {}).get(name, ())
+        size = stored_bytes(wh.spark, wh.path(name.removeprefix("stg_"), "raw")) if by else 0
         return name, wh.write(df, name, layer, cluster_by=(cluster or {}).get(name, ()),
-                              bucket_by=(bucket or {}).get(name, ()))
+                              bucket_by=by, source_bytes=size)
 
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
         return dict(pool.map(write, tables.items()))
@@ -81,13 +85,13 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("landing_dir")
     p.add_argument("warehouse_root")
     p.add_argument("--master", default=None, help="Spark master (default: from spark-submit)")
-    p.add_argument("--keep-empty-strings", action="store_true",
-                   help="load empty CSV cells as '' instead of NULL")
+    p.add_argument("--empty-as-null", action="store_true",
+                   help="load empty CSV text cells as NULL instead of ''")
     p.add_argument("--no-check", action="store_true", help="skip the key checks")
     args = p.parse_args(argv)
     spark = build_session(args.master)
     build_all(spark, args.landing_dir, args.warehouse_root, check=not args.no_check,
-                 empty_as="" if args.keep_empty_strings else None)
+                 empty_as=None if args.empty_as_null else "")
 
 
 if __name__ == "__main__":

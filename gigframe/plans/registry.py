@@ -83,6 +83,74 @@ def _load_csv(name: str) -> Query:
     return run
 
 
+def _append_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Append the mapping to landed CSV twice, as a repeated run does; load it back."""
+    from ..sources.csv import read_raw_table
+    from ..sources.schemas import RAW_TABLES
+    c = _cat(spark, sf_dir)
+    landing = scratch_path(spark, "landing")
+    none = c.raw["setlists"].limit(0), c.raw["songs"].limit(0)
+    for _ in range(2):
+        ingest.append_landed(*none, landing, mapping=c.raw["band_mapping"])
+    return read_raw_table(spark, RAW_TABLES["band_mapping"], landing)
+
+
+def _ingest_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs over the bands to do, each recording what it found; a third adds nothing."""
+    _cat(spark, sf_dir)
+    path = scratch_path(spark, "processed")
+    bands = spark.read.parquet(f"{sf_dir}/customer.parquet").selectExpr(
+        "cast(c_custkey as string) as band_id", "c_custkey % 3 <> 0 as found",
+        "c_nationkey < 10 as first")
+    for part in (bands.where("first"), bands, bands):
+        todo = ingest.unprocessed(part, ingest.read_processed(spark, path))
+        ingest.mark_processed(todo, path)
+    return ingest.read_processed(spark, path)
+
+
+def _page_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Seven landed pages for each customer: all wanted up to the cap of 5, or total reached
+    on page 2, or page 4 empty, or page 2 missing (a gap drops nothing)."""
+    from ..sources.pages import select_pages
+    _cat(spark, sf_dir)
+    pages = spark.read.parquet(f"{sf_dir}/customer.parquet").selectExpr(
+        "c_custkey % 4 as kind", "concat('m', cast(c_custkey as string)) as mbid",
+        "explode(sequence(1, 7)) as page").selectExpr(
+        "mbid", "page", "20 as itemsPerPage", "case when kind = 1 then 40 else 1000 end as total",
+        """case when kind = 2 and page = 4 then array()
+                else array(named_struct('id', concat(mbid, '-', page))) end as setlist""",
+        "kind").where("not (kind = 3 and page = 2)")
+    return select_pages(pages, max_pages=5).select("mbid", "page")
+
+
+def _full_run(pick: Callable[[dict[str, DataFrame]], DataFrame]) -> Query:
+    """Land all raw tables as CSV, build and check every layer in a warehouse of folders."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        from ..sources.landing import write_landing_csv
+        from .full_run import build_all
+        landing = write_landing_csv(_cat(spark, sf_dir).raw, scratch_path(spark, "landing"))
+        return pick(build_all(spark, landing, scratch_path(spark, "warehouse"),
+                              use_catalog=False))
+    return run
+
+
+def _loaded_seasonality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mart over loaded CSV: '' counts as a country there as in the raw tables."""
+    from ..sources.csv import load_raw
+    from ..sources.landing import write_landing_csv
+    from .marts import marts
+    from .staging import staging
+    landing = write_landing_csv(_cat(spark, sf_dir).raw, scratch_path(spark, "landing"))
+    return marts(staging(load_raw(spark, landing)))["agg_festival_seasonality"]
+
+
+def _clustered_read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..sources.sinks import clustered
+    path = scratch_path(spark, "clustered")
+    clustered(_cat(spark, sf_dir).dim_venues, "country_code").write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def _stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..streaming.resume import replay_setlists_twice
     _cat(spark, sf_dir)
@@ -126,6 +194,14 @@ QUERIES: dict[str, Query] = {
     "tile_review_genres": lambda s, d: tiles.review_genres(_cat(s, d).genre_review_distribution),
     "tile_review_box": lambda s, d: tiles.review_box(_cat(s, d).genre_review_distribution),
     "tile_review_summary": lambda s, d: tiles.review_summary(_cat(s, d).genre_review_distribution),
+    "tile_review_summary_chosen": lambda s, d: tiles.review_summary(
+        _cat(s, d).genre_review_distribution, ["MACHINERY Metal", "BUILDING Metal"]),
+    "tile_country_specialisation_chosen": lambda s, d: tiles.country_specialisation(
+        _cat(s, d).country_genre_affinity, "NATION_3"),
+    "tile_genre_countries_lq_chosen": lambda s, d: tiles.genre_countries_lq(
+        _cat(s, d).country_genre_affinity, "MACHINERY Metal"),
+    "tile_genre_countries_count_chosen": lambda s, d: tiles.genre_countries_count(
+        _cat(s, d).country_genre_affinity, "MACHINERY Metal"),
     "tile_country_list": lambda s, d: tiles.distinct_values(_cat(s, d).country_genre_affinity,
                                                             "country"),
     "tile_genre_list": lambda s, d: tiles.distinct_values(_cat(s, d).country_genre_affinity,
@@ -149,8 +225,16 @@ QUERIES: dict[str, Query] = {
     "ingest_unprocessed": lambda s, d: (lambda c: ingest.first_bands(ingest.unprocessed(
         c.raw["bands"],
         c.raw["band_mapping"].selectExpr("cast(ma_band_id as string) as band_id"))))(_cat(s, d)),
-    "load_csv_albums": _load_csv("albums"),
-    "load_csv_setlists": _load_csv("setlists"),
+    **{f"load_csv_{name}": _load_csv(name) for name in
+       ("bands", "albums", "labels", "setlists", "songs", "band_mapping")},
+    "ingest_append_csv": _append_csv,
+    "ingest_resume": _ingest_resume,
+    "ingest_page_rule": _page_rule,
+    "loaded_festival_seasonality": _loaded_seasonality,
+    "full_run_dim_venues": _full_run(lambda out: out["dim_venues"]),
+    "full_run_touring_top": _full_run(
+        lambda out: tiles.touring_top(out["agg_genre_touring_intensity"])),
+    "clustered_read_back": _clustered_read_back,
     "ingest_flatten_setlists": _flatten(0),
     "ingest_flatten_songs": _flatten(1),
     # streaming resume, layout, quality

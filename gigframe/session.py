@@ -21,8 +21,12 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
     "spark.sql.session.timeZone": "UTC",
-    "spark.ui.enabled": "false",
+    # Bucketed tables of different sizes join on the smaller number of buckets.
+    "spark.sql.bucketing.coalesceBucketsInJoin.enabled": "true",
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
+_INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 
 # Cluster sizing: start every shuffle with many partitions and let AQE
@@ -34,8 +38,6 @@ CLUSTER_CONF = {
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * 1024 * 1024),
-    "spark.sql.streaming.stateStore.providerClass":
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 
@@ -44,26 +46,26 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     """A session with our defaults; local masters get one partition per core."""
     builder = SparkSession.builder.appName(app_name)
     if master:
-        builder = builder.master(master)
-    conf = dict(DEFAULT_CONF)
-    if shuffle_partitions:
-        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.update(extra or {})
-    for k, v in conf.items():
+        builder = builder.master(master).config("spark.ui.enabled", "false")
+    for k, v in (extra or {}).items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    # All our settings are runtime SQL settings. One that was given, by spark-submit or
+    # in ``extra``, stays as it is.
+    conf = dict(DEFAULT_CONF)
     if _is_local(spark):
-        if not shuffle_partitions and "spark.sql.shuffle.partitions" not in (extra or {}):
-            spark.conf.set("spark.sql.shuffle.partitions",
-                           str(spark.sparkContext.defaultParallelism))
+        conf["spark.sql.shuffle.partitions"] = str(spark.sparkContext.defaultParallelism)
     else:
-        # Decided on the running master (spark-submit may have set it); these
-        # are runtime SQL settings, so they apply to every later query.
-        for k, v in CLUSTER_CONF.items():
-            if k in (extra or {}) or (shuffle_partitions and "artition" in k):
-                continue
+        conf.update(CLUSTER_CONF)
+    given = spark.sparkContext.getConf()
+    for k, v in conf.items():
+        if not given.contains(k):
             spark.conf.set(k, v)
+    if shuffle_partitions:
+        spark.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        if not given.contains(_INITIAL):
+            spark.conf.unset(_INITIAL)
     ensure_checkpoint_dir(spark)
     return spark
 

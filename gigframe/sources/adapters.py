@@ -28,40 +28,12 @@ DRIVER_SCHEMAS = {
 }
 
 
-# The fact-sized driver table (and a unique-ish key to spread it on) when
-# it arrives in too few splits; smaller tables are broadcast or cheap to scan.
-_FACT_KEYS = {"lineitem": "l_orderkey"}
-
-
 def _read(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
     reader = spark.read
     if name in DRIVER_SCHEMAS:
         reader = reader.schema(DRIVER_SCHEMAS[name])
     df = reader.parquet(f"{sf_dir}/{name}.parquet")
-    df = df.select(*cols) if cols else df
-    return spread_if_few_splits(df, _FACT_KEYS[name]) if name in _FACT_KEYS else df
-
-
-def spread_if_few_splits(df: DataFrame, key: str) -> DataFrame:
-    """Round-robin the rows when the scan has far fewer splits than task slots.
-
-    A file written as one row group is read by one task, and everything up to
-    the first shuffle (joins to dimensions, parsing, the map side of a dedup)
-    would run in that task. A large table on a cluster has many row groups
-    and this is a no-op; it only adds a shuffle when the input is too coarse
-    to use the slots. Hash-partitioning on a near-unique key spreads evenly
-    and, unlike round-robin, needs no sort to be repeatable after a retry.
-    """
-    if df.sparkSession.conf.get("gigframe.spreadCoarseScans", "true") != "true":
-        return df
-    try:
-        slots = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001  (no RDD view, e.g. a Spark Connect session)
-        return df
-    if splits * 2 <= slots:
-        return df.repartition(slots, key)
-    return df
+    return df.select(*cols) if cols else df
 
 
 def _join(left: DataFrame, right: DataFrame, cond: str) -> DataFrame:
@@ -126,8 +98,9 @@ def raw_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_band_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
     cust = _read(spark, sf_dir, "customer", "c_custkey", "c_name")
-    return cust.where("c_custkey % 5 <> 1").selectExpr(
-        "c_custkey as ma_band_id", "c_name as ma_band_name",
+    # Every fifth customer's mapping points at a band that does not exist.
+    return cust.selectExpr(
+        "case when c_custkey % 5 = 1 then -c_custkey else c_custkey end as ma_band_id", "c_name as ma_band_name",
         "concat('mbid-', cast(c_custkey as string)) as sfm_mbid", "c_name as sfm_artist_name",
         "case when c_custkey % 7 = 0 then 'fuzzy' else 'exact' end as match_type")
 

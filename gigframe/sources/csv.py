@@ -9,9 +9,9 @@ Two regimes, as in the original loader:
 * typed tables written by the ingester (setlists, songs, band_mapping): a
   declared schema, no inference pass.
 
-Files stay splittable (no multi-line records). Empty cells load as NULL,
-which is what the warehouse's default CSV null marker (the empty string)
-does; ``empty_as=''`` keeps them as empty strings instead.
+Files stay splittable (no multi-line records). Empty text cells of the raw tables
+load as '', which the marts count as a value where they count distinct ones;
+``empty_as=None`` loads them as NULL instead.
 """
 
 from __future__ import annotations
@@ -76,7 +76,7 @@ def read_typed(spark: SparkSession, path: str, schema: T.StructType,
 
 
 def read_raw_table(spark: SparkSession, table: RawTable, landing_dir: str,
-                   empty_as: str | None = None) -> DataFrame:
+                   empty_as: str | None = "") -> DataFrame:
     path = os.path.join(landing_dir, table.filename)
     if table.all_string:
         df = read_header_named(spark, path, table.renames, empty_as)
@@ -85,6 +85,6 @@ def read_raw_table(spark: SparkSession, table: RawTable, landing_dir: str,
 
 
 def load_raw(spark: SparkSession, landing_dir: str,
-             empty_as: str | None = None) -> dict[str, DataFrame]:
+             empty_as: str | None = "") -> dict[str, DataFrame]:
     """All six raw tables from a landing folder (lazy)."""
     return {name: read_raw_table(spark, t, landing_dir, empty_as) for name, t in RAW_TABLES.items()}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .csv import WRITE_OPTIONS
@@ -21,22 +21,29 @@ def write_append(df: DataFrame, path: str, fmt: str = "parquet") -> str:
     return path
 
 
+def row_hash(df: DataFrame) -> Column:
+    """A hash of the whole row: ends a range key, so that a hot value can be split."""
+    return F.xxhash64(*df.columns)
+
+
 def clustered(df: DataFrame, *cols: str, partitions: int | None = None) -> DataFrame:
-    """Range-partition and sort by ``cols`` so files carry tight min/max stats."""
+    """Range-partition and sort by ``cols`` so files carry tight min/max stats.
+
+    The range key ends with a hash of the row: rows that share all of ``cols`` (a
+    country with a third of all rows) are spread over as many tasks as their number needs.
+    """
     n = partitions or df.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    return df.repartitionByRange(int(n), *cols).sortWithinPartitions(*cols)
+    return df.repartitionByRange(int(n), *cols, row_hash(df)).sortWithinPartitions(*cols)
 
 
 def month_layout(fct: DataFrame, date_col: str = "event_date",
                  cluster_by: tuple[str, ...] = ("primary_subgenre", "country_code")) -> DataFrame:
     """Add the month column; range-partition and sort by (month, cluster keys).
 
-    Each task then writes few month folders with sorted row groups.
+    Each task then writes few month folders with sorted row groups; a hot month is split.
     """
     df = fct.withColumn(MONTH_COLUMN, F.trunc(F.col(date_col), "month"))
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (df.repartitionByRange(n, MONTH_COLUMN, *cluster_by)
-              .sortWithinPartitions(MONTH_COLUMN, *cluster_by))
+    return clustered(df, MONTH_COLUMN, *cluster_by)
 
 
 def write_month_partitioned(fct: DataFrame, path: str, date_col: str = "event_date",

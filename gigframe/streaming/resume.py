@@ -22,7 +22,7 @@ from ..sources.schemas import RAW_SETLISTS
 
 def run_incremental(spark: SparkSession, landing: str, sink: str, checkpoint: str,
                     schema: T.StructType, keys: list[str], fmt: str = "parquet",
-                    resend_delay: str | None = None) -> None:
+                    resend_delay: str | None = None, state_partitions: int = 200) -> None:
     """Process every landed file not seen before, append new keys to ``sink``.
 
     Runs until the files present at start are done (availableNow), then stops.
@@ -30,8 +30,17 @@ def run_incremental(spark: SparkSession, landing: str, sink: str, checkpoint: st
     the keys, held in RocksDB where the session builder says so). With ``resend_delay`` (e.g. "30 days") a key is
     remembered for that long after it arrived: bounded state, for sources whose
     re-sends come within the delay. Arrival is the time of the batch that reads a
-    record, so no record is ever late, whatever dates it holds.
+    record, so no record is ever late, whatever dates it holds. ``state_partitions``
+    state stores are made at the first start and stay for the life of the checkpoint;
+    the session's number of shuffle partitions is for batch jobs and is not used.
     """
+    own = spark.newSession()
+    own.conf.set("spark.sql.shuffle.partitions",
+                 str(min(state_partitions, 4 * spark.sparkContext.defaultParallelism)
+                     if spark.sparkContext.master.startswith("local") else state_partitions))
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    own.conf.set(provider, spark.conf.get(provider))
+    spark = own
     stream = spark.readStream.schema(schema).format(fmt).load(landing)
     if resend_delay:
         at = "_arrived"

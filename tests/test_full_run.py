@@ -2,9 +2,6 @@
 
 import os
 
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
 from gigframe.plans.marts import marts
 from gigframe.plans.full_run import build_all
 from gigframe.plans.staging import staging
@@ -16,11 +13,9 @@ from gigframe.sources.landing import write_landing_csv
 from conftest import SF_SMALL
 
 
-def _empty_to_null(df):
-    """A CSV cell cannot tell '' from NULL; loading gives NULL for both."""
-    return df.select(*[F.nullif(F.col(f.name), F.lit("")).alias(f.name)
-                       if isinstance(f.dataType, T.StringType) else F.col(f.name)
-                       for f in df.schema.fields])
+def _null_to_empty(df):
+    """An empty CSV text cell loads as ''."""
+    return df.na.fill("")
 
 
 def _same(a, b):
@@ -32,23 +27,55 @@ def test_csv_round_trip_keeps_raw_rows(spark):
     loaded = load_raw(spark, landing)
     expected = raw_tables(spark, SF_SMALL)
     for name, df in loaded.items():
-        want = _empty_to_null(expected[name])
+        want = _null_to_empty(expected[name])
         assert df.columns == want.columns, name
         assert _same(df, want), name
 
 
-def test_empty_as_option_keeps_empty_strings(spark):
+def test_quotes_commas_backslashes_and_edge_blanks_round_trip(spark, tmp_path):
+    from gigframe.sources.csv import read_raw_table
+    from gigframe.sources.schemas import RAW_SONGS, RAW_TABLES
+    from gigframe.sources.sinks import write_append
+    names = ['7" Edit, live', 'The "X" Band', "back\\slash", ' edge ', '"', ',', '\\"', "", "é"]
+    df = spark.createDataFrame([("s", n, "", 0, False, n, None) for n in names], RAW_SONGS)
+    t = RAW_TABLES["songs"]
+    write_append(df, os.path.join(str(tmp_path), t.filename), "csv")
+    write_append(df, os.path.join(str(tmp_path), t.filename), "csv")
+    got = read_raw_table(spark, t, str(tmp_path))
+    assert sorted(r.song_name for r in got.collect()) == sorted(names * 2)
+    assert sorted(r.cover_artist_name for r in got.collect()) == sorted(names * 2)
+
+
+def test_moved_columns_stop_the_load(spark, tmp_path):
+    import pytest
+
+    from gigframe.sources.csv import read_header_named, read_typed
+    from gigframe.sources.schemas import RAW_SONGS
+    names = RAW_SONGS.fieldNames()
+    moved = [names[1], names[0], *names[2:]]
+    (tmp_path / "songs.csv").write_text(",".join(moved) + "\nA,s1,,0,false,,false\n")
+    with pytest.raises(Exception):
+        read_typed(spark, str(tmp_path / "songs.csv"), RAW_SONGS).collect()
+    folder = tmp_path / "bands"
+    folder.mkdir()
+    (folder / "a.csv").write_text("Band ID,Name\n1,x\n")
+    (folder / "b.csv").write_text("Name,Band ID\ny,2\n")
+    with pytest.raises(Exception):
+        read_header_named(spark, str(folder), {"Band_ID": "b", "Name": "n"}).collect()
+
+
+def test_empty_as_null_option(spark):
     landing = write_landing_csv(raw_tables(spark, SF_SMALL), scratch_path(spark, "landing"))
-    bands = load_raw(spark, landing, empty_as="")["bands"]
-    assert bands.where("genre = ''").count() > 0
-    assert bands.where("genre is null").count() == 0
+    bands = load_raw(spark, landing, empty_as=None)["bands"]
+    assert bands.where("genre = ''").count() == 0
+    assert bands.where("genre is null").count() > 0
 
 
 def test_full_run_matches_lazy_plans(spark):
     raw = raw_tables(spark, SF_SMALL)
     landing = write_landing_csv(raw, scratch_path(spark, "landing"))
     out = build_all(spark, landing, scratch_path(spark, "warehouse"))
-    want_all = marts(staging({n: _empty_to_null(df) for n, df in raw.items()}))
+    want_all = marts(staging({n: _null_to_empty(df) for n, df in raw.items()}))
     assert set(out) == set(want_all)
     for name, want in want_all.items():
         got = out[name].select(*want.columns)
