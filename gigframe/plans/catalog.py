@@ -32,6 +32,13 @@ def catalog_for(spark: SparkSession, sf_dir: str) -> "Catalog":
         return cat
 
 
+def forget(spark: SparkSession) -> None:
+    """Drop the session's catalogs: later queries plan and read everything anew."""
+    with _LOCK:
+        for key in [k for k, c in _CATALOGS.items() if c.spark is spark]:
+            del _CATALOGS[key]
+
+
 class _LazyRaw(dict):
     def __init__(self, spark: SparkSession, sf_dir: str):
         super().__init__()
