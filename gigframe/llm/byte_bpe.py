@@ -188,7 +188,7 @@ def encode_column(df: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     def ids_of(texts: pa.Array) -> list[pa.Array]:
         enc = encoder(ranks_path, pattern)
         units = Units(texts)
-        found = enc.ids(units.texts, np.unique(units.seq))
+        found = enc.ids(units.texts, units.used)
         flat, at = gather(found, units.seq)
         ends = np.concatenate([[0], np.cumsum(at)])[units.bounds]
         lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat.astype(np.int32)))
@@ -207,7 +207,7 @@ def encode_digests(df: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     def digests(texts: pa.Array) -> list[pa.Array]:
         enc = encoder(ranks_path, pattern)
         units = Units(texts)
-        used = np.unique(units.seq)
+        used = units.used
         found = enc.ids(units.texts, used)
         sizes = np.zeros(len(found), np.int64)
         decimals: list[str | None] = [None] * len(found)

@@ -17,27 +17,34 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 
+#: A blank in Python's sense at the start of a text.
+_BLANK = r"^[\s\x0b\x1c-\x1f\x{85}\p{Z}]"
+
+
 class Units:
     """``texts``: distinct units; ``seq``: a unit number per place; ``bounds``:
-    first place of each document, and the number of places at the end."""
+    first place of each document, and the number of places at the end; ``used``: the
+    units that occur in ``seq``."""
 
     def __init__(self, texts: pa.Array):
         cut = pc.split_pattern(texts, " ")
         offs = np.asarray(cut.offsets, dtype=np.int64)
         offs = offs - offs[0]
         coded = cut.flatten().dictionary_encode()
-        words = coded.dictionary.to_pylist()
+        words = coded.dictionary
+        odd_word = np.asarray(pc.or_(pc.equal(words, ""), pc.match_substring_regex(words, _BLANK)))
         seq = np.array(coded.indices, dtype=np.int64)
         first = offs[:-1]
-        odd_word = np.fromiter((not w or w[0].isspace() for w in words), bool, len(words))
         odd = odd_word[seq]
         odd[first] = False
         doc = np.repeat(np.arange(len(texts)), np.diff(offs))
         odd_doc = np.zeros(len(texts), bool)
         odd_doc[doc[odd]] = True
-        heads = [words[i] for i in seq[first].tolist()]
+        heads = words.take(pa.array(seq[first])).to_pylist()
         seq[first] = len(words) + np.arange(len(texts))
-        self.texts = [" " + w for w in words] + heads
+        led = pc.binary_join_element_wise(pa.scalar(" ", words.type), words,
+                                          pa.scalar("", words.type))
+        self.texts = led.to_pylist() + heads
         if odd_doc.any():
             whole = np.flatnonzero(odd_doc)
             seq[first[whole]] = len(self.texts) + np.arange(len(whole))
@@ -46,6 +53,9 @@ class Units:
             keep[first] = True
             seq, doc = seq[keep], doc[keep]
         self.seq = seq
+        used = np.zeros(len(self.texts), bool)
+        used[seq] = True
+        self.used = np.flatnonzero(used)
         self.bounds = np.searchsorted(doc, np.arange(len(texts) + 1))
 
 
@@ -62,6 +72,10 @@ class UnitCache:
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
+    def peek(self, text: str) -> bytes | None:
+        got = self.young.get(text)
+        return self.old.get(text) if got is None else got
+
     def __call__(self, texts: list[str], used: np.ndarray) -> list[bytes | None]:
         """Encodings of the units numbered in ``used``; None at the others."""
         out: list[bytes | None] = [None] * len(texts)

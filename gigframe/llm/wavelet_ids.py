@@ -38,7 +38,8 @@ from .pretokens import UnitCache, Units, gather
 MAGIC = b"WMX1"
 #: Ids after which a shard ends (at the next end of a document).
 SHARD_IDS = 1 << 22
-UNIT_CACHE = 400_000
+#: Units whose ids a Python worker keeps.
+UNIT_CACHE = 1_200_000
 #: Characters of units that go to the library as one text.
 JOINED_CHARS = 4000
 BLOCK = 64  # bytes of a plane between two stored counts
@@ -73,15 +74,17 @@ class WaveletMatrix:
         return cls(len(ids), planes)
 
     def decode(self) -> np.ndarray:
-        """The whole sequence: follow all places down the planes at once."""
-        out = np.zeros(self.n, np.uint32)
-        order = np.arange(self.n, dtype=np.uint32)
-        for k, plane in enumerate(self.planes):
-            bit = np.unpackbits(plane, count=self.n, bitorder="little").astype(bool)
-            one = order[bit]
-            out[one] |= np.uint32(1 << (len(self.planes) - 1 - k))
-            order = np.concatenate([order[~bit], one])
-        return out
+        """The whole sequence: the planes' partings undone from the last to the first."""
+        bits = len(self.planes)
+        kind = np.uint16 if bits <= 16 else np.uint32
+        cur = np.zeros(self.n, kind)
+        for k in reversed(range(bits)):
+            one = np.unpackbits(self.planes[k], count=self.n, bitorder="little").astype(bool)
+            above, zeros = np.empty(self.n, kind), int(self.zeros[k])
+            above[~one] = cur[:zeros]
+            above[one] = cur[zeros:] | kind(1 << (bits - 1 - k))
+            cur = above
+        return cur.astype(np.uint32)
 
     def _rank1(self, k: int, i: int) -> int:
         """Ones of plane k before place i."""
@@ -195,17 +198,32 @@ class LibraryEncoder:
         for token, i in vocab.items():  # one character of a token stands for one byte
             self.length[i] = len(token)
         self.ids = UnitCache(self.encode_units, UNIT_CACHE)
+        self.stop = {c: np.array(self.tok.encode(c, add_special_tokens=False).ids, "<u4").tobytes()
+                     for c in ".,"}
 
     def encode_units(self, texts: list[str]) -> list[bytes]:
         """Ids per unit as little-endian 32-bit integers.
 
-        Units that begin with a space and a non-blank stay apart in one long text, so
-        many go to the library as one; the bytes of each id tell where a unit ends.
+        A known word with a full stop or comma is the word's ids and the mark's. Units that
+        begin with a space and a non-blank stay apart in one long text, so many go to the
+        library as one; the bytes of each id tell where a unit ends.
         """
+        def pack(form: str, ids: list[int]) -> bytes:
+            return struct.pack(form % len(ids), *ids)
+
         out: list[bytes] = [b""] * len(texts)
+        merge = self.tok.model.tokenize
         alone, joined, size = [], [[]], 0
         for k, t in enumerate(texts):
-            if t[:1] == " " and t[1:2].strip():
+            if t[-1:] in self.stop and t[1:-1].isalpha() and max(t) < "\u0250":
+                word = self.ids.peek(t[:-1])
+                if word is not None:
+                    out[k] = word + self.stop[t[-1]]
+                    continue
+            if t.isascii() and t[:1] == " " and t[1:].isalpha():
+                # One match of the split pattern; the model writes a space as U+0120.
+                out[k] = pack("<%dI", [x.id for x in merge("\u0120" + t[1:])])
+            elif t[:1] == " " and t[1:2].strip():
                 joined[-1].append(k)
                 size += len(t)
                 if size > JOINED_CHARS:
@@ -220,8 +238,8 @@ class LibraryEncoder:
             out[k] = np.array(e.ids, "<u4").tobytes()
         for ks, e in zip(joined, found[len(alone):], strict=True):
             ids = np.array(e.ids, "<u4")
-            unit_ends = np.cumsum([len(texts[k].encode()) for k in ks])
-            at = np.searchsorted(np.cumsum(self.length[ids]), unit_ends, side="right")
+            ends = np.cumsum([len(texts[k].encode()) for k in ks])
+            at = np.searchsorted(np.cumsum(self.length[ids]), ends, side="right")
             data, a = ids.tobytes(), 0
             for k, b in zip(ks, (4 * at).tolist(), strict=True):
                 out[k] = data[a:b]
@@ -262,7 +280,7 @@ def write_shards(docs: DataFrame, path: str, tokenizer_path: str, end_id: int,
         for batch in batches:
             for rows, texts in text_slices(batch, "text"):
                 units = Units(texts)
-                flat, at = gather(enc.ids(units.texts, np.unique(units.seq)), units.seq)
+                flat, at = gather(enc.ids(units.texts, units.used), units.seq)
                 ends = np.concatenate([[0], np.cumsum(at)])[units.bounds]
                 ids.append(np.insert(flat, ends[1:], end_id))
                 lengths.append(np.diff(ends) + 1)
