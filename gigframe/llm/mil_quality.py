@@ -67,8 +67,8 @@ def passages(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     of_byte = np.repeat(of_word, lens)
     shares = np.bincount(of_byte * N_CLASS + byte_class, minlength=total * N_CLASS)
     shares = shares.reshape(total, N_CLASS)
-    n_bytes = np.maximum(shares.sum(1), 1)
-    x[:, :N_CLASS] = shares / n_bytes[:, None]
+    n_bytes = shares.sum(1)
+    x[:, :N_CLASS] = shares / np.maximum(n_bytes, 1)[:, None]
     k = N_CLASS
     x[:, k] = n_bytes / size / 10
     x[:, k + 1] = words / PASSAGE
