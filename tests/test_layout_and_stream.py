@@ -93,3 +93,39 @@ def test_page_stream_does_not_depend_on_batches(spark, tmp_path):
         land(folder, page)
         run_page_ingest(spark, str(folder), str(tmp_path / "d-out"), str(tmp_path / "d-ckpt"))
     assert read_ingested(spark, str(tmp_path / "d-out"), "setlists").count() == 3
+
+
+def test_hot_values_are_split_over_range_partitions(spark):
+    from collections import Counter
+
+    from pyspark.sql import functions as F
+
+    from gigframe.sources.sinks import clustered, month_layout
+
+    df = spark.range(60000).select(
+        F.col("id"), F.when(F.col("id") % 3 == 0, "US").otherwise((F.col("id") % 50).cast("string")).alias("country_code"),
+        F.when(F.col("id") % 3 == 0, "Hot").otherwise((F.col("id") % 40).cast("string")).alias("primary_subgenre"),
+        F.when(F.col("id") % 3 == 0, F.lit("2020-01-05"))
+         .otherwise(F.concat(F.lit("20"), (F.col("id") % 19 + 10).cast("string"), F.lit("-05-01")))
+         .cast("date").alias("event_date"))
+    for out in (clustered(df, "country_code", partitions=32), month_layout(df)):
+        n = Counter(r[0] for r in out.select(F.spark_partition_id()).collect())
+        assert max(n.values()) < 2 * 60000 / len(n)
+
+
+def test_bucket_count_follows_the_size():
+    from gigframe.sources.warehouse import bucket_count
+
+    assert [bucket_count(n, 100) for n in (0, 1, 100, 101, 250, 401, 1600)] == [1, 1, 1, 2, 4, 8, 16]
+
+
+def test_given_settings_win(spark):
+    from gigframe.session import build_session
+
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        # The session's own core setting stands against our default.
+        assert spark.sparkContext.getConf().contains("spark.ui.showConsoleProgress")
+        assert build_session(shuffle_partitions=5).conf.get("spark.sql.shuffle.partitions") == "5"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
