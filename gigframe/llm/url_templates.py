@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .components import written
+
 #: Levels of the tree; deeper segments belong to the last one.
 DEPTH = 4
 #: A node is variable where it has more than this many different segments, and
@@ -67,7 +69,8 @@ def templates(counts: DataFrame, depth: int = DEPTH) -> DataFrame:
 
     ``counts`` has host, shape (array), n (urls), good and bad (labelled ones).
     """
-    cur = counts.withColumn("prefix", F.lit(""))
+    # One row per (host, shape); written per level, or the plan would double with each.
+    cur = written(counts.withColumn("prefix", F.lit("")), "shapes")
     for level in range(depth):
         last = level == depth - 1
         seg = (F.array_join(F.slice(F.col("shape"), level + 1, 10**6), "/") if last
@@ -93,6 +96,7 @@ def templates(counts: DataFrame, depth: int = DEPTH) -> DataFrame:
         kids = kids.select("host", "prefix", "seg", branch.alias("branch"))
         cur = here.join(kids, ["host", "prefix", "seg"]).withColumn(
             "prefix", F.concat("prefix", F.lit("/"), "branch")).drop("seg", "branch")
+        cur = written(cur, "shapes")
     per = cur.groupBy("host", "prefix").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad"))
     seen = F.col("good") + F.col("bad")
     share = F.when(seen > 0, F.col("good") / seen)
