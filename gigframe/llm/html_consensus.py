@@ -1,10 +1,13 @@
 """Main text of web pages by consensus paths per host.
 
 Every container of a page (an element that holds blocks) is scored by the text in it
-that is not in links or boilerplate. The best container's generalised tag-class path
-("body>div.post-#>article") is the page's vote; Spark counts the votes per host, and
-every page is read again with its host's winning path. A page without that path keeps
-its own best container, so one odd page neither spoils a host nor is lost.
+that is not in links or boilerplate. From the best one the page climbs to the smallest
+ancestor that also holds the text beside it (headings, leads, lists, other sections).
+That element's generalised tag-class path ("body>div.post-#>article") is the page's vote;
+Spark counts the votes per host, and every page is read again from its host's winning
+path, with the same climb. A page without that path keeps its own best container, so one
+odd page neither spoils a host nor is lost. Only divs with a class right under the body
+compete: such a div is no reason to climb, so the winner's text is kept without theirs.
 """
 
 from __future__ import annotations
@@ -41,6 +44,8 @@ newsletter subscribe signup login widget widgets pager pagination skip toolbar
 """.split())
 #: Elements that a class never makes boilerplate.
 NEVER = frozenset("html body main article".split())
+#: Elements (the root is '') whose divs may be parts of the page rather than of its text.
+LAYOUT = frozenset(("", "html", "body"))
 #: A start tag closes an open element of these first, unless one of the second stands between.
 CLOSES = {"p": ("p", "h1", "h2", "h3", "h4", "h5", "h6"), "li": ("li",), "dt": ("dt", "dd"),
           "dd": ("dt", "dd"), "td": ("td", "th"), "th": ("td", "th"), "tr": ("tr",)}
@@ -53,11 +58,12 @@ _ATTR = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))"
 
 
 class Element:
-    __slots__ = ("tag", "path", "parent", "boilerplate", "own", "links", "score")
+    __slots__ = ("tag", "path", "parent", "boilerplate", "named", "held", "plain", "apart", "score")
 
     def __init__(self, tag: str, path: str, parent: Element | None, boilerplate: bool):
         self.tag, self.path, self.parent, self.boilerplate = tag, path, parent, boilerplate
-        self.own = self.links = 0
+        self.named = False  # a div with a class
+        self.held = self.plain = self.apart = 0  # see _weigh
         self.score = 0.0
 
 
@@ -77,7 +83,9 @@ def _open(tag: str, attrs: str, parent: Element | None) -> Element:
                or found.get("role", "").lower() in ROLES or found.get("aria-hidden") == "true"
                or re.search(r"\bhidden\b", re.sub(r"\"[^\"]*\"|'[^']*'", "", attrs)) is not None
                or "display:none" in found.get("style", "").replace(" ", ""))
-    return Element(tag, f"{parent.path}>{label}" if parent else label, parent, bad)
+    e = Element(tag, f"{parent.path}>{label}" if parent else label, parent, bad)
+    e.named = tag == "div" and bool(classes)
+    return e
 
 
 def blocks(page: str) -> list[tuple[Element, str, int]]:
@@ -143,9 +151,50 @@ def blocks(page: str) -> list[tuple[Element, str, int]]:
                     here.parent = root
     text(page[at:])
     flush()
+    _weigh(out)
     return out
 
 
+def _weigh(found: list[tuple[Element, str, int]]) -> None:
+    """Counts per element, boilerplate left out: all blocks in it, those mostly outside
+    links, and how many of the latter stand in its divs with a class."""
+    for e, text, linked in found:
+        if e.boilerplate:
+            continue
+        plain, below = int(len(text) > 2 * linked), None
+        while e is not None:
+            e.held += 1
+            e.plain += plain
+            if below is not None and below.named:
+                e.apart += plain
+            below, e = e, e.parent
+
+
+def _climb(e: Element) -> Element:
+    """The smallest ancestor of ``e``, or itself, that no further one adds main text to.
+
+    In an article or main every block counts, elsewhere those mostly outside links, and
+    of a layout element (body) those outside its divs with a class.
+    """
+    top, at, below, author = e, e.parent, e, 0
+    up = at
+    while up is not None:
+        author += up.tag in ("article", "main")
+        up = up.parent
+    while at is not None:
+        if author:
+            more = at.held > top.held
+        elif at.tag in LAYOUT:
+            more = at.plain - at.apart > (0 if below.named else below.plain)
+        else:
+            more = at.plain > top.plain
+        if more:
+            top = at
+        author -= at.tag in ("article", "main")
+        at, below = at.parent, at
+    return top
+
+
 def _container(e: Element) -> Element:
     while e.tag in LEAF and e.parent is not None:
         e = e.parent
@@ -153,9 +202,10 @@ def _container(e: Element) -> Element:
 
 
 def best_path(found: list[tuple[Element, str, int]]) -> tuple[str, float]:
-    """Path and score of the container with the most text of its own; '' if there is none.
+    """Path that the container with the most text of its own climbs to, and that one's score.
 
-    A container gets its blocks' characters outside links, its parent a third of them.
+    A container gets its blocks' characters outside links, its parent a third of them. The
+    path is '' if there is none.
     """
     seen: list[Element] = []
     for e, text, linked in found:
@@ -173,23 +223,23 @@ def best_path(found: list[tuple[Element, str, int]]) -> tuple[str, float]:
     if not seen:
         return "", 0.0
     top = max(seen, key=lambda c: c.score)
-    return top.path, top.score
+    return _climb(top).path, top.score
 
 
 def main_text(page: str, path: str | None) -> str:
-    """The text in the containers at ``path``, or in the page's own best one."""
+    """The text in what the containers at ``path``, or the page's own best one, climb to."""
     found = blocks(page)
 
     def within(wanted: str) -> list[str]:
-        out = []
+        lines = []
         for e, text, _ in found:
-            if e.boilerplate:
-                continue
-            while e is not None and e.path != wanted:
-                e = e.parent
-            if e is not None:
-                out.append(text)
-        return out
+            if not e.boilerplate:
+                line = [e]
+                while line[-1].parent is not None:
+                    line.append(line[-1].parent)
+                lines.append((line, text))
+        tops = {_climb(e) for e in {e for line, _ in lines for e in line if e.path == wanted}}
+        return [text for line, text in lines if not tops.isdisjoint(line)]
 
     kept = within(path) if path else []
     if not kept:

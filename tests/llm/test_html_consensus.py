@@ -52,3 +52,22 @@ def test_query_equals_the_articles(spark):
         inner = re.search(r"<article>(.*)</article>", pages[r.page_id].html, re.S)[1]
         want = " ".join(html.unescape(re.sub(r"<[^>]*>", " ", inner)).split())
         assert (r.url, r.text, r.n_chars) == (pages[r.page_id].url, want, len(want))
+
+
+def test_text_beside_the_best_container_stays():
+    long = "a long line of the article's own words " * 9
+    wrap = "<html><body><nav><a href=/>Home</a></nav>{}<footer>f</footer></body></html>"
+    for page in ("<article><h1>T</h1><p>lead</p><div class=content><p>L</p></div></article>",
+                 "<article><h1>T</h1><div><div class=c><p>L</p></div></div><p>end</p></article>",
+                 "<article><section class=a><p>L</p></section><section class=b>L</section></article>",
+                 "<main><article><p>L</p></article><section class=more><p>x</p></section></main>",
+                 "<article><p>intro</p><ul><li>L<li>L</ul><table><tr><td>x<td>y</table></article>",
+                 "<article><p>intro</p><blockquote><p>L</p></blockquote></article>",
+                 "<div class=post><h1>T</h1><div class=content><p>L</p></div></div>",
+                 "<h1>T</h1><div class=content><p>L</p></div>"):
+        page = page.replace("L", long)
+        want = " ".join(re.sub(r"<[^>]*>", " ", page).split())
+        assert hc.main_text(wrap.format(page), None) == want
+        # Also where most pages of the host have nothing beside the best container.
+        own = max(hc.blocks(wrap.format(page)), key=lambda x: len(x[1]))[0]
+        assert hc.main_text(wrap.format(page), hc._container(own).path) == want
