@@ -12,6 +12,7 @@ compete: such a div is no reason to climb, so the winner's text is kept without
 
 from __future__ import annotations
 
+import bisect
 import html
 import re
 from collections.abc import Iterator
@@ -27,7 +28,11 @@ from .url_templates import host_and_path
 SALTS = 32
 
 # Element names by their role.
-RAW = frozenset("script style noscript template textarea title iframe object svg math".split())
+RAW = frozenset("script style noscript template textarea title iframe".split())
+#: No text of the page; '/>' ends them, and so does the end of the element they stand in.
+FOREIGN = frozenset("svg math object".split())
+#: HTML inside svg or math; elsewhere a block's start tag ends those two.
+INSIDE = frozenset("foreignobject annotation-xml desc".split())
 BLOCK = frozenset("""
 html body main article section div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot
 tr td th caption pre blockquote figure figcaption address details summary fieldset center hgroup
@@ -55,6 +60,7 @@ _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|"
     r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*'|[\"'])*?)>", re.S)
 _ATTR = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
+_OBJECT_END = re.compile(r"</object(?=[\s/>])", re.I)
 
 
 class Element:
@@ -88,6 +94,12 @@ def _open(tag: str, attrs: str, parent: Element | None) -> Element:
     return e
 
 
+def _within(e: Element | None, outer: Element) -> bool:
+    while e is not None and e is not outer:
+        e = e.parent
+    return e is outer
+
+
 def blocks(page: str) -> list[tuple[Element, str, int]]:
     """(innermost block element, text, characters in links) in page order, boilerplate too.
 
@@ -99,10 +111,12 @@ def blocks(page: str) -> list[tuple[Element, str, int]]:
     parts: list[str] = []
     linked = 0
     at = 0
+    foreign: list[tuple[str, Element]] = []  # open ones, each with the element it stands in
+    ends: list[int] | None = None  # where the end tags of objects are
 
     def text(piece: str) -> None:
         nonlocal linked
-        if piece:
+        if piece and not foreign:
             piece = html.unescape(piece)
             parts.append(piece)
             if links:
@@ -124,23 +138,57 @@ def blocks(page: str) -> list[tuple[Element, str, int]]:
             continue
         tag, closing = m[2].lower(), m[1] == "/"
         if tag in RAW:
-            if not closing:  # nothing but its own end tag ends a raw element
+            if not closing and not (foreign and foreign[-1][0] in ("svg", "math")
+                                    and m[3].endswith("/")):
+                # nothing but its own end tag ends a raw element
                 end = re.compile(rf"</{tag}(?=[\s/>])[^>]*>?", re.I).search(page, at)
                 at = end.end() if end else len(page)
+        elif tag in FOREIGN or foreign and tag in INSIDE:
+            if closing:
+                k = max((k for k, x in enumerate(foreign) if x[0] == tag), default=None)
+                if k is not None:
+                    here = foreign[k][1]
+                    del foreign[k:]
+            elif not m[3].endswith("/"):
+                if tag == "object":  # one that no end tag is left for holds nothing
+                    if ends is None:
+                        ends = [x.start() for x in _OBJECT_END.finditer(page)]
+                    left = len(ends) - bisect.bisect_left(ends, at)
+                    if left <= sum(x[0] == tag for x in foreign):
+                        continue
+                foreign.append((tag, here))
         elif tag == "a":
+            if foreign:
+                continue
             links = max(0, links + (-1 if closing else 1))
         elif tag in ("br", "hr"):
             parts.append(" ")
         elif tag in BLOCK:
-            flush()
-            links = 0
+            if not closing:
+                while foreign and foreign[-1][0] in ("svg", "math"):
+                    here = foreign.pop()[1]
             if closing:
                 e = here
                 while e is not root and e.tag != tag:
                     e = e.parent
-                if e is not root:
-                    here = e.parent
+                if e is root:
+                    if not foreign:
+                        flush()
+                        links = 0
+                    continue
+                # What stands in the ended element or below it ends too.
+                while foreign and _within(foreign[-1][1], e):
+                    here = foreign.pop()[1]
+                if not foreign:
+                    flush()
+                    links = 0
+                here = e.parent
+            elif foreign:
+                here = _open(tag, m[3], here if here is not root else None)
+                here.parent, here.boilerplate = here.parent or root, True
             else:
+                flush()
+                links = 0
                 e, wanted = here, CLOSES.get(tag, ("p",) if tag not in ("html", "body") else ())
                 while e is not root and e.tag not in wanted and e.tag not in KEEPS:
                     e = e.parent

@@ -71,3 +71,18 @@ def test_text_beside_the_best_container_stays():
         # Also where most pages of the host have nothing beside the best container.
         own = max(hc.blocks(wrap.format(page)), key=lambda x: len(x[1]))[0]
         assert hc.main_text(wrap.format(page), hc._container(own).path) == want
+
+
+def test_svg_math_and_object_hide_no_text_around_them():
+    for page, want in (
+            ("<svg class=i/><p>a</p><p>b <math/>c</p>", "a b c"),
+            ("<p>a<svg/>b</p><p>c</p><svg><path/><text>no</text></svg><p>d</p>", "ab c d"),
+            ("<p>a <svg><svg><g/></svg><text>no</text></svg>b</p><p>c</p>", "a b c"),
+            ("<p>a <svg><title>no</title><style/><text>no</p><p>b</p>", "a b"),
+            ("<p>a</p><svg><g><p>b</p><p>c</p>", "a b c"),
+            ("<p>a</p><svg><foreignObject><p>no</p></foreignObject></svg><p>b</p>", "a b"),
+            ("<p>a</p><object data=x><p>b</p><p>c</p>", "a b c"),
+            ("<p>a <object data=x><param></p><p>b</p><div><object>no</object>c</div>", "a b c"),
+            ("<p>a <object><p>no<object>no</object><div>no</div>no</object> b</p><p>c", "a b c")):
+        page = f"<html><body><article>{page}</article></body></html>"
+        assert hc.main_text(page, None) == want, page
