@@ -31,9 +31,8 @@ from .labelled import fold, logistic_map, training_sample
 
 #: Labelled rows of each class that a model is fitted on.
 SAMPLE_PER_CLASS = 15_000
-#: Lexicon entries, and candidates whose clean counts are looked up.
-LEXICON = 500
-CANDIDATES = 50_000
+#: Toxic texts that a term needs, whatever their number.
+LEAST_TEXTS = 3
 PREFIX = range(3, 10)
 #: Words on either side of a match that its context score reads.
 WINDOW = 5
@@ -204,16 +203,13 @@ def _terms(text: str) -> set[str]:
     return words | {w[:k] + "*" for w in words for k in PREFIX if len(w) > k}
 
 
-def _document_counts(texts: DataFrame, among: set[str] | None) -> DataFrame:
+def _document_counts(texts: DataFrame) -> DataFrame:
     """(term, n): in how many texts; added up per task, then by Spark."""
-    shared = texts.sparkSession.sparkContext.broadcast(among)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, only = Counter(), shared.value
+        total = Counter()
         for batch in batches:
             for t in batch.column(0).to_pylist():
-                terms = _terms(t)
-                total.update(terms if only is None else terms & only)
+                total.update(_terms(t))
             if len(total) > 1_000_000:
                 yield pa.RecordBatch.from_arrays([pa.array(total.keys(), pa.string()),
                                                   pa.array(total.values(), pa.int64())],
@@ -238,32 +234,56 @@ def _surprise(t: int, c: int, n_toxic: int, n_clean: int) -> float:
                 - ll(t, n_toxic, p) - ll(c, n_clean, p))
 
 
+def evident(t: int, c: int, n_toxic: int, n_clean: int, least: float = 24.0,
+            odds: float = 10.0) -> bool:
+    """Whether a term in ``t`` toxic and ``c`` clean texts has enough evidence."""
+    rate = ((t + 0.5) / (n_toxic + 1)) / ((c + 0.5) / (n_clean + 1))
+    return (t >= LEAST_TEXTS and rate >= odds
+            and _surprise(t, c, n_toxic, n_clean) >= least)
+
+
 def choose_lexicon(counts: dict[str, tuple[int, int]], n_toxic: int, n_clean: int,
                    least: float = 24.0, odds: float = 10.0) -> tuple[list[str], list[str]]:
-    """Words and beginnings with enough evidence.
+    """All words and beginnings with enough evidence, those in more toxic texts first.
 
     A beginning is taken where no single word explains it and no shorter one is as pure.
     """
-    def good(t: int, c: int) -> bool:
-        rate = ((t + 0.5) / (n_toxic + 1)) / ((c + 0.5) / (n_clean + 1))
-        return (t >= max(3, n_toxic / 100) and rate >= odds
-                and _surprise(t, c, n_toxic, n_clean) >= least)
-
-    picked = {w for w, (t, c) in counts.items() if good(t, c)}
-    begins: list[str] = []
+    picked = {w for w, (t, c) in counts.items() if evident(t, c, n_toxic, n_clean, least, odds)}
+    begins: set[str] = set()
     words = {w for w in picked if not w.endswith("*")}
+    most: dict[str, int] = {}  # of the words that begin so
+    for w in words:
+        for k in PREFIX:
+            most[w[:k]] = max(most.get(w[:k], 0), counts[w][0])
+
+    def covered(word: str) -> bool:
+        return any(word[:k] in begins for k in PREFIX)
+
     for b in sorted((w[:-1] for w in picked if w.endswith("*")), key=lambda x: (len(x), x)):
-        if any(b.startswith(x) for x in begins):
-            continue
-        t = counts[b + "*"][0]
-        if max((counts[w][0] for w in words if w.startswith(b)), default=0) < 0.6 * t:
-            begins.append(b)
-    words = {w for w in words if not any(w.startswith(b) for b in begins)}
-    rank = sorted(words | {b + "*" for b in begins}, key=lambda w: (-counts[w][0], w))[:LEXICON]
+        if not covered(b) and most.get(b, 0) < 0.6 * counts[b + "*"][0]:
+            begins.add(b)
+    words = {w for w in words if not covered(w)}
+    rank = sorted(words | {b + "*" for b in begins}, key=lambda w: (-counts[w][0], w))
     return ([w for w in rank if not w.endswith("*")],
             [w[:-1] for w in rank if w.endswith("*")])
 
 
+def _evident_terms(train: DataFrame, n_toxic: int, n_clean: int) -> dict[str, tuple[int, int]]:
+    """Toxic and clean counts of the terms with enough evidence; only these are collected."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = [evident(t, c, n_toxic, n_clean) for t, c in
+                    zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    toxic = _document_counts(train.where("label = 1")).where(F.col("n") >= LEAST_TEXTS)
+    clean = _document_counts(train.where("label = 0")).withColumnRenamed("n", "c")
+    found = (toxic.join(clean, "term", "left")
+             .select("term", "n", F.coalesce("c", F.lit(0).cast("long")).alias("c"))
+             .mapInArrow(run, "term string, n long, c long").collect())
+    return {r["term"]: (r["n"], r["c"]) for r in found}
+
+
 def _count_rows(trie: FuzzyTrie, texts: pa.Array) -> np.ndarray:
     """``counts_of`` for each text; only texts with a match are read word by word.
 
@@ -317,13 +337,7 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = 4, held_out: int = 2,
     sizes = {r["label"]: r["count"] for r in train.groupBy("label").count().collect()}
     if not sizes.get(1) or not sizes.get(0):
         return Model()
-    found = (_document_counts(train.where("label = 1"), None)
-             .where(F.col("n") >= max(3, sizes[1] / 100))
-             .orderBy(F.desc("n"), "term").limit(CANDIDATES).collect())
-    toxic = {r["term"]: r["n"] for r in found}
-    clean = {r["term"]: r["n"] for r in
-             _document_counts(train.where("label = 0"), set(toxic)).collect()}
-    words, begins = choose_lexicon({w: (n, clean.get(w, 0)) for w, n in toxic.items()},
+    words, begins = choose_lexicon(_evident_terms(train, sizes[1], sizes[0]),
                                    sizes[1], sizes[0])
     model = Model(words, begins)
     rows = np.array(_counted(train, model, ["label"]).collect(), np.int64)

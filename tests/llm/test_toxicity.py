@@ -51,6 +51,19 @@ def test_lexicon_needs_evidence():
     assert tx.choose_lexicon(counts, 100, 900) == (["bad"], ["chlla"])
 
 
+def test_lexicon_has_the_tail_of_terms(spark):
+    counts = {"tail": (140, 0), "the": (9000, 9000)} | {f"w{k}q": (60, 0) for k in range(900)}
+    words, begins = tx.choose_lexicon(counts, 15_000, 15_000)
+    assert set(words) == set(counts) - {"the"} and begins == []
+    # 20 of 2,500 toxic texts hold a term that no clean one holds.
+    rows = [(k, f"x{k}x {'snark' if k < 20 else 'vile'} y{k}y and z{k}z", 1) for k in range(2500)]
+    rows += [(k, f"x{k}x kind y{k}y and z{k}z", 0) for k in range(2500, 5000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = tx.fit(df.select("doc_id", "text"), df.select("doc_id", "toxic"), held_out=-1)
+    trie = tx.FuzzyTrie(model.words, model.beginnings)
+    assert [trie.match(w) for w in ("vile", "snark", "kind")] == [1, 1, 0]
+
+
 def test_nulls_empty_table_and_no_labels(spark):
     docs = spark.createDataFrame([(1, None, "x"), (None, "you idiot", "y"), (3, "", "z"),
                                   (3, "", "z"), (4, "clean " * 5000, "w")],
