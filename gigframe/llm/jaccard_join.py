@@ -1,8 +1,8 @@
 """Similarity self-join of documents on word n-gram sets (Jaccard), exact.
 
 A link is a pair of documents whose sets x, y satisfy den * |x & y| >= num * |x | y|.
-The join returns the components that the links make, never the pairs of a group of
-copies:
+The join returns the components that the links make and, if asked for, the number of
+links of each document, never the pairs of a group of copies:
 
 1. Every set is hashed to a class; documents with equal sets are one class.
 2. Two sets can only link if they share a token among the first few of each in one
@@ -13,7 +13,10 @@ copies:
    itself. Its bounds drop pairs that cannot link; of the rest a spanning forest is
    verified on the texts, and links are contracted to components.
 4. Blocks that still hold several components are walked again, and every pair between
-   two components that the bounds leave is verified. Then no link is left out.
+   two components that the bounds leave is verified. Then no component is left apart.
+5. For the number of links, all classes of a component are compared with each other, in
+   chunks, by exact counts of shared tokens. No link crosses components, so none is left
+   out; only sums per class leave a task.
 
 Large blocks are cut into chunks: first each chunk meets itself and the first one, and
 after the contraction only chunks of different components meet.
@@ -44,6 +47,9 @@ COUNTER_BITS = 22
 COUNTER_SLICES = 64
 #: Members of a chunk of a large block.
 CHUNK = 1024
+#: Members of a chunk of a component whose links are counted, and cells of a token table.
+LINK_CHUNK = 512
+TABLE_CELLS = 4 << 20
 #: Bits per token in the bitmaps of blocks with inner nodes, where false pairs would multiply.
 WIDE = 8
 
@@ -280,6 +286,100 @@ def _second_blocks(members: DataFrame) -> DataFrame:
             .select("token", "cls", "label", "members", "at.*"))
 
 
+def _linked_weight(sets: list[np.ndarray], size: np.ndarray, first: int, num: int,
+                   den: int) -> np.ndarray:
+    """Per set, the sizes of the others that it links with, added up.
+
+    With ``first`` above 0 only pairs of one of the first so many sets and one of the rest.
+    """
+    lens = np.array([len(s) for s in sets], np.int64)
+    k = first or len(sets)
+    if len(sets) == 2:
+        both = np.array([[len(np.intersect1d(*sets, assume_unique=True))]])
+        rows, cols = np.array([0]), np.array([1])
+    else:
+        rows = np.arange(k)
+        cols = np.arange(k, len(sets)) if first else rows
+        tokens, column = np.unique(np.concatenate(sets), return_inverse=True)
+        owner = np.repeat(np.arange(len(sets)), lens)
+        order = np.argsort(column, kind="stable")
+        owner, column = owner[order], column[order]
+        both = np.zeros((len(rows), len(cols)), np.int64)
+        width = max(1, TABLE_CELLS // len(sets))
+        for a in range(0, len(tokens), width):
+            lo, hi = np.searchsorted(column, [a, a + width])
+            held = np.zeros((len(sets), min(width, len(tokens) - a)), np.float32)
+            held[owner[lo:hi], column[lo:hi] - a] = 1
+            both += (held[rows] @ held[cols].T).astype(np.int64)
+    links = den * both >= num * (lens[rows][:, None] + lens[cols][None, :] - both)
+    out = np.zeros(len(sets), np.int64)
+    if first or len(sets) == 2:
+        out[rows] = links @ size[cols]
+        out[cols] = size[rows] @ links
+    else:
+        np.fill_diagonal(links, False)
+        out = links @ size
+    return out
+
+
+def _class_links(members: DataFrame, n: int, num: int, den: int) -> DataFrame:
+    """(cls, n): documents in other classes that each class links with.
+
+    ``members`` has label, cls, size and text, where a text may belong to another class
+    of its document; every class comes with its own text too.
+    """
+    per = members.groupBy("label").agg(F.count("*").alias("all")).where("all > 1").select(
+        "label", F.ceil(F.col("all") / LINK_CHUNK).cast("int").alias("chunks"))
+    c = F.pmod(F.xxhash64("cls"), F.col("chunks")).cast("int")
+    at = F.transform(F.sequence(F.lit(0), F.col("chunks") - 1),
+                     lambda k: F.struct(F.least(F.col("c"), k).alias("i"),
+                                        F.greatest(F.col("c"), k).alias("j")))
+    key = ["label", "i", "j"]
+    rows = (members.join(per, "label").withColumn("c", c).withColumn("at", F.explode(at))
+            .select("label", "at.*", "c", "cls", "size", "text")
+            .repartition(*key).sortWithinPartitions(*key, "c", "cls"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, at, met = None, [], set()
+        done: tuple[list, list] = ([], [])
+
+        def close() -> None:
+            if len(at) > 1:
+                chunk = np.array([x[0] for x in at])
+                first = int((chunk == block[1]).sum()) if block[1] != block[2] else 0
+                if block[1] == block[2] or 0 < first < len(at):
+                    found = _linked_weight([x[3] for x in at],
+                                           np.array([x[2] for x in at], np.int64), first, num, den)
+                    some = np.flatnonzero(found)
+                    done[0].extend(at[k][1] for k in some.tolist())
+                    done[1].extend(found[some].tolist())
+            at.clear()
+            met.clear()
+
+        def sums() -> pa.RecordBatch:
+            out = pa.RecordBatch.from_arrays([pa.array(done[0], pa.int64()),
+                                              pa.array(done[1], pa.int64())], names=["cls", "n"])
+            done[0].clear()
+            done[1].clear()
+            return out
+
+        for batch in batches:
+            for part, texts in text_slices(batch, "text"):
+                cols = (x.to_pylist() for x in part.columns[:6])
+                for label, i, j, c, cls, size, s in zip(*cols, _sets(texts, n), strict=True):
+                    if (label, i, j) != block:
+                        close()
+                        block = (label, i, j)
+                    if cls not in met and set_class(s) == cls:
+                        met.add(cls)
+                        at.append((c, cls, size, s))
+            yield sums()
+        close()
+        yield sums()
+
+    return (rows.mapInArrow(run, "cls long, n long").groupBy("cls").agg(F.sum("n").alias("n")))
+
+
 def jaccard_components(spark: SparkSession, docs: DataFrame, n: int = 5, num: int = 4,
                        den: int = 5) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id.
@@ -288,6 +388,21 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, n: int = 5, num: in
     Links have similarity num / den or more on sets of ``n`` consecutive words.
     component_id is the smallest doc_id that links reach, the document's own included.
     """
+    return _join(spark, docs, n, num, den, False)
+
+
+def jaccard_links(spark: SparkSession, docs: DataFrame, n: int = 5, num: int = 4,
+                  den: int = 5) -> DataFrame:
+    """``jaccard_components`` with n_links: how many other documents a row's set links with.
+
+    Copies count one by one. A document that has several different texts under its doc_id
+    counts once for each that links. 0 for empty sets, null without a doc_id.
+    """
+    return _join(spark, docs, n, num, den, True)
+
+
+def _join(spark: SparkSession, docs: DataFrame, n: int, num: int, den: int,
+          count: bool) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sig = written(signatures(docs, n, num, den, token_counts(docs, n)), "signatures")
     postings = sig.select(F.explode("tokens").alias("token"), "cls")
@@ -336,11 +451,21 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, n: int = 5, num: in
     classes = (classes.join(labels.withColumnRenamed("node", "cls"), "cls", "left")
                .withColumn("label", F.coalesce("label", "cls")))
     least = classes.groupBy("label").agg(F.min("least").alias("component_id"))
-    classes = classes.join(least, "label").select("cls", "component_id")
-    return (sig.select("doc_id", "n_shingles", "cls").join(classes, "cls", "left")
-            .select("doc_id", "n_shingles",
-                    F.when(F.col("doc_id").isNotNull(),
-                           F.coalesce("component_id", "doc_id")).alias("component_id")))
+    extra = []
+    if count:
+        size = (sig.where("cls is not null and doc_id is not null").select("cls", "doc_id")
+                .distinct().groupBy("cls").agg(F.count("*").alias("size")))
+        classes = written(classes.join(size, "cls"), "classes")
+        members = classes.select("label", "cls", "size").join(texts, "cls")
+        classes = classes.join(_class_links(members, n, num, den), "cls", "left").withColumn(
+            "n_links", F.col("size") - 1 + F.coalesce("n", F.lit(0)))
+        extra = ["n_links"]
+    classes = classes.join(least, "label").select("cls", "component_id", *extra)
+    found = sig.select("doc_id", "n_shingles", "cls").join(classes, "cls", "left")
+    links = [F.when(F.col("doc_id").isNotNull(), F.coalesce(x, F.lit(0))).alias(x) for x in extra]
+    return found.select("doc_id", "n_shingles",
+                        F.when(F.col("doc_id").isNotNull(),
+                               F.coalesce("component_id", "doc_id")).alias("component_id"), *links)
 
 
 def keep_one(spark: SparkSession, docs: DataFrame, n: int = 5, num: int = 4,

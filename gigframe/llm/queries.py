@@ -64,9 +64,9 @@ def op4_html_consensus(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Components of documents whose 3-word shingle sets are 0.9 similar."""
-    return jaccard_join.jaccard_components(spark, _table(spark, sf_dir, "documents"),
-                                           n=3, num=90, den=100)
+    """Components and numbers of links of documents whose 3-word shingle sets are 0.9 similar."""
+    return jaccard_join.jaccard_links(spark, _table(spark, sf_dir, "documents"),
+                                      n=3, num=90, den=100)
 
 
 def op6_weak_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

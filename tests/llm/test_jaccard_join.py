@@ -115,3 +115,39 @@ def test_trees_never_drop_a_pair_that_links():
     i, j = possible_pairs(sizes, maps, 4, 5, side)
     assert {(min(a, b), max(a, b)) for a, b in zip(i.tolist(), j.tolist())} == {
         p for p in left if side[p[0]] != side[p[1]]}
+
+
+def brute_links(rows, n, num, den):
+    """doc_id -> number of other documents that link with it, by comparing all pairs."""
+    sets = [(d, shingles(t, n)) for d, t in rows]
+    return sorted((d, sum(1 for e, y in sets if e != d and x and y
+                          and den * len(x & y) >= num * len(x | y))) for d, x in sets)
+
+
+@pytest.mark.parametrize("chunk,edits,n,num,den", [(4, 4, 3, 4, 5), (512, 1, 3, 90, 100)])
+def test_every_link_is_counted(spark, monkeypatch, chunk, edits, n, num, den):
+    monkeypatch.setattr(jj, "CHUNK", chunk)
+    monkeypatch.setattr(jj, "LINK_CHUNK", chunk)
+    monkeypatch.setattr(jj, "TABLE_CELLS", 100 * chunk)
+    rng = random.Random(chunk)
+    texts = near_copies(rng, 6, 14, edits) + ["", None, "one", "One", "two words", "x y z"] * 2
+    texts += texts[:20] + texts[:3]  # copies
+    rows = list(enumerate(texts))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    out = jj.jaccard_links(spark, df, n, num, den).collect()
+    want = brute_links(rows, n, num, den)
+    assert sum(c for _, c in want) > 2 * len(rows)  # more than any forest has, from both ends
+    assert sorted((r.doc_id, r.n_links) for r in out) == want
+    assert sorted(tuple(r)[:3] for r in out) == brute(rows, n, num, den)
+
+
+def test_links_of_odd_rows(spark):
+    text = " ".join(f"t{k}" for k in range(40))
+    rows = [(7, text), (7, text), (None, text), (3, text + " z"), (3, "something else here"),
+            (9, None), (4, text + " z")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = [tuple(r) for r in jj.jaccard_links(spark, df, 3, 90, 100).collect()]
+    assert sorted(out, key=repr) == sorted(
+        [(7, 38, 3, 2), (7, 38, 3, 2), (None, 38, None, None), (3, 39, 3, 2), (3, 1, 3, 0),
+         (9, 0, 9, 0), (4, 39, 3, 2)], key=repr)
+    assert jj.jaccard_links(spark, df.limit(0)).count() == 0
