@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (byte_bpe, chat_rotation, edit_decontam, html_consensus, jaccard_join, mil_quality,
-               toxicity, url_templates, wavelet_ids, weak_quality)
+               phrase_graph, pivot_spelling, simhash_rings, toxicity, url_templates, wavelet_ids,
+               weak_quality)
 from ..session import scratch_path
 from .arrowtext import find_on_workers
 
@@ -88,6 +89,21 @@ def op10_mil_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mil_quality.score(docs, mil_quality.fit(docs, _table(spark, sf_dir, "labels")))
 
 
+def op11_pivot_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spelling variants of the words that occur three times or more."""
+    return pivot_spelling.spelling_groups(spark, _table(spark, sf_dir, "documents"))
+
+
+def op12_simhash_rings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of three-word shingles and the components of those two bits apart."""
+    return simhash_rings.near_duplicates(spark, _table(spark, sf_dir, "documents"), n=3, most=2)
+
+
+def op13_phrase_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2,000 best phrases of two or three words of each language."""
+    return phrase_graph.phrases(_table(spark, sf_dir, "documents"), least=10, top=2000)
+
+
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op2_chat_rotation": op2_chat_rotation,
@@ -99,7 +115,11 @@ QUERIES: dict[str, Query] = {
     "op8_edit_decontam": op8_edit_decontam,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_mil_quality": op10_mil_quality,
+    "op11_pivot_spelling": op11_pivot_spelling,
+    "op12_simhash_rings": op12_simhash_rings,
+    "op13_phrase_graph": op13_phrase_graph,
 }
 
 #: DuckDB SQL of the queries that SQL can express.
-ORACLES: dict[str, str] = {"op2_chat_rotation": chat_rotation.ORACLE}
+ORACLES: dict[str, str] = {"op2_chat_rotation": chat_rotation.ORACLE,
+                           "op13_phrase_graph": phrase_graph.ORACLE}
