@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -47,6 +48,21 @@ def utf8(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[offs[0]:offs[-1]], offs - offs[0]
 
 
+@contextmanager
+def small_batches(spark, rows: int) -> Iterator[None]:
+    """Arrow batches of at most ``rows`` rows in the jobs of the block, for rows of many KiB.
+
+    Spark counts a batch in rows (10,000 by default), on either side of the worker's pipe.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(min(rows, int(old)) if int(old) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
+
+
 def find_on_workers(spark) -> None:
     """Put this package's folder on the import path of Python workers.
 

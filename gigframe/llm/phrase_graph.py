@@ -33,12 +33,14 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .arrowtext import text_slices, utf8
+from .arrowtext import small_batches, text_slices, utf8
 from .components import written
 from .wordhash import mix64
 
 #: Bytes of one language's texts that make a graph, and of all that wait.
-GRAPH_BYTES, WAITING_BYTES = 8 << 20, 24 << 20
+GRAPH_BYTES, WAITING_BYTES = 4 << 20, 12 << 20
+#: Rows of an Arrow batch.
+BATCH_ROWS = 2000
 #: Words of a graph: their numbers and those of a run of three fit into 63 bits.
 GRAPH_WORDS = (1 << 21) - 8
 _ID = np.uint64(21)
@@ -68,7 +70,8 @@ class Pieces:
         after[offs[1:][offs[1:] > 0] - 1] = False
         start = np.flatnonzero(word & ~before)
         lens = np.flatnonzero(word & ~after) + 1 - start
-        piece = np.cumsum(cut)[start] + np.searchsorted(offs, start, side="right")
+        piece = np.searchsorted(np.flatnonzero(cut), start)
+        piece += np.searchsorted(offs, start, side="right")
         self.follow = np.zeros(len(start), np.int8)
         self.follow[:-1] += piece[1:] == piece[:-1]
         self.follow[:-2] += piece[2:] == piece[:-2]
@@ -114,6 +117,10 @@ def graph(words: np.ndarray, follow: np.ndarray) -> list[tuple[np.ndarray, np.nd
             (single[0] << np.uint64(42) | _NONE << _ID | _NONE, single[1])]
 
 
+def _split(code: np.ndarray) -> list[np.ndarray]:
+    return [code >> np.uint64(42), code >> _ID & _NONE, code & _NONE]
+
+
 def _packed(texts: pa.Array, lang: str, cells: int) -> Iterator[pa.RecordBatch]:
     """The phrases of ``texts`` with their counts, a row per cell that has some."""
     pieces = Pieces(texts)
@@ -123,30 +130,33 @@ def _packed(texts: pa.Array, lang: str, cells: int) -> Iterator[pa.RecordBatch]:
         known = coded.dictionary
         parts = graph(coded.indices.to_numpy(), follow)
         code, count = (np.concatenate(x) for x in zip(*parts, strict=True))
-        word = [code >> np.uint64(42), code >> _ID & _NONE, code & _NONE]
+        word = _split(code)
         # The hash depends on the words alone, so that graphs agree about the cell.
         own = np.fromiter((zlib.crc32(w.encode()) for w in known.to_pylist()), np.uint64, len(known))
         own = np.append(own, np.uint64(1) << np.uint64(40))
         h = mix64(own[word[0]])
         for w in word[1:]:
             h = mix64(h * _BASE + own[np.minimum(w, np.uint64(len(known)))])
-        cell = (h >> np.uint64(40)) % np.uint64(cells)
-        order = np.argsort(cell.astype(np.uint32), kind="stable")
-        count, cell = count[order], cell[order]
+        cell = ((h >> np.uint64(40)) % np.uint64(cells)).astype(np.int32)
+        order = np.argsort(cell.astype(np.uint16) if cells <= 1 << 16 else cell, kind="stable")
+        code, count, cell = code[order], count[order], cell[order]
+        del h, order
         phrase = pc.binary_join_element_wise(
-            *[known.take(pa.array(w[order].astype(np.int64), mask=w[order] == _NONE)) for w in word],
+            *[known.take(pa.array(w, mask=w == int(_NONE))) for w in
+              (x.astype(np.int32) for x in _split(code))],
             pa.scalar(" ", pa.large_string()), null_handling="skip")
         data, offs = utf8(phrase)
-        lens = np.diff(offs)
-        starts = np.append(np.flatnonzero(np.diff(cell.astype(np.int64), prepend=-1)), len(cell))
+        wide = np.int64 if int(count.max()) >> 31 else np.int32
+        count, lens = count.astype(wide), np.diff(offs).astype(wide)
+        starts = np.append(np.flatnonzero(np.diff(cell, prepend=-1)), len(cell))
         size, payload = [], []
         for i, j in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
-            raw = (np.array([j - i], np.int64).tobytes() + count[i:j].tobytes()
-                   + lens[i:j].astype(np.int64).tobytes() + data[offs[i]:offs[j]].tobytes())
+            raw = b"".join((np.array([j - i, wide().itemsize], np.int64), count[i:j], lens[i:j],
+                            data[offs[i]:offs[j]]))
             size.append(len(raw))
             payload.append(pa.compress(raw, codec="zstd", asbytes=True))
         yield pa.RecordBatch.from_arrays(
-            [pa.array([lang] * len(size), pa.string()), pa.array(cell[starts[:-1]].astype(np.int32)),
+            [pa.array([lang] * len(size), pa.string()), pa.array(cell[starts[:-1]]),
              pa.array(size, pa.int64()), pa.array(payload, pa.binary())],
             names=["lang", "cell", "size", "payload"])
 
@@ -155,14 +165,14 @@ def _unpacked(size: list[int], payload: list[bytes]) -> pa.Table:
     counts, lens, texts = [], [], []
     for n, x in zip(size, payload, strict=True):
         raw = pa.decompress(x, n, codec="zstd", asbytes=True)
-        k = int(np.frombuffer(raw, np.int64, 1)[0])
-        counts.append(np.frombuffer(raw, np.int64, k, 8))
-        lens.append(np.frombuffer(raw, np.int64, k, 8 + 8 * k))
-        texts.append(raw[8 + 16 * k:])
-    ends = np.concatenate([[0], np.cumsum(np.concatenate(lens))]).astype(np.int64)
+        k, w = np.frombuffer(raw, np.int64, 2).tolist()
+        counts.append(np.frombuffer(raw, f"i{w}", k, 16))
+        lens.append(np.frombuffer(raw, f"i{w}", k, 16 + w * k))
+        texts.append(memoryview(raw)[16 + 2 * w * k:])
+    ends = np.concatenate([[0], np.cumsum(np.concatenate(lens), dtype=np.int64)])
     phrase = pa.LargeStringArray.from_buffers(len(ends) - 1, pa.py_buffer(ends),
                                               pa.py_buffer(b"".join(texts)))
-    return pa.table({"phrase": phrase, "f": np.concatenate(counts)})
+    return pa.table({"phrase": phrase, "f": np.concatenate(counts).astype(np.int64)})
 
 
 def cells_for(docs: DataFrame) -> int:
@@ -184,9 +194,10 @@ def phrase_counts(docs: DataFrame, least: int) -> DataFrame:
         def graph_of(lang: str) -> Iterator[pa.RecordBatch]:
             size.pop(lang)
             yield from _packed(pa.concat_arrays(waiting.pop(lang)), lang, cells)
+            pa.default_memory_pool().release_unused()
 
         for batch in batches:
-            for rows, texts in text_slices(batch, "text"):
+            for rows, texts in text_slices(batch, "text", GRAPH_BYTES):
                 coded = pa.array(rows.column(0)).dictionary_encode()
                 index = coded.indices.to_numpy()
                 for k, lang in enumerate(coded.dictionary.to_pylist()):
@@ -266,7 +277,8 @@ def phrases(docs: DataFrame, least: int = 10, top: int = 2000) -> DataFrame:
     Candidates are phrases of two and three words that occur ``least`` times or more, less
     those of two words inside one of three with at least half their count.
     """
-    counts = written(phrase_counts(docs, least), "phrases")
+    with small_batches(docs.sparkSession, BATCH_ROWS):
+        counts = written(phrase_counts(docs, least), "phrases")
     total = counts.where("phrase is null").groupBy("lang").agg(F.sum("f").alias("n"))
     strong = counts.where("phrase is not null")
     split = strong.withColumnRenamed("f", "a").withColumn("w", F.split("phrase", " "))

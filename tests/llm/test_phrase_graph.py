@@ -102,7 +102,7 @@ def test_large_counts_stay_exact(spark, monkeypatch):
     rows = [("en", "a", 2 * big), ("en", "b", 2 * big + 1), ("en", "a b", big), ("en", None, 5 * big)]
     df = spark.createDataFrame(rows, "lang string, phrase string, f long")
     monkeypatch.setattr(pg, "phrase_counts", lambda docs, least: df)
-    out = pg.phrases(None, 10, 5).collect()
+    out = pg.phrases(df, 10, 5).collect()
     assert [(r.phrase, r.score, r.n) for r in out] == [
         ("a b", 10**6 * big * big // (2 * big * (2 * big + 1)), 5 * big)]
 
