@@ -8,6 +8,16 @@ Spark counts the votes per host, and every page is read again from its host's wi
 path, with the same climb. A page without that path keeps its own best container, so one
 odd page neither spoils a host nor is lost. Only divs with a class right under the body
 compete: such a div is no reason to climb, so the winner's text is kept without theirs.
+
+Boilerplate is what elements like nav, roles or hiding attributes say it is. Class and id
+words (``sidebar``, ``widget``), and forms, only hint at it: page builders put such words
+on wrappers of the whole article. So a hint counts as far as the page agrees: an element
+that holds more than half of the page's text outside links does not count as a part of it
+beside the article, for whole names from nine tenths on, or if an article stands in it that
+holds that half. A header within an article or main is part of it (its title); a footer is not.
+
+A null or empty page has the text ''; pages may be of any length. Repeated rows each give a
+row and a vote. Other columns of ``pages`` are not read.
 """
 
 from __future__ import annotations
@@ -22,10 +32,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .components import written
 from .url_templates import host_and_path
 
 #: Rows of a host are dealt to this many partitions for the join with its winner.
 SALTS = 32
+#: Winners of at most so many bytes are broadcast.
+BROADCAST_BYTES = 8 << 20
 
 # Element names by their role.
 RAW = frozenset("script style noscript template textarea title iframe".split())
@@ -39,8 +52,8 @@ tr td th caption pre blockquote figure figcaption address details summary fields
 nav header footer aside form menu dialog search
 """.split())
 LEAF = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd td th tr caption pre figcaption summary address".split())
-BOILERPLATE = frozenset("nav header footer aside form menu dialog search".split())
-ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert".split())
+BOILERPLATE = frozenset("nav header footer aside menu dialog search".split())
+ROLES = frozenset("navigation banner contentinfo complementary search dialog alert".split())
 HINTS = frozenset("""
 ad ads advert advertisement adverts banner sponsor sponsored promo promotion nav navbar navigation
 menu sidebar footer header masthead comment comments reply replies respond disqus cookie cookies
@@ -60,36 +73,66 @@ _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|"
     r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*'|[\"'])*?)>", re.S)
 _ATTR = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
+#: Values of attributes, and the attribute that hides an element.
+_VALUE = re.compile(r"=\s*(?:\"[^\"]*\"|'[^']*'|[^\s\"'>]+)")
+_HIDDEN = re.compile(r"(?<![^\s\"'])hidden(?![^\s=/])", re.I)
 _OBJECT_END = re.compile(r"</object(?=[\s/>])", re.I)
 
 
-class Element:
-    __slots__ = ("tag", "path", "parent", "boilerplate", "named", "held", "plain", "apart", "score")
+#: Shares of the page's text outside links above which a hint says nothing: of a word within
+#: a name and of forms, and of a whole name.
+PART, WHOLE = 0.5, 0.9
+#: Words of readers' comments, where articles stand too.
+READERS = frozenset("comment comments reply replies respond disqus".split())
+
 
-    def __init__(self, tag: str, path: str, parent: Element | None, boilerplate: bool):
-        self.tag, self.path, self.parent, self.boilerplate = tag, path, parent, boilerplate
+class Element:
+    __slots__ = ("tag", "path", "parent", "hard", "hint", "readers", "boilerplate", "named", "held",
+                 "plain", "apart", "score", "unlinked", "article")
+
+    def __init__(self, tag: str, path: str, parent: Element | None, hard: bool):
+        self.tag, self.path, self.parent = tag, path, parent
+        self.hard = hard  # boilerplate whatever it holds
+        self.hint = 0.0  # boilerplate up to this share of the page's text; 0: no hint
+        self.readers = False
+        self.boilerplate: bool | None = None  # see _settle
         self.named = False  # a div with a class
         self.held = self.plain = self.apart = 0  # see _weigh
         self.score = 0.0
+        self.unlinked = 0  # characters outside links in it
+        self.article = 0  # the same of the largest article or main in it, or itself
 
 
 def _general(name: str) -> str:
     return re.sub(r"[0-9]+", "#", name.lower())
 
 
+def _in_article(e: Element | None) -> bool:
+    while e is not None and e.tag not in ("article", "main"):
+        e = e.parent
+    return e is not None
+
+
 def _open(tag: str, attrs: str, parent: Element | None) -> Element:
     found = {a.lower(): b or c or d for a, b, c, d in _ATTR.findall(attrs)} if attrs.strip() else {}
     classes = [_general(c) for c in found.get("class", "").split()]
     label = ".".join([tag, *sorted(set(classes))])
-    hints = {w for name in (*classes, found.get("id", "").lower())
-             for w in re.split(r"[-_#\s]+", name) if w}
-    bad = parent is not None and parent.boilerplate
+    hard = parent is not None and parent.hard
+    hint, readers = 0.0, False
     if tag not in NEVER:
-        bad = (bad or tag in BOILERPLATE or bool(hints & HINTS)
-               or found.get("role", "").lower() in ROLES or found.get("aria-hidden") == "true"
-               or re.search(r"\bhidden\b", re.sub(r"\"[^\"]*\"|'[^']*'", "", attrs)) is not None
-               or "display:none" in found.get("style", "").replace(" ", ""))
-    e = Element(tag, f"{parent.path}>{label}" if parent else label, parent, bad)
+        hard = (hard or tag in BOILERPLATE and not (tag == "header" and _in_article(parent))
+                or found.get("role", "").lower() in ROLES or found.get("aria-hidden") == "true"
+                or _HIDDEN.search(_VALUE.sub("", attrs)) is not None
+                or "display:none" in found.get("style", "").replace(" ", ""))
+        names = [*classes, _general(found.get("id", ""))]
+        words = [[w for w in re.split(r"[-_#\s]+", name) if w] for name in names]
+        if any(len(ws) == 1 and ws[0] in HINTS for ws in words):
+            hint = WHOLE
+        elif tag == "form" or any(w in HINTS for ws in words for w in ws):
+            hint = PART
+        readers = any(w in READERS for ws in words for w in ws)
+    e = Element(tag, f"{parent.path}>{label}" if parent else label, parent, hard)
+    e.hint, e.readers = hint, readers
     e.named = tag == "div" and bool(classes)
     return e
 
@@ -185,7 +228,7 @@ def blocks(page: str) -> list[tuple[Element, str, int]]:
                 here = e.parent
             elif foreign:
                 here = _open(tag, m[3], here if here is not root else None)
-                here.parent, here.boilerplate = here.parent or root, True
+                here.parent, here.hard = here.parent or root, True
             else:
                 flush()
                 links = 0
@@ -199,10 +242,51 @@ def blocks(page: str) -> list[tuple[Element, str, int]]:
                     here.parent = root
     text(page[at:])
     flush()
+    _settle(out)
     _weigh(out)
     return out
 
 
+def _settle(found: list[tuple[Element, str, int]]) -> None:
+    """Decide which elements are boilerplate, from the shares of the text that they hold."""
+    total = 0
+    for e, text, linked in found:
+        if e.hard:
+            continue
+        worth = max(0, len(text) - 2 * linked)
+        total += worth
+        while e is not None:
+            e.unlinked += worth
+            e = e.parent
+    seen: set[int] = set()
+    for e, _, _ in found:
+        while e is not None and id(e) not in seen and not e.hard:
+            seen.add(id(e))
+            if e.tag in ("article", "main"):
+                up: Element | None = e
+                while up is not None and up.article < e.unlinked:
+                    up.article = e.unlinked
+                    up = up.parent
+            e = e.parent
+    for e, _, _ in found:
+        line = []
+        while e is not None and e.boilerplate is None:
+            line.append(e)
+            e = e.parent
+        for e in reversed(line):
+            above = e.parent is not None and e.parent.boilerplate
+            e.boilerplate = bool(above or e.hard or e.hint and not _whole(e, total))
+
+
+def _whole(e: Element, total: int) -> bool:
+    """Whether an element with a hint holds so much of the page that it is no part beside the
+    article."""
+    if e.hint == WHOLE or e.readers:
+        article = 0 if e.readers else e.article
+        return e.unlinked >= WHOLE * total > 0 or article > PART * total
+    return e.unlinked > PART * total
+
+
 def _weigh(found: list[tuple[Element, str, int]]) -> None:
     """Counts per element, boilerplate left out: all blocks in it, those mostly outside
     links, and how many of the latter stand in its divs with a class."""
@@ -320,15 +404,21 @@ def host_paths(pages: DataFrame) -> DataFrame:
 def extract(pages: DataFrame) -> DataFrame:
     """One row per row of ``pages`` (page_id, url, html): page_id, url, text, n_chars.
 
-    A null or empty page has the text ''. A null url counts as host ''.
+    A null or empty page has the text ''. A null url counts as host ''. The winners are
+    written first. If they measure at most BROADCAST_BYTES they are broadcast and no page
+    is shuffled; else pages meet them by host and salt.
     """
-    winners = host_paths(pages).withColumn(
-        "salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    winners = written(host_paths(pages), "winners")
+    size = winners.agg(F.sum(F.octet_length("host") + F.octet_length("winner") + 64)).first()[0]
     host, _ = host_and_path(F.col("url"))
-    rows = (pages.select("page_id", "url", "html").withColumn("host", host)
-            .withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("int"))
-            .join(winners, ["host", "salt"], "left")
-            .select("page_id", "url", "html", "winner"))
+    rows = pages.select("page_id", "url", "html").withColumn("host", host)
+    if (size or 0) <= BROADCAST_BYTES:
+        rows = rows.join(F.broadcast(winners), "host", "left")
+    else:
+        each = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+        rows = rows.withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("int"))
+        rows = rows.join(winners.withColumn("salt", each), ["host", "salt"], "left")
+    rows = rows.select("page_id", "url", "html", "winner")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

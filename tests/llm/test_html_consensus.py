@@ -86,3 +86,57 @@ def test_svg_math_and_object_hide_no_text_around_them():
             ("<p>a <object><p>no<object>no</object><div>no</div>no</object> b</p><p>c", "a b c")):
         page = f"<html><body><article>{page}</article></body></html>"
         assert hc.main_text(page, None) == want, page
+
+
+LINE = "a long line of the article's own words "
+WRAPPERS = (
+    '<div class="layout has-sidebar">{}</div>', '<form id="aspnetForm" method=post>{}</form>',
+    '<div class="elementor-widget">{}</div>', '<div id="content-share-price">{}</div>',
+    '<div data-hidden=no>{}</div>', '<div data-x="hidden" class="x-hidden-y">{}</div>',
+    '<section class="widget"><div class="no-comments-yet">{}</div></section>',
+    '<div class="sidebar"><div>{}</div></div>', '<table><tr><td class="menu-layout">{}</table>',
+    '<div class="header-fixed page-with-banner"><div class="modal-open">{}</div></div>')
+BODIES = (
+    "<article><h1>Title</h1><p>L</p><p>second</p></article>",
+    "<main><h1>Title</h1><ul><li>L</li><li>two</li></ul></main>",
+    '<div class="post"><h1>Title</h1><table><tr><td>L</td><td>x</td></tr></table></div>',
+    "<article><p>L</p><blockquote><p>quoted</p></blockquote></article>",
+    '<article><section class="a"><p>L</p></section><section class="b"><p>L</p></section></article>',
+    "<article><header><h1>Title</h1><p>lead</p></header><p>L</p></article>")
+BESIDE = ('<nav><a href=/>Home</a></nav><div class="sidebar"><p>side text</p></div>',
+          '<div class="comments"><article class="comment"><p>a reader says</p></article></div>'
+          '<form><input><p>your name</p></form><div hidden>no</div><footer>f</footer>')
+
+
+def test_wrappers_with_hint_words_lose_no_article():
+    for body in BODIES:
+        for size in (9, 30_000):
+            inner = body.replace("L", LINE * size)
+            want = " ".join(re.sub(r"<[^>]*>", " ", inner).split())
+            for one in WRAPPERS:
+                for two in ("{}", *WRAPPERS[:3]) if size < 100 else ("{}",):
+                    for where in ("<body>{w}{b}</body>", "<body>{b}{w}</body>"):
+                        page = where.format(w=one.format(two.format(inner)), b=BESIDE[0] + BESIDE[1])
+                        got = hc.main_text(f"<html>{page}</html>", None)
+                        assert got == want, (one, two, where, body, got[:200])
+
+
+def test_hints_still_hold_beside_the_article():
+    text = f"<article><h1>T</h1><p>{LINE * 9}</p></article>"
+    for part in ('<div class="sidebar">{}</div>', '<div id=comments><article>{}</article></div>',
+                 '<ol class="comment-list"><li><article class="comment-body">{}</article></ol>',
+                 '<form><label>{}</label><input></form>', '<div class="site-header">{}</div>',
+                 '<section class="related"><article>{}</article></section>', "<div hidden>{}</div>",
+                 '<div class="cookie-notice">{}</div>', '<div class="ad-slot widget">{}</div>'):
+        page = f"<html><body>{text}{part.format('<p>' + LINE * 4 + '</p>')}</body></html>"
+        assert hc.main_text(page, None) == " ".join(re.sub(r"<[^>]*>", " ", text).split()), part
+
+
+def test_salted_join_gives_the_same_rows(spark, monkeypatch):
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet").selectExpr(
+        "*", "'x' as winner", "1 as salt")
+    def rows():
+        return sorted(map(tuple, hc.extract(pages).collect()))
+    plain = rows()
+    monkeypatch.setattr(hc, "BROADCAST_BYTES", -1)
+    assert rows() == plain
