@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .arrowtext import text_slices, utf8
+from .arrowtext import small_batches, text_slices, utf8
 from .components import components, written
 from .signature_tree import FANOUT, bitmap, possible_pairs, small_block_pairs, spanning_pairs
 from .wordhash import Words, mix64, shingle_sets
@@ -50,6 +50,8 @@ CHUNK = 1024
 #: Members of a chunk of a component whose links are counted, and cells of a token table.
 LINK_CHUNK = 512
 TABLE_CELLS = 4 << 20
+#: Rows of an Arrow batch: a row has a bitmap of up to 32 KiB, or two texts.
+BATCH_ROWS = 256
 #: Bits per token in the bitmaps of blocks with inner nodes, where false pairs would multiply.
 WIDE = 8
 
@@ -403,6 +405,12 @@ def jaccard_links(spark: SparkSession, docs: DataFrame, n: int = 5, num: int = 4
 
 def _join(spark: SparkSession, docs: DataFrame, n: int, num: int, den: int,
           count: bool) -> DataFrame:
+    with small_batches(spark, BATCH_ROWS):
+        return _joined(spark, docs, n, num, den, count)
+
+
+def _joined(spark: SparkSession, docs: DataFrame, n: int, num: int, den: int,
+            count: bool) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sig = written(signatures(docs, n, num, den, token_counts(docs, n)), "signatures")
     postings = sig.select(F.explode("tokens").alias("token"), "cls")
@@ -457,7 +465,8 @@ def _join(spark: SparkSession, docs: DataFrame, n: int, num: int, den: int,
                 .distinct().groupBy("cls").agg(F.count("*").alias("size")))
         classes = written(classes.join(size, "cls"), "classes")
         members = classes.select("label", "cls", "size").join(texts, "cls")
-        classes = classes.join(_class_links(members, n, num, den), "cls", "left").withColumn(
+        links = written(_class_links(members, n, num, den), "links")
+        classes = classes.join(links, "cls", "left").withColumn(
             "n_links", F.col("size") - 1 + F.coalesce("n", F.lit(0)))
         extra = ["n_links"]
     classes = classes.join(least, "label").select("cls", "component_id", *extra)
