@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..operators.hot_keys import apart
 from ..sources.csv import load_raw
 from ..sources.warehouse import Warehouse, stored_bytes
 from . import marts as M
@@ -37,39 +38,58 @@ MART_CLUSTER = {
 def build_all(spark: SparkSession, landing_dir: str, warehouse_root: str,
               check: bool = True, empty_as: str | None = "",
               parallel: int = 4, buckets: int | None = None,
-              use_catalog: bool = True) -> dict[str, DataFrame]:
+              use_catalog: bool = True, prefix: str = "") -> dict[str, DataFrame]:
     """Build every table; raise if a key check fails. Returns the written marts.
 
+    All tables are published in one commit at the end. If the run fails, at a write or at a
+    check, readers keep the tables of the run before.
+
     Layers become databases ``raw``, ``staging`` and ``marts`` of external
     tables under ``warehouse_root`` (or plain folders there, unbucketed, without
     ``use_catalog``). Tables of one layer do not read each
     other, so up to ``parallel`` of them are written at once from driver
     threads; Spark runs their jobs side by side on the cluster's slots.
     """
-    wh = Warehouse(spark, warehouse_root, use_catalog=use_catalog, buckets=buckets)
-    raw = _write_all(wh, load_raw(spark, landing_dir, empty_as), "raw", parallel)
-    stg = _write_all(wh, staging(raw), "staging", parallel, bucket=STAGING_BUCKETS)
-    fct = wh.write_month_partitioned(
-        M.fct_concerts(stg["stg_setlists"], stg["stg_band_mapping"], stg["stg_bands"],
-                       stg["stg_songs"], stg["stg_albums"]),
-        "fct_concerts", "marts", cluster_by=FACT_CLUSTER).drop("event_month_start")
-    rest = {n: df for n, df in M.marts(stg, fct=fct).items() if n != "fct_concerts"}
-    out = {"fct_concerts": fct, **_write_all(wh, rest, "marts", parallel, MART_CLUSTER)}
-    if check:
-        quality.check({**stg, **out})
+    wh = Warehouse(spark, warehouse_root, use_catalog=use_catalog, buckets=buckets,
+                   prefix=prefix)
+    with wh.release():
+        raw = _write_all(wh, load_raw(spark, landing_dir, empty_as), "raw", parallel)
+        stg = _write_all(wh, staging(raw), "staging", parallel, bucket=STAGING_BUCKETS,
+                         keys_from=raw)
+        by_setlist = {n: wh.parts(f"stg_{n}", "staging") for n in ("setlists", "songs")}
+        fct = apart(by_setlist, "setlist_id", lambda setlists, songs: M.fct_concerts(
+            setlists, stg["stg_band_mapping"], stg["stg_bands"], songs, stg["stg_albums"]),
+            unique=("setlists",))
+        performed = apart(by_setlist, "setlist_id", lambda setlists, songs: M.performances(
+            songs, setlists), unique=("setlists",))
+        fct = wh.write_month_partitioned(fct, "fct_concerts", "marts", cluster_by=FACT_CLUSTER,
+                                         checked=quality.MODEL_KEYS["fct_concerts"]
+                                         ).drop("event_month_start")
+        rest = {n: df for n, df in M.marts(stg, fct=fct, performed=performed).items()
+                if n != "fct_concerts"}
+        out = {"fct_concerts": fct, **_write_all(wh, rest, "marts", parallel, MART_CLUSTER)}
+        if check:
+            nulls = {name: wh.entry(name, "staging" if name in stg else "marts")["nulls"]
+                     for name in quality.MODEL_KEYS}
+            quality.check({**stg, **out}, nulls)
     return out
 
 
 def _write_all(wh: Warehouse, tables: dict[str, DataFrame], layer: str, parallel: int,
-               cluster: dict | None = None, bucket: dict | None = None) -> dict[str, DataFrame]:
+               cluster: dict | None = None, bucket: dict | None = None,
+               keys_from: dict | None = None) -> dict[str, DataFrame]:
     from concurrent.futures import ThreadPoolExecutor
 
     def write(item):
         name, df = item
         by = (bucket or {}).get(name, ())
-        size = stored_bytes(wh.spark, wh.path(name.removeprefix("stg_"), "raw")) if by else 0
+        source = name.removeprefix("stg_")
+        size = stored_bytes(wh.spark, wh.current_path(source, "raw")) if by else 0
+        frequent = keys_from[source] if by and keys_from and by[0] in keys_from[source].columns \
+            else None
         return name, wh.write(df, name, layer, cluster_by=(cluster or {}).get(name, ()),
-                              bucket_by=by, source_bytes=size)
+                              bucket_by=by, source_bytes=size, keys_from=frequent,
+                              checked=quality.MODEL_KEYS.get(name))
 
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
         return dict(pool.map(write, tables.items()))

@@ -7,8 +7,6 @@ choices over them as Spark jobs.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +15,7 @@ from ..functions import counter_review_count, present
 from ..operators.dedup import asc_first, keep_first
 from ..operators.joins import fixed_broadcast
 from ..sources.csv import read_raw_table
+from ..sources.ledger import Ledger, content_id
 from ..sources.pages import flatten_setlists, flatten_songs, select_pages
 from ..sources.schemas import RAW_TABLES
 from ..sources.sinks import write_append
@@ -113,18 +112,23 @@ def ingest_pages(pages: DataFrame, max_pages: int | None = None) -> tuple[DataFr
 
 
 def append_landed(setlists: DataFrame, songs: DataFrame, landing_dir: str,
-                  mapping: DataFrame | None = None) -> None:
-    """Append flattened records to the landed CSV tables the loader reads.
+                  mapping: DataFrame | None = None, batch_id: str | None = None) -> bool:
+    """Append flattened records to the landed CSV tables the loader reads, exactly once.
 
-    Mapping rows first and setlists/songs after, the order the original
-    ingester wrote them. A run may be repeated: staging deduplicates setlists and
-    songs, and only mapping rows of bands that have none yet are appended.
+    All tables of a run become visible together, when the run's id enters the folder's
+    ledger. A run that breaks off shows nothing, and one that is repeated (the same
+    ``batch_id``, or the same rows if none is given) adds nothing. Of the mapping, only rows
+    of bands that have none yet are appended. Returns whether the run was new.
     """
     spark = setlists.sparkSession
-
-    def path(name: str) -> str:
-        return os.path.join(landing_dir, RAW_TABLES[name].filename)
-
+    name = {t: RAW_TABLES[t].filename for t in ("setlists", "songs", "band_mapping")}
+    tables = {name["setlists"]: setlists, name["songs"]: songs}
+    if mapping is not None:
+        tables[name["band_mapping"]] = mapping
+    ledger = Ledger(spark, landing_dir)
+    batch_id = batch_id or content_id(tables)
+    if batch_id in ledger.batches():
+        return False
     if mapping is not None:
         try:
             there = read_raw_table(spark, RAW_TABLES["band_mapping"], landing_dir)
@@ -136,7 +140,6 @@ def append_landed(setlists: DataFrame, songs: DataFrame, landing_dir: str,
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
         # One row per band, also within the new rows.
-        mapping = keep_first(mapping, ["ma_band_id"], asc_first("match_type", "sfm_mbid"))
-        write_append(mapping, path("band_mapping"), "csv")
-    write_append(setlists, path("setlists"), "csv")
-    write_append(songs, path("songs"), "csv")
+        tables[name["band_mapping"]] = keep_first(mapping, ["ma_band_id"],
+                                                  asc_first("match_type", "sfm_mbid"))
+    return ledger.append(batch_id, tables, lambda df, path: write_append(df, path, "csv"))

@@ -212,25 +212,36 @@ def agg_subgenre_share_over_time(fct: DataFrame) -> DataFrame:
                     pct("concert_count", "_total", 1).alias("concert_share_pct")))
 
 
-def agg_top_songs(stg_songs: DataFrame, stg_setlists: DataFrame,
-                  exact_distinct: bool = True) -> DataFrame:
-    """Performances and distinct venues per (song, performing artist).
+def performances(stg_songs: DataFrame, stg_setlists: DataFrame) -> DataFrame:
+    """song_name, artist_name, venue_id of every song that was played.
 
-    Reads staging directly, so unmapped artists count too. Songs meet their setlist on
-    setlist_id; songs without one match no setlist and are left out before the shuffle,
-    where they would be one hot key.
+    Songs meet their setlist on setlist_id; songs without one match no setlist and are left
+    out before the shuffle, where they would be one hot key.
     """
     songs = (stg_songs.where(present("song_name"))
              .select("setlist_id", "song_name"))
     setlists = stg_setlists.select("setlist_id", "artist_name", "venue_id")
-    return (songs.join(setlists, "setlist_id")
-            .groupBy("song_name", "artist_name")
+    return songs.join(setlists, "setlist_id").drop("setlist_id")
+
+
+def agg_top_songs(stg_songs: DataFrame, stg_setlists: DataFrame, exact_distinct: bool = True,
+                  performed: DataFrame | None = None) -> DataFrame:
+    """Performances and distinct venues per (song, performing artist).
+
+    Reads staging directly, so unmapped artists count too. ``performed``: the
+    ``performances`` of the two tables, if they are at hand.
+    """
+    if performed is None:
+        performed = performances(stg_songs, stg_setlists)
+    return (performed.groupBy("song_name", "artist_name")
             .agg(_n().alias("performance_count"),
                  _distinct("venue_id", exact_distinct).alias("unique_venue_count")))
 
 
-def marts(stg: dict[str, DataFrame], fct: DataFrame | None = None) -> dict[str, DataFrame]:
-    """All fourteen marts; pass a materialised ``fct`` to avoid recomputing it."""
+def marts(stg: dict[str, DataFrame], fct: DataFrame | None = None,
+          performed: DataFrame | None = None) -> dict[str, DataFrame]:
+    """All fourteen marts; pass a materialised ``fct`` to avoid recomputing it, and the songs'
+    ``performed`` if their join is planned elsewhere."""
     if fct is None:
         fct = fct_concerts(stg["stg_setlists"], stg["stg_band_mapping"], stg["stg_bands"],
                            stg["stg_songs"], stg["stg_albums"])
@@ -249,5 +260,5 @@ def marts(stg: dict[str, DataFrame], fct: DataFrame | None = None) -> dict[str,
         "agg_productivity_vs_reviews": agg_productivity_vs_reviews(stg["stg_albums"]),
         "agg_rating_vs_touring": agg_rating_vs_touring(fct),
         "agg_subgenre_share_over_time": agg_subgenre_share_over_time(fct),
-        "agg_top_songs": agg_top_songs(stg["stg_songs"], stg["stg_setlists"]),
+        "agg_top_songs": agg_top_songs(stg["stg_songs"], stg["stg_setlists"], performed=performed),
     }

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from ..operators.quality import assert_quality, quality_report
+from ..operators.quality import assert_quality, quality_report, quality_report_written
 
 # The checked key of each model.
 MODEL_KEYS = {
@@ -29,6 +29,12 @@ def report(models) -> DataFrame:
     return quality_report({name: (get(name), [key]) for name, key in MODEL_KEYS.items()})
 
 
-def check(models) -> DataFrame:
-    """Run the checks; raise if any fails (the flow stops on failure)."""
-    return assert_quality(report(models))
+def check(models, nulls: dict[str, int] | None = None) -> DataFrame:
+    """Run the checks; raise if any fails (the flow stops on failure).
+
+    ``nulls``: null keys per model, if they were counted while it was written.
+    """
+    if nulls is None:
+        return assert_quality(report(models))
+    return assert_quality(quality_report_written(
+        {name: (models[name], key, nulls[name]) for name, key in MODEL_KEYS.items()}))

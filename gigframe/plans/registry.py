@@ -8,10 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir, scratch_path
 from ..sources import adapters
+from ..sources.adapters import RAW_BUILDERS
 from ..sources.landing import build_pages, write_pages
 from ..sources.pages import read_pages
 from ..sources.sinks import concerts_between, write_month_partitioned
@@ -83,16 +86,24 @@ def _load_csv(name: str) -> Query:
     return run
 
 
-def _append_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Append the mapping to landed CSV twice, as a repeated run does; load it back."""
-    from ..sources.csv import read_raw_table
-    from ..sources.schemas import RAW_TABLES
-    c = _cat(spark, sf_dir)
-    landing = scratch_path(spark, "landing")
-    none = c.raw["setlists"].limit(0), c.raw["songs"].limit(0)
-    for _ in range(2):
-        ingest.append_landed(*none, landing, mapping=c.raw["band_mapping"])
-    return read_raw_table(spark, RAW_TABLES["band_mapping"], landing)
+def _append_csv(name: str) -> Query:
+    """Append all landed tables in a run that breaks off, in one that ends, and in that one
+    again; load one of them back."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        from ..sources.csv import read_raw_table
+        from ..sources.schemas import RAW_TABLES
+        c = _cat(spark, sf_dir)
+        landing = scratch_path(spark, "landing")
+        tables = c.raw["setlists"], c.raw["songs"]
+        broken = c.raw["songs"].withColumn("song_name", F.raise_error(F.lit("broken off")))
+        try:
+            ingest.append_landed(tables[0], broken, landing, c.raw["band_mapping"], "run-1")
+        except PySparkException:  # its setlists are written by then
+            pass
+        for _ in range(2):
+            ingest.append_landed(*tables, landing, c.raw["band_mapping"], "run-1")
+        return read_raw_table(spark, RAW_TABLES[name], landing)
+    return run
 
 
 def _ingest_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -134,6 +145,73 @@ def _full_run(pick: Callable[[dict[str, DataFrame]], DataFrame]) -> Query:
     return run
 
 
+def _full_run_catalog(pick: Callable[[SparkSession, str], DataFrame]) -> Query:
+    """The same run as catalog tables, bucketed; ``pick`` reads them by name, after the
+    databases' prefix."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        import uuid
+
+        from ..sources.landing import write_landing_csv
+        from .full_run import build_all
+        landing = write_landing_csv(_cat(spark, sf_dir).raw, scratch_path(spark, "landing"))
+        prefix = f"run_{uuid.uuid4().hex[:8]}_"
+        build_all(spark, landing, scratch_path(spark, "warehouse"), prefix=prefix)
+        return pick(spark, prefix)
+    return run
+
+
+def _full_run_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Build from half of the setlists, build again from all, break a third run off after it
+    has written a table; what readers see is the second."""
+    from ..sources.landing import write_landing_csv
+    from ..sources.warehouse import Warehouse
+    from .full_run import build_all
+    raw = _cat(spark, sf_dir).raw
+    first = write_landing_csv(raw, scratch_path(spark, "landing"))
+    half = scratch_path(spark, "landing")
+    write_landing_csv({**{n: raw[n] for n in RAW_BUILDERS},
+                       "setlists": raw["setlists"].where("event_date < date '1995-06-30'")}, half)
+    root = scratch_path(spark, "warehouse")
+    for landing in (half, first):
+        build_all(spark, landing, root, use_catalog=False)
+    wh = Warehouse(spark, root)
+    try:
+        with wh.release():
+            mart = wh.read("agg_concerts_over_time", "marts")
+            wh.write(mart.limit(1), "agg_concerts_over_time", "marts")
+            wh.write(mart.withColumn("concert_count", F.raise_error(F.lit("broken off"))),
+                     "agg_concerts_by_country", "marts")
+    except PySparkException:
+        pass
+    return Warehouse(spark, root).read("agg_concerts_over_time", "marts")
+
+
+def _changed_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write the fact without the setlists and songs of one quarter and without the second
+    copies of records, land these, and rewrite the months that they touch."""
+    from ..sources.warehouse import Warehouse
+    from .incremental import refresh_fact
+    c = _cat(spark, sf_dir)
+    late = F.col("event_date").between(F.lit("1996-01-01").cast("date"),
+                                       F.lit("1996-03-31").cast("date"))
+    raw = {"setlists": c.raw["setlists"], "songs": c.raw["songs"]}
+    quarter = raw["setlists"].where(late).select("setlist_id").distinct()
+    landed = {"setlists": raw["setlists"].where(late),
+              "songs": raw["songs"].join(quarter, "setlist_id", "left_semi")}
+    before = {"setlists": raw["setlists"].where(F.coalesce(~late, F.lit(True))),
+              "songs": raw["songs"].join(quarter, "setlist_id", "left_anti")}
+    wh = Warehouse(spark, scratch_path(spark, "warehouse"))
+    stg = {"stg_band_mapping": c.stg_band_mapping, "stg_bands": c.stg_bands,
+           "stg_albums": c.stg_albums_reviewed}
+    from . import marts, staging
+    fact = marts.fct_concerts(staging.stg_setlists(before["setlists"]), stg["stg_band_mapping"],
+                              stg["stg_bands"], staging.stg_songs(before["songs"]),
+                              stg["stg_albums"])
+    wh.write_month_partitioned(fact, "fct_concerts", "marts")
+    refresh_fact(wh, raw, landed, stg)
+    return wh.read("fct_concerts", "marts").drop("event_month_start")
+
+
 def _loaded_seasonality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mart over loaded CSV: '' counts as a country there as in the raw tables."""
     from ..sources.csv import load_raw
@@ -227,13 +305,22 @@ QUERIES: dict[str, Query] = {
         c.raw["band_mapping"].selectExpr("cast(ma_band_id as string) as band_id"))))(_cat(s, d)),
     **{f"load_csv_{name}": _load_csv(name) for name in
        ("bands", "albums", "labels", "setlists", "songs", "band_mapping")},
-    "ingest_append_csv": _append_csv,
+    "ingest_append_csv": _append_csv("band_mapping"),
+    "ingest_append_setlists": _append_csv("setlists"),
+    "ingest_append_songs": _append_csv("songs"),
     "ingest_resume": _ingest_resume,
     "ingest_page_rule": _page_rule,
     "loaded_festival_seasonality": _loaded_seasonality,
     "full_run_dim_venues": _full_run(lambda out: out["dim_venues"]),
     "full_run_touring_top": _full_run(
         lambda out: tiles.touring_top(out["agg_genre_touring_intensity"])),
+    "full_run_replace": _full_run_replace,
+    "full_run_catalog_top_songs": _full_run_catalog(
+        lambda spark, db: spark.table(f"{db}marts.agg_top_songs")),
+    "full_run_catalog_view": _full_run_catalog(lambda spark, db: spark.sql(
+        f"""select country_code, count(*) as setlists, count(distinct artist_mbid) as artists
+            from {db}staging.stg_setlists group by country_code""")),
+    "fact_changed_months": _changed_months,
     "clustered_read_back": _clustered_read_back,
     "ingest_flatten_setlists": _flatten(0),
     "ingest_flatten_songs": _flatten(1),

@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import parse_event_date
+from .commits import Files
+from .ledger import Ledger
 from .schemas import RAW_TABLES, RawTable
 
 # One dialect both ways: a quote in a value is doubled, blanks at its ends are kept.
@@ -65,7 +67,7 @@ def _text_schema(schema: T.StructType) -> T.StructType:
                                        else f.dataType, True) for f in schema.fields])
 
 
-def read_typed(spark: SparkSession, path: str, schema: T.StructType,
+def read_typed(spark: SparkSession, path: str | list[str], schema: T.StructType,
                empty_as: str | None = None) -> DataFrame:
     df = spark.read.options(**_CSV_OPTIONS).schema(_text_schema(schema)).csv(path)
     dates = {f.name: parse_event_date(f.name) for f in schema.fields
@@ -77,11 +79,14 @@ def read_typed(spark: SparkSession, path: str, schema: T.StructType,
 
 def read_raw_table(spark: SparkSession, table: RawTable, landing_dir: str,
                    empty_as: str | None = "") -> DataFrame:
+    """The rows under the table's own name, and those of the batches in the folder's ledger."""
     path = os.path.join(landing_dir, table.filename)
     if table.all_string:
         df = read_header_named(spark, path, table.renames, empty_as)
         return df.select(*table.schema.fieldNames())
-    return read_typed(spark, path, table.schema, empty_as)
+    batches = Ledger(spark, landing_dir).folders(table.filename)
+    plain = [path] if not batches or Files(spark, path).exists() else []
+    return read_typed(spark, plain + batches, table.schema, empty_as)
 
 
 def load_raw(spark: SparkSession, landing_dir: str,
