@@ -6,14 +6,18 @@ stable order. With a count of ones before each block of a plane, one file answer
 ``access`` (the id at a place), ``rank`` / ``count`` (how often an id occurs in a
 range) and ``select`` / ``occurrences`` (where), each in one step per plane.
 
-File layout (all little-endian): ``WMX1``, u32 planes, u64 ids, u64 documents, then
-two zstd frames with their u64 lengths: the directory (per document an i64 doc_id, an
-i64 number of ids, a u8 that is 1 where doc_id is null) and the packed planes.
-
-The corpus is ranged and sorted by doc_id (nulls first, then by text for repeated
-ids), and each task writes the shards of its range. A row of the written table is one
-shard file (``payload``) with its place: ``part`` (the range), ``shard``, and
-``before``, the ids of the same range before it.
+File layout (all little-endian): ``WMX2``, u32 planes, u64 ids, u64 documents, then
+three zstd frames with their u64 lengths: the directory (per document an i64 doc_id, an
+i64 number of ids, a u8 that is 1 where doc_id is null), the counts (per plane an i64
+number of ones before each block of BLOCK bytes, and in all) and the packed planes.
+
+The corpus is ranged and sorted by doc_id (nulls first) and a hash of the text, so that
+rows of one doc_id or of none are spread over as many ranges as they need. Each task writes
+the shards of its range. A row of the written table is one shard file (``payload``) with its
+place: ``part`` (the range), ``shard``, and ``before``, the ids of the same range before it.
+
+Special tokens of the tokenizer that stand in a text are encoded as the library does by
+default: as their ids.
 """
 
 from __future__ import annotations
@@ -26,6 +30,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -35,13 +40,15 @@ from pyspark.sql import types as T
 from .arrowtext import text_slices
 from .pretokens import UnitCache, Units, gather
 
-MAGIC = b"WMX1"
+MAGIC = b"WMX2"
 #: Ids after which a shard ends (at the next end of a document).
 SHARD_IDS = 1 << 22
 #: Units whose ids a Python worker keeps.
 UNIT_CACHE = 1_200_000
 #: Characters of units that go to the library as one text.
 JOINED_CHARS = 4000
+#: Bytes of texts whose distinct units are looked up together.
+UNIT_BYTES = 12 << 20
 BLOCK = 64  # bytes of a plane between two stored counts
 
 SHARDS = T.StructType([
@@ -53,16 +60,22 @@ SHARDS = T.StructType([
 class WaveletMatrix:
     """Bit-planes of a sequence of ids with rank and select."""
 
-    def __init__(self, n: int, planes: np.ndarray):
-        """``planes``: packed bits, one row per plane, low bit of a byte first."""
+    def __init__(self, n: int, planes: np.ndarray, before: np.ndarray | None = None):
+        """``planes``: packed bits, one row per plane, low bit of a byte first; ``before``: per
+        plane the ones before each block, and in all (counted if they are not given)."""
         self.n, self.planes = n, planes
-        ones = np.bitwise_count(planes).astype(np.int64)
-        pad = -ones.shape[1] % BLOCK
-        blocks = np.pad(ones, ((0, 0), (0, pad))).reshape(len(planes), -1, BLOCK).sum(2)
-        self.before = np.concatenate([np.zeros((len(planes), 1), np.int64),
-                                      np.cumsum(blocks, axis=1)], axis=1)
+        self.before = self._counted(planes) if before is None else before
         self.zeros = n - self.before[:, -1]
 
+    @staticmethod
+    def _counted(planes: np.ndarray) -> np.ndarray:
+        ones = np.bitwise_count(planes)
+        pad = -ones.shape[1] % BLOCK
+        blocks = np.pad(ones, ((0, 0), (0, pad))).reshape(len(planes), -1, BLOCK)
+        blocks = blocks.sum(2, dtype=np.int64)
+        return np.concatenate([np.zeros((len(planes), 1), np.int64),
+                               np.cumsum(blocks, axis=1)], axis=1)
+
     @classmethod
     def build(cls, ids: np.ndarray, bits: int) -> WaveletMatrix:
         cur = ids.astype(np.uint16 if bits <= 16 else np.uint32)
@@ -70,7 +83,11 @@ class WaveletMatrix:
         for k in range(bits):
             bit = (cur >> (bits - 1 - k)) & 1 != 0
             planes[k] = np.packbits(bit, bitorder="little")
-            cur = np.concatenate([cur[~bit], cur[bit]])
+            zeros, ones = np.flatnonzero(~bit), np.flatnonzero(bit)
+            parted = np.empty_like(cur)
+            np.take(cur, zeros, out=parted[:len(zeros)], mode="clip")
+            np.take(cur, ones, out=parted[len(zeros):], mode="clip")
+            cur = parted
         return cls(len(ids), planes)
 
     def decode(self) -> np.ndarray:
@@ -79,10 +96,10 @@ class WaveletMatrix:
         kind = np.uint16 if bits <= 16 else np.uint32
         cur = np.zeros(self.n, kind)
         for k in reversed(range(bits)):
-            one = np.unpackbits(self.planes[k], count=self.n, bitorder="little").astype(bool)
+            one = np.unpackbits(self.planes[k], count=self.n, bitorder="little").view(bool)
             above, zeros = np.empty(self.n, kind), int(self.zeros[k])
-            above[~one] = cur[:zeros]
-            above[one] = cur[zeros:] | kind(1 << (bits - 1 - k))
+            above[np.flatnonzero(one)] = cur[zeros:] | kind(1 << (bits - 1 - k))
+            above[np.flatnonzero(~one)] = cur[:zeros]
             cur = above
         return cur.astype(np.uint32)
 
@@ -162,25 +179,33 @@ def pack_shard(ids: np.ndarray, doc_ids: list[int | None], lengths: np.ndarray,
     null = np.array([x is None for x in doc_ids], np.uint8)
     zstd = zstandard.ZstdCompressor(level=1)
     directory = zstd.compress(known.tobytes() + lengths.astype("<i8").tobytes() + null.tobytes())
-    planes = zstd.compress(wm.planes.tobytes())
-    return b"".join([MAGIC, struct.pack("<IQQQ", bits, len(ids), len(doc_ids), len(directory)),
-                     directory, struct.pack("<Q", len(planes)), planes])
+    counts = zstd.compress(wm.before.astype("<i8").tobytes())
+    planes = zstd.compress(wm.planes)
+    return b"".join([MAGIC, struct.pack("<IQQ", bits, len(ids), len(doc_ids)),
+                     *(x for frame in (directory, counts, planes)
+                       for x in (struct.pack("<Q", len(frame)), frame))])
 
 
 def open_shard(payload: bytes) -> tuple[WaveletMatrix, list[int | None], np.ndarray]:
     """The matrix, doc_ids and numbers of ids per document of a shard file."""
     if payload[:4] != MAGIC:
         raise ValueError("not a wavelet shard")
-    bits, n, docs, size = struct.unpack_from("<IQQQ", payload, 4)
-    at = 4 + struct.calcsize("<IQQQ")
-    unzip = zstandard.ZstdDecompressor().decompress
-    directory = unzip(payload[at:at + size])
+    bits, n, docs = struct.unpack_from("<IQQ", payload, 4)
+    at = 4 + struct.calcsize("<IQQ")
+    frames = []
+    for _ in range(3):
+        size = struct.unpack_from("<Q", payload, at)[0]
+        frames.append(zstandard.ZstdDecompressor().decompress(
+            memoryview(payload)[at + 8:at + 8 + size]))
+        at += 8 + size
+    directory, counts, planes = frames
     known = np.frombuffer(directory, "<i8", docs)
     lengths = np.frombuffer(directory, "<i8", docs, 8 * docs)
     null = np.frombuffer(directory, np.uint8, docs, 16 * docs)
-    planes = np.frombuffer(unzip(payload[at + size + 8:]), np.uint8).reshape(bits, -1)
     ids = [None if z else k for k, z in zip(known.tolist(), null.tolist(), strict=True)]
-    return WaveletMatrix(n, planes), ids, lengths
+    wm = WaveletMatrix(n, np.frombuffer(planes, np.uint8).reshape(bits, -1),
+                       np.frombuffer(counts, "<i8").reshape(bits, -1))
+    return wm, ids, lengths
 
 
 class LibraryEncoder:
@@ -191,7 +216,7 @@ class LibraryEncoder:
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True
+        self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self.bits = max(1, (self.tok.get_vocab_size() - 1).bit_length())
         vocab = self.tok.get_vocab(with_added_tokens=False)
         self.length = np.zeros(max(vocab.values()) + 1, np.int64)
@@ -201,6 +226,24 @@ class LibraryEncoder:
         self.stop = {c: np.array(self.tok.encode(c, add_special_tokens=False).ids, "<u4").tobytes()
                      for c in ".,"}
 
+    def encode_texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the texts end to end, and the place of each text's first and of the end."""
+        marked = np.zeros(len(texts), bool)
+        for token in self.special:
+            marked |= np.asarray(pc.match_substring(texts, token))
+        plain = pc.if_else(pa.array(marked), "", texts) if marked.any() else texts
+        units = Units(plain)
+        flat, at = gather(self.ids(units.texts, units.used), units.seq)
+        ends = np.concatenate([[0], np.cumsum(at)])[units.bounds]
+        if marked.any():  # cut at added tokens, which units know nothing of: by the library whole
+            parts = np.split(flat, ends[1:-1])
+            for k in np.flatnonzero(marked).tolist():
+                found = self.tok.encode(texts[k].as_py(), add_special_tokens=False)
+                parts[k] = np.array(found.ids, "<u4")
+            flat = np.concatenate(parts)
+            ends = np.concatenate([[0], np.cumsum([len(p) for p in parts])])
+        return flat, ends
+
     def encode_units(self, texts: list[str]) -> list[bytes]:
         """Ids per unit as little-endian 32-bit integers.
 
@@ -278,10 +321,8 @@ def write_shards(docs: DataFrame, path: str, tokenizer_path: str, end_id: int,
                                   ("payload", pa.binary())]))
 
         for batch in batches:
-            for rows, texts in text_slices(batch, "text"):
-                units = Units(texts)
-                flat, at = gather(enc.ids(units.texts, units.used), units.seq)
-                ends = np.concatenate([[0], np.cumsum(at)])[units.bounds]
+            for rows, texts in text_slices(batch, "text", UNIT_BYTES):
+                flat, ends = enc.encode_texts(texts)
                 ids.append(np.insert(flat, ends[1:], end_id))
                 lengths.append(np.diff(ends) + 1)
                 names.extend(rows.column(0).to_pylist())
@@ -294,7 +335,9 @@ def write_shards(docs: DataFrame, path: str, tokenizer_path: str, end_id: int,
             yield flush()
 
     (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-     .repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+     .withColumn("spread", F.xxhash64("text"))
+     .repartitionByRange("doc_id", "spread").sortWithinPartitions("doc_id", "spread", "text")
+     .drop("spread")
      .mapInArrow(run, SHARDS)
      .write.option("compression", "uncompressed").parquet(path))
 
@@ -323,6 +366,7 @@ def read_documents(spark: SparkSession, path: str,
                 ids = wm.decode()
                 ends = np.cumsum(lengths)
                 starts = ends - lengths
+                ids.flags.writeable = False
                 values = [per_document(ids[a:b]) for a, b in
                           zip(starts.tolist(), ends.tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays(
@@ -339,7 +383,7 @@ def read_documents(spark: SparkSession, path: str,
 def document_checksums(spark: SparkSession, path: str) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 (of the ids as little-endian 32-bit integers)."""
     return read_documents(spark, path, [T.StructField("ids_crc32", T.LongType())], [pa.int64()],
-                          lambda ids: (zlib.crc32(ids.astype("<u4").tobytes()),))
+                          lambda ids: (zlib.crc32(ids.astype("<u4", copy=False)),))
 
 
 def occurrences(spark: SparkSession, path: str, token: int) -> DataFrame:

@@ -11,9 +11,7 @@ JSON = P.path("byte_bpe_50k.json")
 
 
 def library():
-    tok = Tokenizer.from_file(JSON)
-    tok.encode_special_tokens = True
-    return tok
+    return Tokenizer.from_file(JSON)
 
 
 def test_matrix_access_rank_select():
@@ -36,21 +34,32 @@ def test_matrix_access_rank_select():
             assert wm.count(t, lo, hi) == int((ids[lo:hi] == t).sum())
 
 
+def expected(tok, text):
+    ids = tok.encode(text or "", add_special_tokens=False).ids + [0]
+    return len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())
+
+
+def checked(rows, got):
+    """Documents in ascending order of doc_id, nulls first, with the starts that this gives."""
+    tok = library()
+    got = sorted((tuple(r) for r in got), key=lambda r: r[1])
+    assert [r[0] for r in got] == sorted((d for d, _ in rows), key=lambda d: (d is not None, d or 0))
+    start = 0
+    for _, at, n, _ in got:
+        assert at == start
+        start += n
+    assert sorted(((r[0], *r[2:]) for r in got), key=repr) == sorted(
+        ((d, *expected(tok, t)) for d, t in rows), key=repr)
+
+
 def test_shards_round_trip(spark, tmp_path):
     texts = {k: f"word{k} and more\nlines {k}  double" * (k % 5) for k in range(60)}
     rows = [(k, t) for k, t in texts.items()] + [(None, "no id"), (3, "again"), (100, None)]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
     path = str(tmp_path / "shards")
     wi.write_shards(df, path, JSON, end_id=0, shard_ids=50)
-    got = sorted((tuple(r) for r in wi.document_checksums(spark, path).collect()),
-                 key=lambda r: r[1])
+    checked(rows, wi.document_checksums(spark, path).collect())
     tok = library()
-    ordered = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
-    start = 0
-    for (doc, text), row in zip(ordered, got, strict=True):
-        ids = tok.encode(text or "", add_special_tokens=False).ids + [0]
-        assert row == (doc, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
-        start += len(ids)
     token = tok.encode(" and", add_special_tokens=False).ids[0]
     want = sum(tok.encode(t or "", add_special_tokens=False).ids.count(token) for _, t in rows)
     assert wi.occurrences(spark, path, token).count() == want > 0
@@ -59,6 +68,45 @@ def test_shards_round_trip(spark, tmp_path):
     assert wi.document_checksums(spark, empty).count() == 0
 
 
+def test_special_tokens_in_texts_are_the_librarys(spark, tmp_path):
+    assert library().encode("a <|endoftext|> b", add_special_tokens=False).ids[2] == 50256
+    rows = list(enumerate(["a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|>x",
+                           "<|endoftext", "plain text, here", "", "é<|endoftext|>\n\n  z " * 40,
+                           "<|endoftext|> at the start", "double  blank <|endoftext|>  "]))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    path = str(tmp_path / "shards")
+    wi.write_shards(df, path, JSON, end_id=0)
+    checked(rows, wi.document_checksums(spark, path).collect())
+
+
+def test_null_and_repeated_ids_are_spread_over_ranges(spark, tmp_path):
+    """A third of the rows without an id and a third with one id, over several parts."""
+    rows = [(None if k % 3 == 0 else 7 if k % 3 == 1 else k, f"text number {k} " * (k % 4))
+            for k in range(600)] + [(8, "the same")] * 5
+    df = spark.createDataFrame([(d, t, "x", 1) for d, t in rows],
+                               "doc_id long, text string, spread string, part int").repartition(6)
+    path = str(tmp_path / "shards")
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(coalesce, "false")  # these few rows would share a task
+    try:
+        wi.write_shards(df, path, JSON, end_id=0, shard_ids=200)
+    finally:
+        spark.conf.unset(coalesce)
+    checked(rows, wi.document_checksums(spark, path).collect())
+    docs = wi.read_documents(spark, path, [], [], lambda ids: ())
+    shards = spark.read.schema(wi.SHARDS).parquet(path)
+    per_part = [r["count"] for r in shards.groupBy("part").count().collect()]
+    assert docs.count() == len(rows) and len(per_part) >= 6
+
+
+def test_counts_are_read_from_the_file(monkeypatch):
+    ids = np.arange(5000, dtype=np.uint32) % 700
+    payload = wi.pack_shard(ids, [1], np.array([5000]), 10)
+    monkeypatch.setattr(wi.WaveletMatrix, "_counted", None)
+    wm = wi.open_shard(payload)[0]
+    assert wm.count(699) == 7 and wm.select(699, 6) == 4899 and (wm.decode() == ids).all()
+
+
 def test_query_over_whole_table(spark):
     sf = "/root/testdata/sf0.001"
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
