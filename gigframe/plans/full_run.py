@@ -87,7 +87,8 @@ def _write_all(wh: Warehouse, tables: dict[str, DataFrame], layer: str, parallel
         size = stored_bytes(wh.spark, wh.current_path(source, "raw")) if by else 0
         frequent = keys_from[source] if by and keys_from and by[0] in keys_from[source].columns \
             else None
-        return name, wh.write(df, name, layer, cluster_by=(cluster or {}).get(name, ()),
+        columns = (cluster or {}).get(name, ())
+        return name, wh.write(df, name, layer, cluster_by=columns, interleave=len(columns) > 1,
                               bucket_by=by, source_bytes=size, keys_from=frequent,
                               checked=quality.MODEL_KEYS.get(name))
 

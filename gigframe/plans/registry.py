@@ -222,6 +222,69 @@ def _loaded_seasonality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts(staging(load_raw(spark, landing)))["agg_festival_seasonality"]
 
 
+def _rollup_years(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Month states of two landings of the fact, written, merged and rolled up to years."""
+    from . import rollups
+    fct = _cat(spark, sf_dir).fct_concerts
+    second = F.pmod(F.xxhash64("concert_id"), F.lit(2)) == 1
+    paths = []
+    for landing in (fct.where(~second), fct.where(second)):
+        paths.append(scratch_path(spark, "month-states"))
+        rollups.month_states(landing).write.parquet(paths[-1])
+    states = [spark.read.parquet(p) for p in paths]
+    return rollups.distinct_figures(rollups.merge_month_states(*states, by=["event_year"]))
+
+
+def _rollup_medians(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score states of two landings of albums, merged into medians per subgenre."""
+    from . import rollups
+    c = _cat(spark, sf_dir)
+    second = F.pmod(F.xxhash64("album_id"), F.lit(2)) == 1
+    states = [rollups.review_states(part, c.stg_bands) for part in
+              (c.stg_albums_reviewed.where(~second), c.stg_albums_reviewed.where(second))]
+    return rollups.review_medians(rollups.merge_review_states(*states))
+
+
+def _interleaved_read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..sources.sinks import interleaved
+    path = scratch_path(spark, "interleaved")
+    interleaved(_cat(spark, sf_dir).dim_bands, "country", "primary_subgenre").write.parquet(path)
+    return spark.read.parquet(path).where("primary_subgenre = 'MACHINERY Metal'")
+
+
+def _loaded_with_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Land all songs and, in a file of their own, a line of text for every customer; load the
+    songs, set the other lines apart, and count both."""
+    from ..sources.landing import write_landing_csv
+    from ..sources.rejects import keep_rejects, read_with_rejects
+    from ..sources.schemas import RAW_TABLES
+    c = _cat(spark, sf_dir)
+    landing = scratch_path(spark, "landing")
+    write_landing_csv({"songs": c.raw["songs"]}, landing, only=["songs"])
+    songs = RAW_TABLES["songs"]
+    lines = spark.read.parquet(f"{sf_dir}/customer.parquet").select(
+        F.concat_ws(",", F.lit("s"), "c_name", F.lit("not a number of an encore")).alias("value"))
+    header = spark.createDataFrame([(",".join(songs.schema.fieldNames()),)], "value string")
+    (header.unionByName(lines).coalesce(1).write.mode("append")
+     .text(f"{landing}/{songs.filename}"))
+    rows, rejects = read_with_rejects(spark, songs, landing)
+    n = keep_rejects(rejects, scratch_path(spark, "rejects"), most=10**9)
+    return rows.agg(F.count(F.lit(1)).alias("songs"),
+                    F.count_distinct("setlist_id").alias("setlists")).withColumn(
+        "rejects", F.lit(n).cast("bigint"))
+
+
+def _type_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..sources.landing import write_landing_csv
+    from ..sources.rejects import type_report
+    from ..sources.schemas import RAW_TABLES
+    c = _cat(spark, sf_dir)
+    landing = scratch_path(spark, "landing")
+    write_landing_csv({"songs": c.raw["songs"]}, landing, only=["songs"])
+    return type_report(spark, RAW_TABLES["songs"], landing).select(
+        "table_name", "column_name", "declared", "n", "misfits")
+
+
 def _clustered_read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..sources.sinks import clustered
     path = scratch_path(spark, "clustered")
@@ -322,6 +385,11 @@ QUERIES: dict[str, Query] = {
             from {db}staging.stg_setlists group by country_code""")),
     "fact_changed_months": _changed_months,
     "clustered_read_back": _clustered_read_back,
+    "interleaved_read_back": _interleaved_read_back,
+    "rollup_year_distincts": _rollup_years,
+    "rollup_genre_medians": _rollup_medians,
+    "load_with_rejects": _loaded_with_rejects,
+    "load_type_report": _type_report,
     "ingest_flatten_setlists": _flatten(0),
     "ingest_flatten_songs": _flatten(1),
     # streaming resume, layout, quality

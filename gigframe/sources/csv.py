@@ -67,9 +67,8 @@ def _text_schema(schema: T.StructType) -> T.StructType:
                                        else f.dataType, True) for f in schema.fields])
 
 
-def read_typed(spark: SparkSession, path: str | list[str], schema: T.StructType,
-               empty_as: str | None = None) -> DataFrame:
-    df = spark.read.options(**_CSV_OPTIONS).schema(_text_schema(schema)).csv(path)
+def typed(df: DataFrame, schema: T.StructType, empty_as: str | None = None) -> DataFrame:
+    """Rows read with the text schema: dates parsed, blank texts filled."""
     dates = {f.name: parse_event_date(f.name) for f in schema.fields
              if isinstance(f.dataType, T.DateType)}
     if dates:
@@ -77,16 +76,34 @@ def read_typed(spark: SparkSession, path: str | list[str], schema: T.StructType,
     return _fill_empty(df, empty_as)
 
 
+def read_typed(spark: SparkSession, path: str | list[str], schema: T.StructType,
+               empty_as: str | None = None) -> DataFrame:
+    df = spark.read.options(**_CSV_OPTIONS).schema(_text_schema(schema)).csv(path)
+    return typed(df, schema, empty_as)
+
+
+def landed_paths(spark: SparkSession, table: RawTable, landing_dir: str) -> list[str]:
+    """Where a typed table's files are: under its own name, and in the ledger's batches."""
+    path = os.path.join(landing_dir, table.filename)
+    batches = Ledger(spark, landing_dir).folders(table.filename)
+    return ([path] if not batches or Files(spark, path).exists() else []) + batches
+
+
+def read_as_text(spark: SparkSession, table: RawTable, landing_dir: str) -> DataFrame:
+    """A typed raw table with every column as it stands in the files."""
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in table.schema.fieldNames()])
+    return spark.read.options(**_CSV_OPTIONS).schema(schema).csv(
+        landed_paths(spark, table, landing_dir))
+
+
 def read_raw_table(spark: SparkSession, table: RawTable, landing_dir: str,
                    empty_as: str | None = "") -> DataFrame:
     """The rows under the table's own name, and those of the batches in the folder's ledger."""
-    path = os.path.join(landing_dir, table.filename)
     if table.all_string:
+        path = os.path.join(landing_dir, table.filename)
         df = read_header_named(spark, path, table.renames, empty_as)
         return df.select(*table.schema.fieldNames())
-    batches = Ledger(spark, landing_dir).folders(table.filename)
-    plain = [path] if not batches or Files(spark, path).exists() else []
-    return read_typed(spark, plain + batches, table.schema, empty_as)
+    return read_typed(spark, landed_paths(spark, table, landing_dir), table.schema, empty_as)
 
 
 def load_raw(spark: SparkSession, landing_dir: str,
