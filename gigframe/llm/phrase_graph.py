@@ -46,6 +46,8 @@ GRAPH_WORDS = (1 << 21) - 8
 _ID = np.uint64(21)
 #: Cells of the phrases' hash, at least; bytes of the table per cell.
 CELLS, CELL_BYTES, MOST_CELLS = 1024, 16 << 20, 1 << 17
+#: Parts of a language that are ranked apart before its best phrases meet.
+SHARES = 32
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -300,7 +302,13 @@ def phrases(docs: DataFrame, least: int = 10, top: int = 2000) -> DataFrame:
     best = (cuts.groupBy("lang", "phrase", "a")
             .agg(F.min(F.struct(score.alias("score"), "k", "l", "r")).alias("cut"))
             .select("lang", "phrase", "a", "cut.l", "cut.r", "cut.score"))
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), F.asc("phrase"))
+    # The best of each of a language's SHARES parts first: what is left of it fits in a task.
+    order = F.desc("score"), F.desc("a"), F.asc("phrase")
+    part = F.pmod(F.xxhash64("phrase"), F.lit(SHARES))
+    own = Window.partitionBy("lang", "part").orderBy(*order)
+    best = (best.withColumn("part", part).withColumn("rank", F.row_number().over(own))
+            .where(F.col("rank") <= top).drop("rank", "part"))
+    order = Window.partitionBy("lang").orderBy(*order)
     return (best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
             .join(total, "lang")
             .select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n",
