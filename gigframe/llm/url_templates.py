@@ -2,10 +2,14 @@
 
 Paths are grouped by host and shape (numbers and long hex runs become wildcards). Level
 by level, the segments under a node become one wildcard where they are mostly different,
-and branches whose labelled urls agree (two-proportion test against their siblings) are
-merged. The labelled urls are those that a rule decides. A template's purity is its share
-of allowed labelled urls, smoothed towards its host and that towards a prior; urls
-without a rule are blocked where the purity of their template is low.
+and branches that are statistically similar are merged: those with labelled urls where the
+labels agree with their siblings' (two-proportion test), those without where their form
+(letters or digits) is the same and as many of their urls end there (the same test). The
+labelled urls are those that a rule decides. A template's purity is its share of allowed
+labelled urls, smoothed towards the same template on other hosts of the domain, that towards
+the host's labelled urls, and those towards a prior. Urls without a rule are blocked where
+the purity of their template is low. So the label evidence of a host decides about its
+unlabelled templates, the more urls of it are labelled; a host without any keeps the prior.
 
 Everything is DataFrame functions over counts per (host, shape); single urls are only
 grouped once and joined once, with a salt, so a host may hold most of all urls.
@@ -26,8 +30,8 @@ DEPTH = 4
 FEW, DIFFERENT = 20, 0.3
 #: Branches differ where the test's z is beyond this.
 Z = 2.58
-#: Purity before any label, and the weight of that (in branches) and of the host (in urls).
-PRIOR, BRANCHES, URLS = 0.7, 4.0, 5.0
+#: Purity before any label, and in urls the weights of that, of the host and of the domain.
+PRIOR, HOST_URLS, DOMAIN_URLS, URLS = 0.7, 20.0, 10.0, 5.0
 LEAST = 0.4
 SALTS = 32
 
@@ -64,6 +68,28 @@ def shape(path: Column) -> Column:
     return F.split(F.regexp_replace(clean, r"^/", ""), "/")
 
 
+def form(seg: Column) -> Column:
+    """A shape's segment with every run of letters as {w}."""
+    marked = F.regexp_replace(seg, r"\{([nx])\}", "\u0001$1\u0002")
+    words = F.regexp_replace(marked, "(?<!\u0001)[\\p{L}]+(?!\u0002)", "{w}")
+    return F.translate(words, "\u0001\u0002", "{}")
+
+
+def domain(host: Column) -> Column:
+    """The last two labels of a host."""
+    return F.substring_index(host, ".", -2)
+
+
+def differ(hits: Column, n: Column, all_hits: Column, all_n: Column) -> Column:
+    """Whether a branch's share of hits differs from that of its siblings (two-proportion test)."""
+    rest = all_n - n
+    p = all_hits / F.nullif(all_n, F.lit(0))
+    z = ((hits / F.nullif(n, F.lit(0)) - (all_hits - hits) / F.nullif(rest, F.lit(0)))
+         / F.sqrt(F.nullif(p * (1 - p), F.lit(0.0)) * (1 / F.nullif(n, F.lit(0))
+                                                        + 1 / F.nullif(rest, F.lit(0)))))
+    return F.coalesce(F.abs(z) > Z, F.lit(False))
+
+
 def templates(counts: DataFrame, depth: int = DEPTH) -> DataFrame:
     """(host, shape) with ``template`` and its smoothed ``purity``.
 
@@ -76,20 +102,25 @@ def templates(counts: DataFrame, depth: int = DEPTH) -> DataFrame:
         seg = (F.array_join(F.slice(F.col("shape"), level + 1, 10**6), "/") if last
                else F.coalesce(F.try_element_at("shape", F.lit(level + 1)), F.lit("")))
         here = cur.withColumn("seg", seg)
+        ends = F.when(F.lit(last) | (F.size("shape") <= level + 1), F.col("n")).otherwise(F.lit(0))
         kids = here.groupBy("host", "prefix", "seg").agg(
-            F.sum("n").alias("n"), F.sum("good").alias("good"), F.sum("bad").alias("bad"))
+            F.sum("n").alias("n"), F.sum("good").alias("good"), F.sum("bad").alias("bad"),
+            F.sum(ends).alias("ends"))
+        kids = kids.withColumn("form", form(F.col("seg"))).withColumn(
+            "labelled", F.col("good") + F.col("bad") > 0)
         all_ = W.partitionBy("host", "prefix")
+        alike = W.partitionBy("host", "prefix", "labelled", "form")
         kids = (kids.withColumn("kinds", F.count("*").over(all_))
                 .withColumn("urls", F.sum("n").over(all_))
-                .withColumn("g", F.sum("good").over(all_)).withColumn("b", F.sum("bad").over(all_)))
-        own, rest = F.col("good") + F.col("bad"), F.col("g") + F.col("b") - F.col("good") - F.col("bad")
-        p = F.col("g") / (F.col("g") + F.col("b"))
-        z = ((F.col("good") / own - (F.col("g") - F.col("good")) / rest)
-             / F.sqrt(p * (1 - p) * (1 / own + 1 / rest)))
+                .withColumn("g", F.sum("good").over(all_)).withColumn("b", F.sum("bad").over(all_))
+                .withColumn("alike_n", F.sum("n").over(alike))
+                .withColumn("alike_ends", F.sum("ends").over(alike)))
         variable = (F.col("kinds") > FEW) & (F.col("kinds") > DIFFERENT * F.col("urls"))
-        alone = (F.when(own == 0, F.lit("{unlabelled}"))
-                 .when((rest > 0) & (F.col("g") > 0) & (F.col("b") > 0) & (F.abs(z) > Z), F.col("seg"))
-                 .otherwise(F.lit("{similar}")))
+        by_label = differ(F.col("good"), F.col("good") + F.col("bad"), F.col("g"), F.col("g") + F.col("b"))
+        by_ends = differ(F.col("ends"), F.col("n"), F.col("alike_ends"), F.col("alike_n"))
+        alone = (F.when(~F.col("labelled") & by_ends, F.col("seg"))
+                 .when(~F.col("labelled"), F.concat(F.lit("{unlabelled}"), F.col("form")))
+                 .when(by_label, F.col("seg")).otherwise(F.lit("{similar}")))
         # The end of a path is a branch of its own; a lone child needs no test.
         branch = (F.when(F.col("seg") == "", F.lit("")).when(variable, F.lit("*"))
                   .when(F.col("kinds") == 1, F.col("seg")).otherwise(alone))
@@ -98,14 +129,15 @@ def templates(counts: DataFrame, depth: int = DEPTH) -> DataFrame:
             "prefix", F.concat("prefix", F.lit("/"), "branch")).drop("seg", "branch")
         cur = written(cur, "shapes")
     per = cur.groupBy("host", "prefix").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad"))
-    seen = F.col("good") + F.col("bad")
-    share = F.when(seen > 0, F.col("good") / seen)
-    host = per.groupBy("host").agg(F.sum(share).alias("s"), F.count(share).alias("k"))
-    host = host.select("host", ((F.coalesce("s", F.lit(0.0)) + BRANCHES * PRIOR)
-                                / (F.col("k") + BRANCHES)).alias("host_purity"))
-    per = per.join(host, "host").select(
-        "host", "prefix", ((F.col("good") + URLS * F.col("host_purity")) / (seen + URLS))
-        .alias("purity"))
+    per = per.withColumn("seen", F.col("good") + F.col("bad")).withColumn("domain", domain(F.col("host")))
+    host = per.groupBy("host").agg(((F.sum("good") + HOST_URLS * PRIOR)
+                                    / (F.sum("seen") + HOST_URLS)).alias("host_purity"))
+    there = per.groupBy("domain", "prefix").agg(F.sum("good").alias("all_good"),
+                                                F.sum("seen").alias("all_seen"))
+    like = ((F.col("all_good") - F.col("good") + DOMAIN_URLS * F.col("host_purity"))
+            / (F.col("all_seen") - F.col("seen") + DOMAIN_URLS))
+    per = per.join(host, "host").join(there, ["domain", "prefix"]).select(
+        "host", "prefix", ((F.col("good") + URLS * like) / (F.col("seen") + URLS)).alias("purity"))
     return (cur.join(per, ["host", "prefix"])
             .select("host", "shape", F.col("prefix").alias("template"), "purity"))
 
