@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 #: Turn numbers in one segment.
 SEGMENT = 64
+#: Rows of a segment that stay together.
+ROWS = 4096
 SYSTEM = ("system",)
 
 
@@ -21,25 +23,34 @@ def _safe(text: Column) -> Column:
     return F.replace(F.coalesce(text, F.lit("")), F.lit("<|"), F.lit("< |"))
 
 
-def segments(turns: DataFrame, size: int = SEGMENT) -> DataFrame:
-    """(conv_id, segment, turns): the rows of ``size`` turn numbers, in order.
+def segments(turns: DataFrame, size: int = SEGMENT, most: int = ROWS) -> DataFrame:
+    """(conv_id, segment, part, turns): the rows of ``size`` turn numbers, in order.
 
     Repeated rows count once. Rows of one turn stand in order of role and text; rows
-    without a turn number come first, in segment -1.
+    without a turn number come first, in segment -1. A segment of more than ``most`` rows
+    (many rows of one turn number, or without one) comes in parts of about so many, by a
+    hash of the row, so no array grows with the table; other segments are part 0.
     """
     rows = turns.select("conv_id", "turn", "role", "text").distinct()
     segment = F.coalesce(F.floor(F.col("turn") / size), F.lit(-1)).cast("long")
-    return (rows.withColumn("segment", segment).groupBy("conv_id", "segment")
+    rows = rows.withColumn("segment", segment)
+    large = rows.groupBy(F.col("conv_id").alias("conv"), F.col("segment").alias("at")).agg(
+        F.count(F.lit(1)).alias("rows")).where(F.col("rows") > most)
+    same = rows.conv_id.eqNullSafe(F.col("conv")) & (rows.segment == F.col("at"))
+    part = F.pmod(F.xxhash64("turn", "role", "text"), F.ceil(F.col("rows") / most))
+    return (rows.join(large, same, "left").withColumn("part", F.coalesce(part, F.lit(0)).cast("long"))
+            .groupBy("conv_id", "segment", "part")
             .agg(F.array_sort(F.collect_list(F.struct(
                 F.coalesce("turn", F.lit(-1)).alias("turn"), F.coalesce("role", F.lit("")).alias("role"),
                 F.coalesce("text", F.lit("")).alias("text")))).alias("turns")))
 
 
-def rotate(turns: DataFrame, size: int = SEGMENT, system: tuple[str, ...] = SYSTEM) -> DataFrame:
-    """One row per conversation, participant and segment.
+def rotate(turns: DataFrame, size: int = SEGMENT, system: tuple[str, ...] = SYSTEM,
+           most: int = ROWS) -> DataFrame:
+    """One row per conversation, participant, segment and part.
 
     ``turns`` has conv_id, turn, role (the speaker's name) and text. Columns:
-    conv_id, perspective, segment, n_turns, text, ``mask`` (array of start, end: the code
+    conv_id, perspective, segment, part, n_turns, text, ``mask`` (array of start, end: the code
     points of ``text`` to train on, the perspective's words and their end marks) and
     n_trained (code points under the mask). Speakers in ``system`` take no perspective and
     stay system turns; a conversation of such alone gives no row. A null speaker is
@@ -47,9 +58,9 @@ def rotate(turns: DataFrame, size: int = SEGMENT, system: tuple[str, ...] = SYST
     """
     speakers = (turns.select("conv_id", F.coalesce("role", F.lit("")).alias("perspective"))
                 .where(~F.col("perspective").isin(*system)).distinct())
-    seg = segments(turns, size)
+    seg = segments(turns, size, most)
     both = (seg.join(speakers, seg.conv_id.eqNullSafe(speakers.conv_id))
-            .select(seg.conv_id, "perspective", "segment", "turns"))
+            .select(seg.conv_id, "perspective", "segment", "part", "turns"))
 
     def pieces(t: Column) -> Column:
         """(head, body, own) of a turn as seen by the perspective."""
@@ -73,7 +84,7 @@ def rotate(turns: DataFrame, size: int = SEGMENT, system: tuple[str, ...] = SYST
 
     return (both.withColumn("pieces", F.transform("turns", pieces))
             .withColumn("mask", F.aggregate("pieces", start, step)["mask"])
-            .select("conv_id", "perspective", "segment",
+            .select("conv_id", "perspective", "segment", "part",
                     F.size("pieces").cast("long").alias("n_turns"),
                     F.array_join(F.transform("pieces", lambda p: F.concat(
                         p["head"], p["body"], F.lit("\n"))), "").alias("text"),
@@ -82,7 +93,7 @@ def rotate(turns: DataFrame, size: int = SEGMENT, system: tuple[str, ...] = SYST
                     .cast("long").alias("n_trained")))
 
 
-#: The query's rows in DuckDB SQL.
+#: The query's rows in DuckDB SQL; no segment of the given tables has over ROWS rows.
 ORACLE = """
 WITH t AS (
   SELECT DISTINCT conv_id, coalesce(turn, -1) AS turn, coalesce(role, '') AS role,
@@ -103,7 +114,7 @@ s AS (
            PARTITION BY conv_id, perspective, segment ORDER BY turn, role, text
            ROWS UNBOUNDED PRECEDING) - 1 AS stop
   FROM r)
-SELECT conv_id, perspective, segment, count(*) AS n_turns,
+SELECT conv_id, perspective, segment, 0::BIGINT AS part, count(*) AS n_turns,
        string_agg(head || body || chr(10), '' ORDER BY turn, role, text) AS text,
        coalesce(string_agg(CAST(stop - length(body) AS BIGINT) || '-' || CAST(stop AS BIGINT), ' '
                            ORDER BY turn, role, text) FILTER (WHERE own), '') AS mask,

@@ -1,4 +1,5 @@
 import duckdb
+from pyspark.sql import functions as F
 
 from conftest import rows
 from gigframe.llm import chat_rotation as cr
@@ -45,6 +46,21 @@ def test_long_dialogues_come_in_segments(spark):
     assert "".join(r.text for r in out) == whole
 
 
+def test_rows_without_a_turn_number_come_in_bounded_parts(spark):
+    turns = [(1, None, "ab"[k % 2], f"t{k}") for k in range(500)] + [(1, 5, "a", f"x{k}") for k in range(90)]
+    turns += [(None, 1, "c", f"y{k}") for k in range(90)] + [(2, 1, "d", "z")]
+    df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").withColumn(
+        "part", F.lit("clash"))
+    parts = cr.segments(df, most=40).collect()
+    assert max(len(r.turns) for r in parts) <= 80
+    assert sorted((r.conv_id or 0, t.text) for r in parts for t in r.turns) == sorted(
+        (c or 0, x) for c, _, _, x in turns)
+    out = cr.rotate(df, most=40).collect()
+    assert sum(r.n_turns for r in out if r.conv_id == 1 and r.perspective == "a") == 590
+    assert len({(r.conv_id, r.perspective, r.segment, r.part) for r in out}) == len(out)
+    assert [r.part for r in out if r.conv_id == 2] == [0]
+
+
 def test_query_equals_oracle_and_runs_no_python(spark):
     sf = "/root/testdata/sf0.01"
     df = queries.QUERIES["op2_chat_rotation"](spark, sf)
