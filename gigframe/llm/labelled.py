@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 from .arrowtext import text_slices, utf8
 from .wordhash import Words, shingle_sets
 
+#: Shingle hashes, the smallest of a text, that tell texts apart.
+SKETCH = 4
+
 
 def fold(doc_id: str, folds: int) -> Column:
     """crc32 of the id as text, modulo ``folds``; null for a null id."""
@@ -24,8 +27,9 @@ def training_sample(docs: DataFrame, labels: DataFrame, label: str, usable: Colu
 
     Rows are chosen by a hash of their id among those where ``usable`` (on doc_id)
     holds; an id with both labels counts as 1. The chosen ids (at most 2 * per_class)
-    are broadcast, so no text is shuffled before it is chosen. Texts with the same
-    smallest 5-word shingle hash, as copies and most near copies have, count once.
+    are broadcast, so no text is shuffled before it is chosen. Texts of one label with
+    the same SKETCH smallest 5-word shingle hashes, as copies and most near copies have, count
+    once; a line that different texts share does not make them one, nor do two labels.
     """
     one = (labels.where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1) & usable)
            .groupBy("doc_id").agg(F.max(F.col(label).cast("int")).alias("label")))
@@ -40,14 +44,12 @@ def training_sample(docs: DataFrame, labels: DataFrame, label: str, usable: Colu
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows, texts in text_slices(batch, "text"):
-                least = [int(s[0].view(np.int64)) if len(s) else 0
-                         for s in shingle_sets(Words(*utf8(texts)), 5)]
-                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(least, pa.int64())],
+                least = [s[:SKETCH].tobytes() for s in shingle_sets(Words(*utf8(texts)), 5)]
+                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(least, pa.binary())],
                                                  names=["text", "label", "sketch"])
 
-    return (found.mapInArrow(sketch, "text string, label int, sketch long")
-            .groupBy("sketch").agg(F.min("text").alias("text"), F.max("label").alias("label"))
-            .drop("sketch"))
+    return (found.mapInArrow(sketch, "text string, label int, sketch binary")
+            .groupBy("label", "sketch").agg(F.min("text").alias("text")).select("text", "label"))
 
 
 def logistic_map(x: np.ndarray, y: np.ndarray, mean: np.ndarray, precision: float,

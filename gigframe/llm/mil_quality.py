@@ -174,21 +174,26 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = 5, held_out: int = 0,
                 x, first = passages(texts)
                 bags = [x[a:b].astype(np.float32).tobytes()
                         for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([rows.column(1), pa.array(bags, pa.binary())],
-                                                 names=["label", "bag"])
-
-    size = 4 * N_INPUT
-    bags = (sample.select("text", "label").mapInArrow(encode, "label int, bag binary")
-            .withColumn("order", F.xxhash64("bag")))
-    bags, label, held = written(bags, "quality_bags"), [], 0
-    xs, lens = [], []
-    for r in bags.orderBy("order", "label").limit(2 * per_class).toLocalIterator():
-        n = len(r["bag"]) // size
-        if held + n > SAMPLE_PASSAGES:
-            continue
-        held += n
-        xs.append(np.frombuffer(r["bag"], np.float32).reshape(n, N_INPUT))
-        lens.append(n)
+                yield pa.RecordBatch.from_arrays(
+                    [rows.column(1), pa.array(np.diff(first), pa.int64()), pa.array(bags, pa.binary())],
+                    names=["label", "n", "bag"])
+
+    # Which bags fit into the bound is settled by their sizes; only those are fetched.
+    bags = written(sample.select("text", "label").mapInArrow(encode, "label int, n long, bag binary")
+                   .withColumn("order", F.xxhash64("bag")), "quality_bags")
+    held, chosen = 0, []
+    for r in (bags.groupBy("order").agg(F.min("n").alias("n")).orderBy("order")
+              .limit(2 * per_class).collect()):
+        if held + r["n"] <= SAMPLE_PASSAGES:
+            held += r["n"]
+            chosen.append((r["order"],))
+    ids = docs.sparkSession.createDataFrame(chosen, "order long")  # at most 2 * per_class
+    xs, lens, label = [], [], []
+    for r in (bags.join(F.broadcast(ids), "order").groupBy("order", "label")
+              .agg(F.first("bag").alias("bag")).orderBy("order", "label").toLocalIterator()):
+        x = np.frombuffer(r["bag"], np.float32).reshape(-1, N_INPUT)
+        xs.append(x)
+        lens.append(len(x))
         label.append(r["label"])
     if len(set(label)) < 2:
         return None
