@@ -222,6 +222,7 @@ class LibraryEncoder:
         self.length = np.zeros(max(vocab.values()) + 1, np.int64)
         for token, i in vocab.items():  # one character of a token stands for one byte
             self.length[i] = len(token)
+        self.one = [struct.pack("<I", i) for i in range(len(self.length))]
         self.ids = UnitCache(self.encode_units, UNIT_CACHE)
         self.stop = {c: np.array(self.tok.encode(c, add_special_tokens=False).ids, "<u4").tobytes()
                      for c in ".,"}
@@ -251,21 +252,21 @@ class LibraryEncoder:
         begin with a space and a non-blank stay apart in one long text, so many go to the
         library as one; the bytes of each id tell where a unit ends.
         """
-        def pack(form: str, ids: list[int]) -> bytes:
-            return struct.pack(form % len(ids), *ids)
-
         out: list[bytes] = [b""] * len(texts)
-        merge = self.tok.model.tokenize
+        merge, stop, one, peek = self.tok.model.tokenize, self.stop, self.one, self.ids.peek
         alone, joined, size = [], [[]], 0
         for k, t in enumerate(texts):
-            if t[-1:] in self.stop and t[1:-1].isalpha() and max(t) < "\u0250":
-                word = self.ids.peek(t[:-1])
-                if word is not None:
-                    out[k] = word + self.stop[t[-1]]
-                    continue
-            if t.isascii() and t[:1] == " " and t[1:].isalpha():
+            if t[-1:] in stop:
+                body = t[:-1]
+                if body[1:].isalpha() and (body.isascii() or max(body) < "\u0250"):
+                    word = peek(body)
+                    if word is not None:
+                        out[k] = word + stop[t[-1]]
+                        continue
+            if t[:1] == " " and t.isascii() and t[1:].isalpha():
                 # One match of the split pattern; the model writes a space as U+0120.
-                out[k] = pack("<%dI", [x.id for x in merge("\u0120" + t[1:])])
+                ids = [x.id for x in merge("\u0120" + t[1:])]
+                out[k] = one[ids[0]] if len(ids) == 1 else struct.pack(f"<{len(ids)}I", *ids)
             elif t[:1] == " " and t[1:2].strip():
                 joined[-1].append(k)
                 size += len(t)
