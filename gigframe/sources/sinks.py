@@ -43,9 +43,12 @@ RANK_BITS = 8
 def ranks(df: DataFrame, col: str, bits: int = RANK_BITS) -> DataFrame:
     """(col, rank): the column's distinct values in 2^bits ranges, in order.
 
-    The ranges are those of a range-partitioned shuffle, so no task sees all values.
+    The ranges are those of a range-partitioned shuffle, so no task sees all values. A session
+    of few shuffle partitions gets fewer ranges, but 16 at least.
     """
-    spread = df.where(F.col(col).isNotNull()).select(col).distinct().repartitionByRange(1 << bits, col)
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = min(1 << bits, max(16, n))
+    spread = df.where(F.col(col).isNotNull()).select(col).distinct().repartitionByRange(n, col)
     return spread.select(col, F.spark_partition_id().alias("rank"))
 
 
