@@ -28,7 +28,7 @@ def content_id(tables: dict[str, DataFrame]) -> str:
         row = F.xxhash64(*df.columns)
         again = F.xxhash64(F.lit(1), *df.columns)
         n, a, b, c = df.agg(F.count(F.lit(1)), F.bit_xor(row), F.bit_xor(again),
-                            F.sum(F.shiftright(row, 20))).first()
+                            F.sum(row.cast("decimal(20,0)"))).first()
         parts.append(f"{name}:{n}:{a}:{b}:{c}")
     return hashlib.sha256("|".join(parts).encode()).hexdigest()[:32]
 

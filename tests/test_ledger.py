@@ -63,6 +63,9 @@ def test_content_ids_tell_batches_apart(spark):
     others = [{"a": setlists.limit(0), "b": songs}, {"a": setlists.union(setlists), "b": songs},
               {"b": songs}, {"a": setlists.withColumn("state", F.lit("x")), "b": songs}, {}]
     assert len({same, *(content_id(o) for o in others)}) == 6
+    many = [content_id({"t": spark.range(n).selectExpr("'the same' as x")})
+            for n in (4_000_000, 4_000_002)]
+    assert many[0] != many[1]  # one row many times
 
 
 def test_two_writers_of_one_batch(spark):
