@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import parse_event_date
 from .csv import _CSV_OPTIONS, _text_schema, landed_paths, read_as_text, typed
 from .schemas import RawTable
 
@@ -55,35 +56,48 @@ def keep_rejects(rejects: DataFrame, path: str, most: int) -> int:
 #: The lattice of types that texts are tried for, the narrowest first.
 LATTICE = ("bigint", "double", "boolean", "date")
 
+#: What every number that Spark reads begins with, what every truth value is and every date has.
+#: Other texts are not tried: inside Spark each one that does not parse costs an exception.
+NUMBER_BEGINS = r"(?i)^[\x00-\x20\x7f]*[+-]?(?:[0-9.]|inf|nan)"
+BOOLEAN = r"(?i)^[\x00-\x20\x7f]*(?:t|true|y|yes|1|f|false|n|no|0)[\x00-\x20\x7f]*\z"
+DATE_HAS = "%-%-%"
+
 
 def type_report(spark: SparkSession, table: RawTable, landing_dir: str) -> DataFrame:
     """One row per column of a landed table: table_name, column_name, declared, found (the
     narrowest type that all its values have), n (values that are not blank), misfits (of these,
     how many do not have the declared type) and the first of them in order of characters.
 
-    One aggregate over all columns, as text, in one pass.
+    One aggregate over all columns, as text, in one pass. Each value is tried once for
+    each type.
     """
+    names = table.schema.fieldNames()
+    kinds = {f.name: f.dataType.simpleString() for f in table.schema.fields}
     texts = read_as_text(spark, table, landing_dir)
-
-    def value(c: str):
-        return F.when(F.trim(F.col(c)) != "", F.col(c))
+    values = texts.select(*[F.when(F.trim(F.col(c)) != "", F.col(c)).alias(c) for c in names])
 
     def fits(c: str, kind: str):
+        # ``when``, as both sides of an ``&`` may be computed for every row.
         if kind == "string":
-            return F.lit(True)
-        if kind == "date":
-            return F.coalesce(F.try_to_date(value(c), "dd-MM-yyyy"),
-                              F.try_to_date(value(c), "yyyy-MM-dd")).isNotNull()
-        return value(c).try_cast(kind).isNotNull()
+            fit = F.col(c)
+        elif kind == "date":
+            fit = F.when(F.col(c).like(DATE_HAS), parse_event_date(c))
+        else:
+            pattern = BOOLEAN if kind == "boolean" else NUMBER_BEGINS
+            fit = F.when(F.col(c).rlike(pattern), F.col(c).try_cast(kind))
+        return fit.isNotNull()
 
-    names = table.schema.fieldNames()
-    kinds = {f.name: f.dataType.simpleString() for f in table.schema.fields}
-    row = texts.agg(*[F.struct(
+    tried = values.select(*names, *[fits(c, k).alias(f"{c}_as_{k}")
+                                    for c in names for k in dict.fromkeys((*LATTICE, kinds[c]))])
+
+    def misfit(c: str):
+        return F.col(c).isNotNull() & ~F.col(f"{c}_as_{kinds[c]}")
+
+    row = tried.agg(*[F.struct(
         F.lit(c).alias("column_name"), F.lit(kinds[c]).alias("declared"),
-        F.count(value(c)).alias("n"),
-        F.count_if(value(c).isNotNull() & ~fits(c, kinds[c])).alias("misfits"),
-        F.min(F.when(value(c).isNotNull() & ~fits(c, kinds[c]), value(c))).alias("first_misfit"),
-        *[F.count_if(value(c).isNotNull() & fits(c, k)).alias(k) for k in LATTICE]).alias(c)
+        F.count(c).alias("n"), F.count_if(misfit(c)).alias("misfits"),
+        F.min(F.when(misfit(c), F.col(c))).alias("first_misfit"),
+        *[F.count_if(f"{c}_as_{k}").alias(k) for k in LATTICE]).alias(c)
         for c in names])
     each = row.select(F.explode(F.array(*names)).alias("c")).select("c.*")
     found = F.when(F.col("n") == 0, F.lit(None).cast("string"))

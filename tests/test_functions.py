@@ -74,3 +74,20 @@ def test_surrogate_key_matches_md5_and_propagates_null(spark):
     df = spark.createDataFrame([("1", "x", 1986), ("1", None, 1986)], "a string, b string, y bigint")
     got = [r[0] for r in df.select(surrogate_key("a", "b", "y")).collect()]
     assert got == [hashlib.md5(b"1|x|1986").hexdigest(), None]
+
+
+def test_event_date_tries_one_format_only(spark):
+    texts = ["23-08-2019", "2019-08-23", "x", "", None, "20-1-2019", "1-1-2020", "2019-8-23", "--------",
+             "32-01-2020", "2019-13-01", "ab-cd-efgh"]
+    d = dt.date(2019, 8, 23)
+    assert _eval(spark, parse_event_date, texts) == [d, d] + [None] * 10
+    plan = spark.range(1).select(parse_event_date(F.col("id").cast("string"))) \
+        ._jdf.queryExecution().analyzed().toString()
+    assert "CASE WHEN (substring(" in plan  # before: both formats were tried for most rows
+
+
+def test_try_bigint_is_try_cast(spark):
+    from gigframe.functions import try_bigint
+    texts = ["1986", " 7 ", "\t+5", "-3", "N/A", "", None, "1.5", ".5", "12x", "9" * 30, "\x7f4", "inf"]
+    want = _eval(spark, lambda c: c.try_cast("bigint"), texts)
+    assert _eval(spark, try_bigint, texts) == want and want[:4] == [1986, 7, 5, -3]
