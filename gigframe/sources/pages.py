@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import parse_event_date
+from ..session import scratch_path
 from .schemas import API_PAGE
 
 
@@ -51,9 +52,14 @@ def select_pages(pages: DataFrame, max_pages: int | None = None) -> DataFrame:
     Landed pages are data: a missing page drops nothing (``page_gaps`` reports it),
     and no cap holds unless asked for. A null artist is an artist like another; a page
     without a number is kept. The limits are one slim row per artist that has any (most
-    have none), so the wide pages stay where they are unless that table is large.
+    have none). They are written first: their size is known when the join is planned, so the
+    wide pages stay where they are unless that table is large.
     """
-    limits = page_limits(pages, max_pages).select(F.col("mbid").alias("_mbid"), "end_page")
+    spark = pages.sparkSession
+    path = scratch_path(spark, "page-limits")
+    found = page_limits(pages, max_pages).select(F.col("mbid").alias("_mbid"), "end_page")
+    found.write.parquet(path)
+    limits = spark.read.schema(found.schema).parquet(path)
     return pages.join(limits, pages["mbid"].eqNullSafe(limits["_mbid"])
                       & (pages["page"] >= limits["end_page"]), "left_anti")
 

@@ -15,9 +15,11 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.commits import Files
+from ..sources.landing import write_pages
 from ..sources.pages import flatten_setlists, flatten_songs
 from ..sources.schemas import API_PAGE
 
@@ -58,5 +60,23 @@ def read_ingested(spark: SparkSession, out_dir: str, table: str) -> DataFrame:
 
 def split_drops(pages: DataFrame, drops: int = 2) -> list[DataFrame]:
     """Split pages into landing drops by artist (all pages of an artist together)."""
-    bucket = F.pmod(F.xxhash64("mbid"), F.lit(drops))
-    return [pages.where(bucket == i) for i in range(drops)]
+    return [pages.where(_drop(drops) == i) for i in range(drops)]
+
+
+def _drop(drops: int) -> Column:
+    return F.pmod(F.xxhash64("mbid"), F.lit(drops))
+
+
+def write_drops(pages: DataFrame, path: str, drops: int = 2) -> list[str]:
+    """The drops of ``split_drops``, written in one pass: a folder under ``path`` each, in order."""
+    write_pages(pages.withColumn("drop", _drop(drops)), path, by="drop")
+    return [os.path.join(path, f"drop={i}") for i in range(drops)]
+
+
+def land_drop(spark: SparkSession, drop: str, landing: str) -> None:
+    """Move a written drop into the landing folder in one step; one without pages has no folder."""
+    folder = Files(spark, os.path.dirname(drop))
+    if os.path.basename(drop) in folder.names():
+        folder.move(os.path.basename(drop), landing)
+    else:
+        Files(spark, os.path.join(landing, os.path.basename(drop))).make()

@@ -129,3 +129,47 @@ def test_given_settings_win(spark):
         assert build_session(shuffle_partitions=5).conf.get("spark.sql.shuffle.partitions") == "5"
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_drops_are_written_once_and_land_whole(spark):
+    import os
+
+    from gigframe.sources.landing import build_pages
+    from gigframe.sources.pages import read_pages
+    from gigframe.streaming.pages import land_drop, split_drops, write_drops
+    cat = Catalog(spark, SF_SMALL)
+    pages = build_pages(cat.raw["setlists"], cat.raw["songs"])
+    base = scratch_path(spark, "drops")
+    landing = os.path.join(base, "landing")
+    drops = write_drops(pages, os.path.join(base, "arriving"), 2)
+    want = [p.count() for p in split_drops(pages, 2)]
+    assert [read_pages(spark, d).count() for d in drops] == want and min(want) > 0
+    land_drop(spark, drops[0], landing)
+    assert read_pages(spark, os.path.join(landing, "*")).count() == want[0]
+    land_drop(spark, drops[1], landing)
+    assert read_pages(spark, os.path.join(landing, "*")).count() == sum(want)
+    land_drop(spark, os.path.join(base, "arriving", "drop=7"), landing)  # no pages
+    assert os.listdir(os.path.join(landing, "drop=7")) == []
+
+
+def test_pages_shuffle_songs_once_and_are_compressed(spark):
+    import glob
+
+    from gigframe.sources.landing import build_pages, write_pages
+    from gigframe.sources.pages import read_pages, select_pages
+    cat = Catalog(spark, SF_SMALL)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = build_pages(cat.raw["setlists"], cat.raw["songs"])._jdf.queryExecution() \
+            .executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    # Songs and setlists by setlist_id; before, songs also by (setlist_id, set_name, encore).
+    assert plan.count("Exchange hashpartitioning(setlist_id") == 2
+    path = write_pages(build_pages(cat.raw["setlists"], cat.raw["songs"]), scratch_path(spark, "pages"))
+    assert glob.glob(f"{path}/*.gz") and not glob.glob(f"{path}/*.txt")
+    kept = select_pages(read_pages(spark, path))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in kept  # before: all pages were shuffled
