@@ -63,6 +63,24 @@ def test_drift_is_named_with_its_first_value(spark, tmp_path):
     assert (got["is_tape"].found, got["is_tape"].n) == ("boolean", 2)
 
 
+def test_guards_name_every_text_that_parses(spark):
+    from gigframe.sources.rejects import BOOLEAN, DATE_HAS, NUMBER_BEGINS
+    texts = ["1", " 1", "+1", "-1.5", ".5", "1e9", "0x1p3", "1d", "NaN", "nan", "-Infinity", "inf", "+INF",
+             "\t7", "\x7f7", "true", " TRUE ", "t", "Yes", "n", "0", "no\n", "\x01f", "false", "truex", "abc",
+             "2019-08-23", "23-08-2019", "+12019-08-23", "-2019-08-23", "2019/08/23", "x-y-z", "", "A"]
+    df = spark.createDataFrame([(t,) for t in texts], "v string")
+    v = F.col("v")
+    number = v.try_cast("bigint").isNotNull() | v.try_cast("double").isNotNull()
+    date = F.coalesce(F.try_to_date(v, "dd-MM-yyyy"), F.try_to_date(v, "yyyy-MM-dd")).isNotNull()
+    missed = df.where((number & ~v.rlike(NUMBER_BEGINS)) | (date & ~v.like(DATE_HAS))
+                      | (v.try_cast("boolean").isNotNull() & ~v.rlike(BOOLEAN)))
+    assert missed.collect() == []
+    assert df.where(v.rlike(BOOLEAN)).where(v.try_cast("boolean").isNull()).collect() == []
+    # Before, every text was tried for every type.
+    assert df.where("v = 'abc'").where(v.rlike(NUMBER_BEGINS) | v.rlike(BOOLEAN)
+                                       | v.like(DATE_HAS)).count() == 0
+
+
 def _row_groups(path, col, value):
     """Row groups whose statistics let a reader that looks for ``value`` skip none of them."""
     read = total = 0
@@ -98,3 +116,15 @@ def test_interleaved_keeps_nulls_repeated_rows_and_splits_a_hot_value(spark):
     sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
     assert max(sizes) <= 3 * 9000 / 12
     assert interleaved(df.limit(0), "a", "b").count() == 0
+
+
+def test_unique_check_counts_values_of_repeated_hashes_only(spark, monkeypatch):
+    from gigframe.operators import quality
+    a = spark.createDataFrame([("x",), ("x",), ("y",), (None,), ("z",), ("z",), ("z",)], "k string")
+    b = spark.createDataFrame([("x",), ("y",)], "k string")
+    want = [("a", "k", "not_null", 1), ("a", "k", "unique", 2), ("b", "k", "not_null", 0),
+            ("b", "k", "unique", 0)]
+    assert rows(quality.quality_report_written({"a": (a, "k", 1), "b": (b, "k", 0)})) == want
+    # Hashes that collide do not make their values equal.
+    monkeypatch.setattr(quality, "value_hash", lambda c: F.length(c).cast("long"))
+    assert rows(quality.quality_report_written({"a": (a, "k", 1), "b": (b, "k", 0)})) == want
