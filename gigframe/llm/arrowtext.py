@@ -8,8 +8,9 @@ the UTF-8 bytes with numpy.
 from __future__ import annotations
 
 import os
-from collections.abc import Iterator
+from collections.abc import Callable, Hashable, Iterator
 from contextlib import contextmanager
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -48,6 +49,28 @@ def utf8(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[offs[0]:offs[-1]], offs - offs[0]
 
 
+_KEPT: dict[Hashable, Any] = {}
+
+
+def kept(key: Hashable, make: Callable[[], Any]) -> Any:
+    """What ``make`` gives, kept in this Python worker for its next tasks of the same key.
+
+    Workers outlive a job. One object is kept at a time, so what an earlier operator needed
+    (a vocabulary, a cache) does not stay beside what the next one needs.
+    """
+    if key not in _KEPT:
+        let_go()
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
+def let_go() -> None:
+    """Free what ``kept`` holds, at the start of a task that needs none of it."""
+    if _KEPT:
+        _KEPT.clear()
+        pa.default_memory_pool().release_unused()
+
+
 @contextmanager
 def small_batches(spark, rows: int) -> Iterator[None]:
     """Arrow batches of at most ``rows`` rows in the jobs of the block, for rows of many KiB.

@@ -15,7 +15,6 @@ import base64
 import hashlib
 import struct
 from collections.abc import Iterator
-from functools import lru_cache
 
 import ahocorasick
 import numpy as np
@@ -25,7 +24,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .arrowtext import text_slices, utf8
+from .arrowtext import kept, text_slices, utf8
 from .pretokens import UnitCache, Units, gather
 
 #: Entries of the neighbour memo and of the unit cache of one Python worker.
@@ -159,10 +158,9 @@ class TextEncoder:
         return self.bpe.decode(ids)
 
 
-@lru_cache(maxsize=2)
 def encoder(ranks_path: str, pattern: str) -> TextEncoder:
     """One encoder per Python worker; the files are read where the task runs."""
-    return TextEncoder(ranks_path, pattern)
+    return kept(("byte_bpe", ranks_path, pattern), lambda: TextEncoder(ranks_path, pattern))
 
 
 def _with(df: DataFrame, per_slice, fields: list[T.StructField]) -> DataFrame:
@@ -174,9 +172,9 @@ def _with(df: DataFrame, per_slice, fields: list[T.StructField]) -> DataFrame:
                                                  names=names)
 
     clash = {f.name for f in fields}
-    kept = df.select(*[c for c in df.columns if c not in clash])
-    names = kept.columns + [f.name for f in fields]
-    return kept.mapInArrow(run, T.StructType(kept.schema.fields + fields))
+    rest = df.select(*[c for c in df.columns if c not in clash])
+    names = rest.columns + [f.name for f in fields]
+    return rest.mapInArrow(run, T.StructType(rest.schema.fields + fields))
 
 
 def encode_column(df: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
@@ -188,8 +186,7 @@ def encode_column(df: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     def ids_of(texts: pa.Array) -> list[pa.Array]:
         enc = encoder(ranks_path, pattern)
         units = Units(texts)
-        found = enc.ids(units.texts, units.used)
-        flat, at = gather(found, units.seq)
+        flat, at = gather(*enc.ids(units.texts), units.seq)
         ends = np.concatenate([[0], np.cumsum(at)])[units.bounds]
         lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat.astype(np.int32)))
         return [lists, pa.array(np.diff(ends), pa.int64())]
@@ -207,16 +204,15 @@ def encode_digests(df: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     def digests(texts: pa.Array) -> list[pa.Array]:
         enc = encoder(ranks_path, pattern)
         units = Units(texts)
-        used = units.used
-        found = enc.ids(units.texts, used)
-        sizes = np.zeros(len(found), np.int64)
-        decimals: list[str | None] = [None] * len(found)
-        decoded: list[bytes | None] = [None] * len(found)
-        for i in used.tolist():
-            ids = struct.unpack(f"<{len(found[i]) // 4}I", found[i])
-            sizes[i] = len(ids)
-            decimals[i] = " ".join(map(str, ids))
-            decoded[i] = enc.decode(ids)
+        # All units' ids, each once: gathered in the order of the units.
+        flat, sizes = gather(*enc.ids(units.texts), np.arange(len(units.texts)))
+        ids, a = flat.tolist(), 0
+        decimals: list[str] = []
+        decoded: list[bytes] = []
+        for b in np.cumsum(sizes).tolist():
+            decimals.append(" ".join(map(str, ids[a:b])))
+            decoded.append(enc.decode(ids[a:b]))
+            a = b
         full = sizes[units.seq] > 0
         seq = units.seq[full]
         bounds = np.concatenate([[0], np.cumsum(full)])[units.bounds]
@@ -247,10 +243,10 @@ def decode_column(df: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(got, pa.binary())],
                                              names=names)
 
-    kept = df.drop("decoded")
-    names = kept.columns + ["decoded"]
-    return kept.mapInArrow(run, T.StructType(
-        kept.schema.fields + [T.StructField("decoded", T.BinaryType())]))
+    rest = df.drop("decoded")
+    names = rest.columns + ["decoded"]
+    return rest.mapInArrow(run, T.StructType(
+        rest.schema.fields + [T.StructField("decoded", T.BinaryType())]))
 
 
 __all__ = ["BytePairEncoder", "TextEncoder", "decode_column", "encode_column", "encode_digests",

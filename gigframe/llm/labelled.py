@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .arrowtext import text_slices, utf8
+from .arrowtext import let_go, text_slices, utf8
 from .wordhash import Words, shingle_sets
 
 #: Shingle hashes, the smallest of a text, that tell texts apart.
@@ -42,6 +42,7 @@ def training_sample(docs: DataFrame, labels: DataFrame, label: str, usable: Colu
              .join(F.broadcast(chosen), "doc_id").select("text", "label"))
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in batches:
             for rows, texts in text_slices(batch, "text"):
                 least = [s[:SKETCH].tobytes() for s in shingle_sets(Words(*utf8(texts)), 5)]

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .arrowtext import text_slices, utf8
+from .arrowtext import let_go, text_slices, utf8
 from .components import written
 from .labelled import fold, training_sample
 from .wordhash import Words
@@ -30,6 +30,8 @@ PASSAGE = 64
 #: Labelled documents of each class, and passages in all, that a model is fitted on.
 SAMPLE_PER_CLASS = 4_000
 SAMPLE_PASSAGES = 150_000
+#: Bytes of texts whose passages are made at once; the arrays on the way take many times that.
+BAG_BYTES = 1 << 20
 BUCKETS = 16
 HIDDEN, GATE = 24, 12
 
@@ -169,8 +171,9 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = 5, held_out: int = 0,
                                      fold("doc_id", folds) != held_out, per_class), "quality_train")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in batches:
-            for rows, texts in text_slices(batch, "text"):
+            for rows, texts in text_slices(batch, "text", BAG_BYTES):
                 x, first = passages(texts)
                 bags = [x[a:b].astype(np.float32).tobytes()
                         for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True)]
@@ -218,9 +221,10 @@ def score(docs: DataFrame, model: Model | None, folds: int = 5, held_out: int =
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         net = shared.value
         for batch in batches:
-            for rows, texts in text_slices(batch, "text"):
+            for rows, texts in text_slices(batch, "text", BAG_BYTES):
                 y, n = _scores(net, texts)
                 yield pa.RecordBatch.from_arrays(
                     [rows.column(0), pa.array(y), pa.array(n, pa.int64())],
@@ -240,8 +244,9 @@ def keep_good(docs: DataFrame, model: Model | None, threshold: float) -> DataFra
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in batches:
-            for rows, texts in text_slices(batch, "text"):
+            for rows, texts in text_slices(batch, "text", BAG_BYTES):
                 yield rows.filter(pa.array(_scores(shared.value, texts)[0] >= threshold))
 
     return docs.mapInArrow(run, docs.schema)

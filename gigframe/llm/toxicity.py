@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .arrowtext import text_slices
+from .arrowtext import let_go, text_slices
 from .components import written
 from .labelled import fold, logistic_map, training_sample
 
@@ -206,6 +206,7 @@ def _terms(text: str) -> set[str]:
 def _document_counts(texts: DataFrame) -> DataFrame:
     """(term, n): in how many texts; added up per task, then by Spark."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         total = Counter()
         for batch in batches:
             for t in batch.column(0).to_pylist():
@@ -315,6 +316,7 @@ def _counted(docs: DataFrame, model: Model, extra: list[str]) -> DataFrame:
     names = [*extra, "n_words", "n_plain", "n_misspelled", "n_quoted"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         trie = FuzzyTrie(*shared.value)
         for batch in batches:
             for rows, texts in text_slices(batch, "text"):
@@ -370,6 +372,7 @@ def drop_toxic(docs: DataFrame, model: Model, threshold: float) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         m = shared.value
         trie = FuzzyTrie(m.words, m.beginnings)
         for batch in batches:

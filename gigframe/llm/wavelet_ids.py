@@ -26,7 +26,6 @@ import os
 import struct
 import zlib
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .arrowtext import text_slices
+from .arrowtext import kept, let_go, text_slices
 from .pretokens import UnitCache, Units, gather
 
 MAGIC = b"WMX2"
@@ -48,7 +47,7 @@ UNIT_CACHE = 1_200_000
 #: Characters of units that go to the library as one text.
 JOINED_CHARS = 4000
 #: Bytes of texts whose distinct units are looked up together.
-UNIT_BYTES = 12 << 20
+UNIT_BYTES = 20 << 20
 BLOCK = 64  # bytes of a plane between two stored counts
 
 SHARDS = T.StructType([
@@ -224,8 +223,6 @@ class LibraryEncoder:
             self.length[i] = len(token)
         self.one = [struct.pack("<I", i) for i in range(len(self.length))]
         self.ids = UnitCache(self.encode_units, UNIT_CACHE)
-        self.stop = {c: np.array(self.tok.encode(c, add_special_tokens=False).ids, "<u4").tobytes()
-                     for c in ".,"}
 
     def encode_texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the texts end to end, and the place of each text's first and of the end."""
@@ -234,7 +231,7 @@ class LibraryEncoder:
             marked |= np.asarray(pc.match_substring(texts, token))
         plain = pc.if_else(pa.array(marked), "", texts) if marked.any() else texts
         units = Units(plain)
-        flat, at = gather(self.ids(units.texts, units.used), units.seq)
+        flat, at = gather(*self.ids(units.texts), units.seq)
         ends = np.concatenate([[0], np.cumsum(at)])[units.bounds]
         if marked.any():  # cut at added tokens, which units know nothing of: by the library whole
             parts = np.split(flat, ends[1:-1])
@@ -248,21 +245,13 @@ class LibraryEncoder:
     def encode_units(self, texts: list[str]) -> list[bytes]:
         """Ids per unit as little-endian 32-bit integers.
 
-        A known word with a full stop or comma is the word's ids and the mark's. Units that
-        begin with a space and a non-blank stay apart in one long text, so many go to the
-        library as one; the bytes of each id tell where a unit ends.
+        Units that begin with a space and a non-blank stay apart in one long text, so many go
+        to the library as one; the bytes of each id tell where a unit ends.
         """
         out: list[bytes] = [b""] * len(texts)
-        merge, stop, one, peek = self.tok.model.tokenize, self.stop, self.one, self.ids.peek
+        merge, one = self.tok.model.tokenize, self.one
         alone, joined, size = [], [[]], 0
         for k, t in enumerate(texts):
-            if t[-1:] in stop:
-                body = t[:-1]
-                if body[1:].isalpha() and (body.isascii() or max(body) < "\u0250"):
-                    word = peek(body)
-                    if word is not None:
-                        out[k] = word + stop[t[-1]]
-                        continue
             if t[:1] == " " and t.isascii() and t[1:].isalpha():
                 # One match of the split pattern; the model writes a space as U+0120.
                 ids = [x.id for x in merge("\u0120" + t[1:])]
@@ -291,9 +280,8 @@ class LibraryEncoder:
         return out
 
 
-@lru_cache(maxsize=2)
 def library_encoder(path: str) -> LibraryEncoder:
-    return LibraryEncoder(path)
+    return kept(("wavelet_ids", path), lambda: LibraryEncoder(path))
 
 
 def write_shards(docs: DataFrame, path: str, tokenizer_path: str, end_id: int,
@@ -360,6 +348,7 @@ def read_documents(spark: SparkSession, path: str,
     names = ["doc_id", "start", "n_tokens"] + [f.name for f in fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in batches:
             for part, before, payload in zip(*(batch.column(c).to_pylist() for c in
                                                ("part", "before", "payload")), strict=True):

@@ -1,10 +1,13 @@
+import tracemalloc
+import types
+
 import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from gigframe.llm import arrowtext, queries
 from gigframe.llm import mil_quality as mq
-from gigframe.llm import queries
 
 
 def bags(rng, n):
@@ -81,3 +84,46 @@ def test_held_out_accuracy(spark):
     right = out.where("held_out and quality is not null").agg(
         F.avg((F.col("predicted") == F.col("quality")).cast("int"))).first()[0]
     assert right > 0.95
+
+
+class OneTask:
+    """Stands for a DataFrame of one batch: runs what mapInArrow is given here and now."""
+
+    schema = sparkSession = sparkContext = property(lambda self: self)
+
+    def __init__(self, batch):
+        self.batch = batch
+
+    def broadcast(self, value):
+        return types.SimpleNamespace(value=value)
+
+    def mapInArrow(self, run, schema):
+        return sum(b.num_rows for b in run(iter([self.batch])))
+
+
+def test_keep_good_holds_little_and_frees_other_operators_objects():
+    texts = ["some words of a text that goes on, and on. " * 50] * 4000
+    docs = OneTask(pa.RecordBatch.from_pydict({"text": texts}))
+    model = mq.Model(np.zeros(mq.N_INPUT), np.ones(mq.N_INPUT), {
+        k: np.zeros(n) for k, n in (("W", (mq.N_INPUT, mq.HIDDEN)), ("b", mq.HIDDEN), ("c", mq.HIDDEN),
+                                    ("V", (mq.HIDDEN, mq.GATE)), ("U", (mq.HIDDEN, mq.GATE)),
+                                    ("w", mq.GATE), ("d", ()))})
+    arrowtext.kept("a vocabulary", lambda: bytearray(1000))
+    tracemalloc.start()
+    try:
+        assert mq.keep_good(docs, model, 0.3) == len(texts)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert not arrowtext._KEPT
+    assert peak < 60e6, peak
+
+
+def test_one_object_is_kept():
+    made = []
+    for key in "aabba":
+        arrowtext.kept(key, lambda key=key: made.append(key))
+        assert list(arrowtext._KEPT) == [key]
+    assert made == ["a", "b", "a"]
+    arrowtext.let_go()
+    assert not arrowtext._KEPT

@@ -2,9 +2,10 @@ import zlib
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 from tokenizers import Tokenizer
 
-from gigframe.llm import queries
+from gigframe.llm import pretokens, queries
 from gigframe.llm import wavelet_ids as wi
 
 JSON = P.path("byte_bpe_50k.json")
@@ -119,3 +120,33 @@ def test_query_over_whole_table(spark):
         assert (r.start, r.n_tokens) == (start, len(ids))
         assert r.ids_crc32 == zlib.crc32(np.array(ids, "<u4").tobytes())
         start += len(ids)
+
+
+def test_units_are_words_and_marks():
+    """A word is one unit whatever mark or line follows it, so it is encoded once."""
+    units = pretokens.Units(pa.array(["of the end.\nThe end, the end!! An été: été", "", "a  b\u00a0 c"],
+                                     pa.large_string()))
+    words = [units.texts[int(k)].as_py() for k in units.seq]
+    assert "".join(words) == "of the end.\nThe end, the end!! An été: étéa  b\u00a0 c"
+    assert words.count(" end") == 3 and words.count(" été") == 2 and words.count(" the") == 2
+    assert units.bounds.tolist()[1:3] == [units.bounds[1]] * 2
+
+
+def test_units_give_the_librarys_ids():
+    parts = ["a", "b", " ", "  ", "\n", "\n\n", "é", "ß", "×", "÷", "日", "、", "!!", "--", "1", " the",
+             "ing", "'s", " 's", "'", "\t", "\r", "\x0b", "\x1c", "\x1f", "\x85", "\u1680", "\u2003",
+             "\u200b", "\u2028", "\u202f", "\u205f", "\u3000", "\ufeff", "🙂", ".", ",", "\xa0", "«", "“",
+             "”", "n't", "\x00", "\x7f", "\u0345", "\u01c5", "<|endoftext|>", "x" * 70]
+    rng = np.random.default_rng(5)
+    enc = wi.LibraryEncoder(JSON)
+    enc.ids = pretokens.UnitCache(enc.encode_units, 300)
+    for _ in range(12):
+        texts = ["".join(rng.choice(parts, rng.integers(0, 20))) for _ in range(200)]
+        flat, ends = enc.encode_texts(pa.array(["cut\n", *texts], pa.large_string()).slice(1))
+        for k, t in enumerate(texts):
+            want = enc.tok.encode(t, add_special_tokens=False).ids
+            assert flat[ends[k]:ends[k + 1]].tolist() == want, t
+        for known in (enc.ids.young, enc.ids.old):
+            assert len(known.units) <= 150
+            assert max(map(len, known.units.to_pylist()), default=0) <= pretokens.KEPT_BYTES
+            assert len(known.ids) == known.sizes.sum() and len(known.sizes) == len(known.units)
