@@ -48,6 +48,8 @@ UNIT_CACHE = 1_200_000
 JOINED_CHARS = 4000
 #: Bytes of texts whose distinct units are looked up together.
 UNIT_BYTES = 20 << 20
+#: Ids of a plane that are parted at once, so that the places fit a core's cache.
+PARTED = 1 << 15
 BLOCK = 64  # bytes of a plane between two stored counts
 
 SHARDS = T.StructType([
@@ -80,12 +82,18 @@ class WaveletMatrix:
         cur = ids.astype(np.uint16 if bits <= 16 else np.uint32)
         planes = np.zeros((bits, -(-len(ids) // 8)), np.uint8)
         for k in range(bits):
-            bit = (cur >> (bits - 1 - k)) & 1 != 0
+            bit = cur & cur.dtype.type(1 << (bits - 1 - k)) != 0
             planes[k] = np.packbits(bit, bitorder="little")
-            zeros, ones = np.flatnonzero(~bit), np.flatnonzero(bit)
             parted = np.empty_like(cur)
-            np.take(cur, zeros, out=parted[:len(zeros)], mode="clip")
-            np.take(cur, ones, out=parted[len(zeros):], mode="clip")
+            zero, one = 0, len(cur) - int(np.count_nonzero(bit))
+            for a in range(0, len(cur), PARTED):
+                some, which = cur[a:a + PARTED], bit[a:a + PARTED]
+                at = np.flatnonzero(which)
+                np.take(some, at, out=parted[one:one + len(at)], mode="clip")
+                one += len(at)
+                at = np.flatnonzero(~which)
+                np.take(some, at, out=parted[zero:zero + len(at)], mode="clip")
+                zero += len(at)
             cur = parted
         return cls(len(ids), planes)
 
@@ -96,9 +104,16 @@ class WaveletMatrix:
         cur = np.zeros(self.n, kind)
         for k in reversed(range(bits)):
             one = np.unpackbits(self.planes[k], count=self.n, bitorder="little").view(bool)
-            above, zeros = np.empty(self.n, kind), int(self.zeros[k])
-            above[np.flatnonzero(one)] = cur[zeros:] | kind(1 << (bits - 1 - k))
-            above[np.flatnonzero(~one)] = cur[:zeros]
+            above, i, j = np.empty(self.n, kind), 0, int(self.zeros[k])
+            cur[j:] |= kind(1 << (bits - 1 - k))
+            for a in range(0, self.n, PARTED):
+                some, which = above[a:a + PARTED], one[a:a + PARTED]
+                at = np.flatnonzero(which)
+                some[at] = cur[j:j + len(at)]
+                j += len(at)
+                at = np.flatnonzero(~which)
+                some[at] = cur[i:i + len(at)]
+                i += len(at)
             cur = above
         return cur.astype(np.uint32)
 
