@@ -109,3 +109,64 @@ def test_bucketed_staging_joins_without_shuffle(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_marts_from_band_albums_equal_marts_from_albums(spark):
+    from pyspark.sql import functions as F
+
+    from gigframe.plans import marts as M
+    # Bands without reviews, without a score, with counts of 0 or unknown, and no band at all.
+    albums = spark.createDataFrame(
+        [(band, f"A{k}", "EP", year, count, pct) for k, (band, year, count, pct) in enumerate([
+            ("1", 1990, 3, 80), ("1", 1985, 1, 55), ("1", 2001, 0, 40), ("2", 1999, 0, None),
+            ("2", 1998, None, None), ("3", 2005, 4, None), (None, 1991, 2, 70), (None, 1980, 0, 10),
+            ("4", 1971, 9, 90), ("9", 1975, 5, 20)])],
+        "band_id string, album_name string, album_type string, year long, review_count long,"
+        " avg_review_pct long")
+    bands = spark.createDataFrame(
+        [(b, f"B{b}", "FI", g, g, "Active") for b, g in
+         [("1", "Doom"), ("2", "Doom"), ("3", "Folk"), ("4", "Folk"), ("5", None), ("6", "")]],
+        "band_id string, band_name string, country string, genre string, primary_subgenre string,"
+        " status string")
+    mapping = spark.createDataFrame([(b, f"m{b}") for b in "12345"],
+                                    "ma_band_id string, sfm_mbid string")
+    songs = spark.createDataFrame([("s1", "x"), ("s1", "y")], "setlist_id string, song_name string")
+    setlists = spark.createDataFrame([(f"s{k}", f"m{k}") for k in range(1, 7)],
+                                     "setlist_id string, artist_mbid string")
+    for c in ("artist_name", "venue_name", "city_name", "country_code", "country_name", "tour_name"):
+        setlists = setlists.withColumn(c, F.lit("t"))
+    setlists = setlists.withColumns({
+        "event_date": F.lit("2000-02-03").cast("date"), "event_year": F.lit(2000),
+        "event_month": F.lit(2), "latitude": F.lit(1.0), "longitude": F.lit(2.0)})
+    figures = M.band_albums(albums)
+    fct = M.fct_concerts(setlists, mapping, bands, songs, albums)
+    pairs = [(fct, M.fct_concerts(setlists, mapping, bands, songs, albums, figures)),
+             (M.dim_bands(bands, mapping, albums, fct),
+              M.dim_bands(bands, mapping, albums, fct, figures)),
+             (M.agg_genre_lifecycle(albums, bands), M.agg_genre_lifecycle(albums, bands,
+                                                                          albums=figures)),
+             (M.agg_productivity_vs_reviews(albums),
+              M.agg_productivity_vs_reviews(albums, figures))]
+    pairs += [(M.agg_genre_review_distribution(albums, bands, n),
+               M.agg_genre_review_distribution(albums, bands, n, figures)) for n in (1, 2, 3)]
+    for want, got in pairs:
+        assert got.schema == want.schema
+        assert _same(got, want), want.columns
+
+
+def test_a_folder_run_groups_albums_by_band_once(spark, monkeypatch):
+    from gigframe.plans import full_run
+    from gigframe.sources.warehouse import Warehouse
+    files, write = {}, Warehouse.write
+
+    def noted(self, df, name, layer=None, **given):
+        files[name] = df.inputFiles()
+        return write(self, df, name, layer, **given)
+
+    monkeypatch.setattr(Warehouse, "write", noted)
+    landing = write_landing_csv(raw_tables(spark, SF_SMALL), scratch_path(spark, "landing"))
+    full_run.build_all(spark, landing, scratch_path(spark, "warehouse"), use_catalog=False)
+    for name in ("dim_bands", "agg_genre_lifecycle", "agg_productivity_vs_reviews"):
+        assert not [f for f in files[name] if "/stg_albums/" in f], name
+        assert [f for f in files[name] if "/band-albums-" in f], name
+    assert [f for f in files["agg_genre_review_distribution"] if "/stg_albums/" in f]

@@ -162,3 +162,21 @@ def test_many_versions_are_written_anew(spark, monkeypatch):
                           "f", cluster_by=())
         assert len(set(wh.entry("f")["months"].values())) <= 2
     assert rows(wh.read("f"), "concert_id") == [("4",), ("5",), ("6",), ("new1",), ("new2",), ("new3",)]
+
+
+def test_a_second_run_lands_only_the_table_that_changed(spark, monkeypatch):
+    from gigframe.plans import registry
+    from gigframe.plans.catalog import Catalog
+    from gigframe.sources import landing
+    landed, write = [], landing.write_landing_csv
+
+    def noted(raw, path, **given):
+        landed.append((path, given.get("only")))
+        return write(raw, path, **given)
+
+    monkeypatch.setattr(landing, "write_landing_csv", noted)
+    got = registry.QUERIES["full_run_replace"](spark, SF_SMALL)
+    assert len({path for path, _ in landed}) == 1
+    assert [only for _, only in landed] == [None, ["setlists"]]
+    names = ("event_year", "event_month", "concert_count")
+    assert rows(got, *names) == rows(Catalog(spark, SF_SMALL).concerts_over_time, *names)
